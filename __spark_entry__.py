@@ -127,6 +127,7 @@ _ORACLE: dict[str, str] = {
         f"SELECT event_id, {_FIELDS}, CAST(action AS INTEGER) AS action_code FROM ub WHERE event_id % 97 NOT IN (0, 1, 2)"
     ),
     "json_round_trip": _with(f"SELECT event_id, {_FIELDS} FROM ub"),
+    "csv_feed": _with(f"SELECT {_FIELDS.replace(', event_ms', '')} FROM ub"),
     "click_filter": _with(f"SELECT event_id, cat_id FROM ub WHERE {_ACODE} = 0"),
     "action_flags": _with(
         "SELECT event_id, "

@@ -70,9 +70,12 @@ def parse_events(messages: DataFrame, *keep: str, strict: bool = False, value: s
     """
     df = parse_with_status(messages, *keep, value=value)
     if strict:
+        # Every row either passes or raises; no other filter may skip the check.
         bad = F.raise_error(F.concat(F.lit("rejected event ("), F.col("reject_reason"), F.lit("): "), F.col(value)))
-        df = df.withColumn("action_code", F.when(F.col("reject_reason").isNotNull(), bad).otherwise(F.col("action_code")))
-    return df.filter(F.col("reject_reason").isNull()).select(*keep, *EVENT_COLUMNS, "action_code")
+        df = df.filter(F.when(F.col("reject_reason").isNotNull(), bad).otherwise(F.lit(True)))
+    else:
+        df = df.filter(F.col("reject_reason").isNull())
+    return df.select(*keep, *EVENT_COLUMNS, "action_code")
 
 
 def reject_events(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:

@@ -17,7 +17,9 @@ from clickpulse.functions.regions import CODE_COLUMN, normalize_province, region
 from clickpulse.operators.rollups import item_grand_total, member_grand_total, member_running_total
 from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
 from clickpulse.schema import EVENT_COLUMNS
+from clickpulse.session import scratch_path
 from clickpulse.sources.testdata import raw_messages, user_behavior
+from clickpulse.sources.userlog import read_user_log, to_user_log_lines
 
 MEMBER_WIDTH = "3 hours"
 ITEM_WIDTH = "3 hours"
@@ -43,6 +45,17 @@ def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_with_status(msgs, "event_id").select("event_id", *EVENT_COLUMNS)
 
 
+def q_csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + J5: the view written as the positional CSV log, read back, sent as JSON, parsed.
+
+    ``event_ms`` is the load time by design, so it is left out of the result.
+    """
+    path = scratch_path(spark, "tables", "user_log")
+    to_user_log_lines(user_behavior(spark, sf_dir)).write.text(path)
+    msgs = to_messages(read_user_log(spark, path))
+    return parse_events(msgs).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
+
+
 def q_click_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks only."""
     return clicks(user_behavior(spark, sf_dir)).select("event_id", "cat_id")
@@ -95,6 +108,7 @@ def q_item_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH_QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
     "json_round_trip": q_json_round_trip,
+    "csv_feed": q_csv_feed,
     "click_filter": q_click_filter,
     "action_flags": q_action_flags,
     "reject_events": q_reject_events,
