@@ -36,52 +36,74 @@ def to_messages(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*keep, body.alias("value"))
 
 
+def _parsed(value: str) -> Column:
+    return F.from_json(
+        F.col(value), _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+
+
+def _reason(r: Column) -> Column:
+    return (
+        F.when(r[_CORRUPT].isNotNull(), F.lit(MALFORMED))
+        .when(r["action"].isNull(), F.lit(NO_ACTION))
+        .when(action_code(r["action"]).isNull(), F.lit(BAD_ACTION))
+    )
+
+
+def _fields(r: str = "_r") -> list[Column]:
+    return [F.col(f"{r}.{w}").alias(c) for w, c in EVENT_FIELDS]
+
+
 def parse_with_status(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
     """JSON text to the ten typed event columns, ``action_code`` and ``reject_reason``.
 
     ``reject_reason`` is null for a usable event, else one of ``malformed``,
-    ``no action`` (missing, null or empty-object) or ``bad action`` (not an integer,
-    e.g. ``""``). Unknown but numeric actions such as ``"7"`` are kept: they
-    count toward no counter.
+    ``no action`` (missing or null) or ``bad action`` (not an integer, e.g.
+    ``""``). Unknown but numeric actions such as ``"7"`` are kept: they count
+    toward no counter. A message is usable exactly when ``action_code`` is set.
     """
-    r = F.from_json(
-        F.col(value), _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    parsed = messages.select(*keep, F.col(value), r.alias("_r"))
-    code = action_code(F.col("_r.action"))
-    reason = (
-        F.when(F.col(f"_r.{_CORRUPT}").isNotNull(), F.lit(MALFORMED))
-        .when(F.col("_r.action").isNull(), F.lit(NO_ACTION))
-        .when(code.isNull(), F.lit(BAD_ACTION))
-    )
+    parsed = messages.select(*keep, F.col(value), _parsed(value).alias("_r"))
     return parsed.select(
         *keep,
         F.col(value),
-        *[F.col(f"_r.{w}").alias(c) for w, c in EVENT_FIELDS],
-        code.alias("action_code"),
-        reason.alias("reject_reason"),
+        *_fields(),
+        action_code(F.col("_r.action")).alias("action_code"),
+        _reason(F.col("_r")).alias("reject_reason"),
     )
 
 
+def _zero_or_one(messages: DataFrame, keep: tuple[str, ...], value: str, pred) -> DataFrame:
+    # Each message yields zero or one record. Parse and test happen inside
+    # one generator, so the JSON is parsed once per message; a plain filter
+    # would be pushed below the parse and repeat it for each test.
+    rec = F.explode(F.filter(F.array(_parsed(value)), pred))
+    return messages.select(*keep, F.col(value), rec.alias("_r"))
+
+
 def parse_events(messages: DataFrame, *keep: str, strict: bool = False, value: str = "value") -> DataFrame:
     """Usable events only: ``keep`` columns, the ten event columns and ``action_code``.
 
     ``strict=True`` fails the job on the first bad message instead of dropping it.
     """
-    df = parse_with_status(messages, *keep, value=value)
     if strict:
-        # Every row either passes or raises; no other filter may skip the check.
-        bad = F.raise_error(F.concat(F.lit("rejected event ("), F.col("reject_reason"), F.lit("): "), F.col(value)))
-        df = df.filter(F.when(F.col("reject_reason").isNotNull(), bad).otherwise(F.lit(True)))
+
+        def pred(r: Column) -> Column:
+            bad = F.raise_error(F.concat(F.lit("rejected event ("), _reason(r), F.lit("): "), F.col(value)))
+            return F.when(action_code(r["action"]).isNull(), bad).otherwise(F.lit(True))
+
     else:
-        df = df.filter(F.col("reject_reason").isNull())
-    return df.select(*keep, *EVENT_COLUMNS, "action_code")
+
+        def pred(r: Column) -> Column:
+            return action_code(r["action"]).isNotNull()
+
+    good = _zero_or_one(messages, keep, value, pred)
+    return good.select(*keep, *_fields(), action_code(F.col("_r.action")).alias("action_code"))
 
 
 def reject_events(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
     """P10: the messages that ``parse_events`` drops, with the raw text and the reason."""
-    df = parse_with_status(messages, *keep, value=value)
-    return df.filter(F.col("reject_reason").isNotNull()).select(*keep, value, "reject_reason")
+    bad = _zero_or_one(messages, keep, value, lambda r: action_code(r["action"]).isNull())
+    return bad.select(*keep, value, _reason(F.col("_r")).alias("reject_reason"))
 
 
 def with_action_code(df: DataFrame) -> DataFrame:

@@ -23,20 +23,27 @@ BUCKET_ROWS = 4096
 def running_sum(df: DataFrame, order_by: str, values: Sequence[str], bucket: Column) -> DataFrame:
     """Cumulative sums of ``values`` in ``order_by`` order, computed in parallel.
 
-    ``bucket`` must grow with ``order_by`` (contiguous ranges). Each bucket is
-    summed on its own task; only the per-bucket totals (one row per bucket)
-    meet in one place, to turn into offsets. No task sees all rows.
+    ``bucket`` must grow with ``order_by`` (contiguous ranges). Rows are
+    shuffled once, by bucket; each bucket's running sums and its total come
+    from that one partitioning. Only the per-bucket totals (one row per
+    bucket) meet in one task, to become offsets. No task sees all rows.
     """
-    b = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy("_bucket").orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = b.select("*", *[F.sum(v).over(inside).alias(f"_run_{v}") for v in values])
-    totals = b.groupBy("_bucket").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+    # Non-null key: the join below then infers no filter to push into the input.
+    b = df.withColumn("_bucket", F.coalesce(bucket.cast("bigint"), F.lit(0).cast("bigint")))
+    whole = Window.partitionBy("_bucket")
+    inside = whole.orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    staged = b.select(
+        "*",
+        *[F.sum(v).over(inside).alias(f"_run_{v}") for v in values],
+        *[F.sum(v).over(whole).alias(f"_tot_{v}") for v in values],
+    )
+    totals = staged.groupBy("_bucket").agg(*[F.max(f"_tot_{v}").alias(f"_tot_{v}") for v in values])
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_bucket", *[F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values]
     )
     keep = [c for c in df.columns if c not in values]
-    return running.join(offsets, "_bucket").select(
+    return staged.join(offsets, "_bucket").select(
         *keep, *[(F.col(f"_run_{v}") + F.col(f"_off_{v}")).cast("bigint").alias(v) for v in values]
     )
 

@@ -41,6 +41,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a batch scan that has fewer input splits than the cluster has cores.
+
+    A single unsplittable file (one parquet row group) would otherwise put all
+    per-row work (JSON, joins, windows) on one core. A large table has far more
+    splits than cores, and is returned untouched: no extra shuffle at scale.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """The ``ub`` view: one row per event with the reference's ten fields.
 
@@ -57,7 +70,7 @@ def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
     e = events.select(
         "event_id", "ts", "user_id", "event_type", k.alias("item_id"), k.try_cast("bigint").alias("part_key")
     )
-    e = lookup_join(e, part, "part_key")
+    e = lookup_join(spread(e), part, "part_key")
 
     idx = F.col("user_id") % len(FIXTURE_PROVINCES)
     province = F.when(idx >= 0, F.try_element_at(F.array(*map(F.lit, FIXTURE_PROVINCES)), (idx + 1).cast("int")))
