@@ -62,3 +62,32 @@ def storage_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
     """A new, unique path under the shared root: ``<root>/clickpulse/<kind>/<name>-<id>``."""
     return f"{storage_root(spark)}/clickpulse/{kind}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``clickpulse`` importable in Python workers (needed by Python stateful code).
+
+    An installed package (site-packages) is left alone; a source checkout is
+    zipped once per application and added with ``addPyFile``, as ``--py-files``
+    would.
+    """
+    import zipfile
+
+    import clickpulse
+
+    pkg_dir = os.path.dirname(os.path.abspath(clickpulse.__file__))
+    app = spark.sparkContext.applicationId
+    if "site-packages" in pkg_dir or app in _SHIPPED:
+        return
+    zpath = os.path.join(tempfile.mkdtemp(prefix="clickpulse-code-"), "clickpulse.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)
