@@ -139,7 +139,7 @@ def cat_window(
     pane = c.groupBy("cat_id", (us - F.pmod(us, F.lit(slide_us))).alias("pane_us")).agg(F.count(F.lit(1)).alias("n"))
     spread = pane.select(
         "cat_id", "n", "pane_us", F.explode(F.sequence(F.lit(0), F.lit(size_us // slide_us - 1))).alias("i")
-    ).select("cat_id", "n", (F.col("pane_us") - F.col("i") * slide_us).alias("start_us"))
+    ).select("cat_id", "n", (F.col("pane_us") - F.col("i").cast("bigint") * F.lit(slide_us).cast("bigint")).alias("start_us"))
     g = spread.groupBy("cat_id", "start_us").agg(F.sum("n").alias("cat_click_count"))
     return g.select(
         "cat_id",

@@ -66,10 +66,11 @@ def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("part_key"), F.col("p_type").alias("cat_id"), F.col("p_brand").alias("brand_id")
     )
-    k = F.get_json_object("props", "$.k")
-    e = events.select(
-        "event_id", "ts", "user_id", "event_type", k.alias("item_id"), k.try_cast("bigint").alias("part_key")
-    )
+    # json_tuple is a generator: the field is extracted once per row. A plain
+    # get_json_object would be re-evaluated by every expression and pushed-down
+    # filter that uses it.
+    e = events.select("event_id", "ts", "user_id", "event_type", F.json_tuple("props", "k").alias("item_id"))
+    e = e.withColumn("part_key", F.col("item_id").try_cast("bigint"))
     e = lookup_join(spread(e), part, "part_key")
 
     idx = F.col("user_id") % len(FIXTURE_PROVINCES)

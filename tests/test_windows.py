@@ -80,6 +80,14 @@ def test_pane_form_equals_sliding_window(spark, ub):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_many_panes_per_window(spark, ub):
+    # 360 panes per window: pane offsets exceed INT range in microseconds.
+    a = cat_window(ub, size="60 minutes", slide="10 seconds", panes=True)
+    b = cat_window(ub, size="60 minutes", slide="10 seconds", panes=False)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_sliding_non_multiple_falls_back(spark, ub):
     a = cat_window(ub, size="25 hours", slide="10 hours")
     b = cat_window(ub, size="25 hours", slide="10 hours", panes=False)
