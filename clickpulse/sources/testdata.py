@@ -79,8 +79,10 @@ def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
     for name, code in reversed(FIXTURE_ACTIONS):
         action = F.when(F.col("event_type") == name, F.lit(code)).otherwise(action)
     ts_type = events.schema["ts"].dataType
-    if isinstance(ts_type, T.TimestampNTZType):  # exact floor division, no double rounding
-        event_ms = F.floor(ntz_micros(F.col("ts")).cast("decimal(20,0)") / 1000).cast("bigint")
+    if isinstance(ts_type, T.TimestampNTZType):
+        # Floor division in integers: subtract the remainder, then divide exactly.
+        us = ntz_micros(F.col("ts"))
+        event_ms = ((us - F.pmod(us, F.lit(1000))) / 1000).cast("bigint")
     else:
         event_ms = F.unix_millis(F.col("ts"))
     return e.select(
