@@ -126,6 +126,37 @@ def start_dashboards(
     return queries
 
 
+def start_live_dashboards(
+    messages: DataFrame,
+    writers: Callable[[str], sinks.BatchWriter],
+    settings: JobSettings = JobSettings(),
+    salt_buckets: int = 16,
+) -> list[StreamingQuery]:
+    """J1-J4 in parity mode (T7): windows close by the clock, also while input is idle.
+
+    Time is always arrival (processing) time; ``settings`` gives widths and trigger.
+    """
+    from clickpulse.streaming import live
+
+    events = parse_events(messages, strict=settings.strict)
+    args = {
+        "member_total": (settings.member_width,),
+        "item_total": (settings.item_width,),
+        "cat_window": (settings.cat_size, settings.cat_slide),
+        "province_window": (settings.province_width,),
+    }
+    queries = []
+    for name, (build, table) in JOBS.items():
+        live_build, finish = live.LIVE_JOBS[name]
+        result = live_build(events, *args[name], salt_buckets=salt_buckets)
+
+        def shape(batch: DataFrame, batch_id: int, finish=finish, table=table) -> DataFrame:
+            return sinks.sink_rows(finish(batch), table)
+
+        queries.append(start_job(result, f"{name}_live", sinks.fan_out(writers(table), shape=shape), settings))
+    return queries
+
+
 def _shaper(table: str) -> Callable[[DataFrame, int], DataFrame]:
     return lambda batch, batch_id: sinks.sink_rows(batch, table)  # P16, P18
 
