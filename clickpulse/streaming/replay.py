@@ -24,6 +24,7 @@ from clickpulse.session import scratch_path
 from clickpulse.sources.testdata import read_table, user_behavior
 
 BATCH_ID = "batch_id"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 DEFAULT_WATERMARK = "0 seconds"
 
 
@@ -77,14 +78,25 @@ def run_to_table(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/{BATCH_ID}={batch_id}")
 
-    q = (
+    writer = (
         df.writeStream.queryName(f"{name}_{checkpoint.rsplit('-', 1)[-1]}")
         .outputMode(output_mode)
         .foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # In update mode a batch without input only drops expired state: it emits
+    # nothing, so a bounded replay skips it (a later data batch drops that state).
+    # The query copies the session's settings when it starts.
+    skip_idle = output_mode == "update"
+    prev = spark.conf.get(NO_DATA_BATCHES, "true")
+    if skip_idle:
+        spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        q = writer.start()
+    finally:
+        if skip_idle:
+            spark.conf.set(NO_DATA_BATCHES, prev)
     q.awaitTermination()
     return read_update_log(spark, out, df, keys)
 

@@ -124,3 +124,16 @@ def test_windows_do_not_depend_on_session_zone(spark, ub):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert sorted(want) == sorted(got)
+
+
+def test_lookup_join_paths(spark):
+    from clickpulse.operators.joins import lookup_join
+
+    big = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id"))
+    small = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    want = sorted(big.join(small, "k").collect())
+    for limit in (10**6, 20, 5):  # broadcast, broadcast after semi-join cut, shuffle join
+        got = lookup_join(big, small, "k", max_rows=limit)
+        assert sorted(got.collect()) == want
+    plan = lookup_join(big, small, "k", max_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
