@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.schema import ADDCART, BUY, CLICK, EVENT_COLUMNS, EVENT_FIELDS, EVENT_WIRE_SCHEMA, FOCUS
+from clickpulse.schema import ADDCART, BUY, CLICK, EVENT_FIELDS, EVENT_WIRE_SCHEMA, FOCUS
 
 _CORRUPT = "_corrupt_message"
 _PARSE_SCHEMA = T.StructType(EVENT_WIRE_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])

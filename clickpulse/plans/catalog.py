@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickpulse.functions.events import action_flags, clicks, parse_events, parse_with_status, reject_events, to_messages
 from clickpulse.functions.regions import CODE_COLUMN, normalize_province, region_code
@@ -19,7 +18,7 @@ from clickpulse.operators.windows import cat_window, item_total, member_total, p
 from clickpulse.schema import EVENT_COLUMNS
 from clickpulse.session import scratch_path
 from clickpulse.sources.testdata import raw_messages, user_behavior
-from clickpulse.sources.userlog import read_user_log, to_user_log_lines
+from clickpulse.sources.userlog import to_user_log_lines
 
 MEMBER_WIDTH = "3 hours"
 ITEM_WIDTH = "3 hours"
@@ -50,10 +49,11 @@ def q_csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``event_ms`` is the load time by design, so it is left out of the result.
     """
+    from clickpulse.plans.jobs import feed_job
+
     path = scratch_path(spark, "tables", "user_log")
     to_user_log_lines(user_behavior(spark, sf_dir)).write.text(path)
-    msgs = to_messages(read_user_log(spark, path))
-    return parse_events(msgs).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
+    return parse_events(feed_job(spark, path)).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
 
 
 def q_click_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

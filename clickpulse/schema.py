@@ -50,7 +50,7 @@ USER_LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in USER_L
 # Action codes carried in the `action` field; any other value raises no counter.
 CLICK, ADDCART, BUY, FOCUS = 0, 1, 2, 3
 
-# Result tables: sink column order. Counts are INT at the sink, BIGINT inside.
+# Result table columns in sink order. Counts are INT at the sink, BIGINT inside.
 MEMBER_TOTAL_COLUMNS = ["click_count", "addcart_count", "buy_count", "focus_count", "time"]
 ITEM_TOTAL_COLUMNS = [
     "item_id",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.events import to_messages
 
+# Fixed value: the topic the event feed is published to.
 DEFAULT_TOPIC = "realtime-data"
 
 

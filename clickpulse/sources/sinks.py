@@ -17,7 +17,7 @@ from clickpulse.schema import CAT_WINDOW_COLUMNS, ITEM_TOTAL_COLUMNS, MEMBER_TOT
 
 BatchWriter = Callable[[DataFrame, int], Any]
 
-# Result table -> (columns in sink order, renames from metric columns, INT columns).
+# Result table names -> (columns in sink order, renames from metric columns).
 SINK_TABLES: dict[str, tuple[list[str], dict[str, str]]] = {
     "realtime_member_total": (MEMBER_TOTAL_COLUMNS, {}),
     "realtime_item_total": (ITEM_TOTAL_COLUMNS, {"cat_id": "category_id"}),
