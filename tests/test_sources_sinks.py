@@ -134,3 +134,16 @@ def test_fan_out_sends_one_batch_to_every_sink(spark, scratch, capsys):
     w(metric_rows(spark), 4)
     assert got == [1] and spark.read.parquet(path).count() == 1
     assert "CN-31" in capsys.readouterr().out
+
+
+def test_kafka_batch_write_reports_missing_connector(spark):
+    from clickpulse.sources.kafka import write_messages
+
+    df = spark.createDataFrame([tuple(["x"] * 9) + (1,)], ", ".join(
+        f"{c} {'bigint' if c == 'event_ms' else 'string'}" for c in EVENT_COLUMNS))
+    try:
+        write_messages(df, "localhost:1", "t")
+    except PySparkException as e:
+        assert "kafka" in str(e).lower()
+    else:  # pragma: no cover - only where the connector jar is installed
+        pytest.skip("Kafka connector present")

@@ -75,3 +75,15 @@ def test_append_mode_emits_closed_windows_only(spark, scratch):
     max_ts = ub.agg(F.max("ts")).collect()[0][0]
     want = member_total(ub, width="3 hours").filter(F.col("window_end") <= F.lit(max_ts))
     assert as_set(got) == as_set(want)
+
+
+def test_complete_mode_counts_late_files(spark, scratch):
+    # Complete mode ignores the watermark: reversed files still give the batch result.
+    src = scratch("late_complete")
+    split_events(spark, src, reverse=True)
+    events = replay_events(spark, src, pattern="f*/*.parquet", max_files_per_trigger=1)
+    got = run_to_table(
+        member_total(stream_view(spark, SF01, events), width="3 hours"), "t_late_c", ["window_start"], output_mode="complete"
+    )
+    want = member_total(user_behavior(spark, SF01), width="3 hours")
+    assert as_set(got) == as_set(want)
