@@ -74,6 +74,11 @@ class JdbcTable:
     Spark's JDBC writer, ``batchsize`` rows per statement batch. A replayed
     batch therefore replaces, not repeats, its rows. Delete and insert are not
     one transaction: a reader may briefly see the batch missing.
+
+    At most ``num_partitions`` tasks write at once, so a batch coming out of a
+    shuffle with thousands of partitions still opens only that many database
+    connections. Use it behind ``fan_out``, which persists the batch, so the cap
+    narrows only the write, not the aggregation before it.
     """
 
     def __init__(
@@ -84,13 +89,12 @@ class JdbcTable:
         password: str | None = None,
         driver: str | None = None,
         batch_size: int = 100,
-        num_partitions: int | None = None,
+        num_partitions: int = 8,
     ) -> None:
         self.url, self.table = url, table
         self.props = {k: v for k, v in {"user": user, "password": password, "driver": driver}.items() if v}
         self.props["batchsize"] = str(batch_size)
-        if num_partitions:
-            self.props["numPartitions"] = str(num_partitions)
+        self.props["numPartitions"] = str(num_partitions)
 
     def delete_statement(self) -> str:
         return f"DELETE FROM {self.table} WHERE batch_id = ?"

@@ -112,7 +112,7 @@ def test_jdbc_sink_deletes_then_appends_per_batch(spark, scratch):
     w(rows, 3)  # replayed batch
     assert w.calls == [("delete", 3), ("append", 1), ("delete", 3), ("append", 1)]
     assert w.delete_statement() == "DELETE FROM realtime_province_window WHERE batch_id = ?"
-    assert w.props["batchsize"] == "100"
+    assert w.props["batchsize"] == "100" and w.props["numPartitions"] == "8"
     assert spark.read.parquet(w.path).select("batch_id").distinct().collect()[0][0] == 3
 
 
