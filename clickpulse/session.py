@@ -70,9 +70,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``clickpulse`` importable in Python workers (needed by Python stateful code).
 
-    An installed package (site-packages) is left alone; a source checkout is
-    zipped once per application and added with ``addPyFile``, as ``--py-files``
-    would.
+    Only for a source checkout on a local master: the package is zipped once per
+    application and added with ``addPyFile``. On a cluster the package is
+    installed on the executors or passed with ``--py-files``; nothing is done.
     """
     import zipfile
 
@@ -80,7 +80,8 @@ def ship_package(spark: SparkSession) -> None:
 
     pkg_dir = os.path.dirname(os.path.abspath(clickpulse.__file__))
     app = spark.sparkContext.applicationId
-    if "site-packages" in pkg_dir or app in _SHIPPED:
+    local = spark.sparkContext.master.startswith("local")
+    if not local or "site-packages" in pkg_dir or app in _SHIPPED:
         return
     zpath = os.path.join(tempfile.mkdtemp(prefix="clickpulse-code-"), "clickpulse.zip")
     with zipfile.ZipFile(zpath, "w") as z:
