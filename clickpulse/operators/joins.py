@@ -7,29 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpulse.plans.stats import row_count
+
 MAX_ROWS_CONF = "clickpulse.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 2_000_000
 
 
-_COUNTS: dict[tuple, int] = {}
-
-
-def counted_rows(df: DataFrame) -> int:
-    """Row count of a batch DataFrame, remembered per (plan, input files).
-
-    Parquet files are written once and never changed in place, so the same plan
-    over the same files has the same count. A stale entry could only change the
-    join strategy, never a result.
-    """
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
-    except Exception:  # noqa: BLE001 - plans without file inputs
-        return df.count()
-    if key not in _COUNTS:
-        _COUNTS[key] = df.count()
-    return _COUNTS[key]
-
-
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
 
@@ -44,7 +27,7 @@ def lookup_join(
     """Join a lookup table onto a large (possibly streaming) table.
 
     1. ``small`` is broadcast when its counted rows are within ``max_rows``
-       (a parquet row count is read from file footers).
+       (a parquet row count is read from file footers; remembered per input).
     2. Otherwise, for a batch ``big``, ``small`` is cut to the keys ``big``
        actually uses (distinct keys: partial aggregation before the shuffle)
        and counted again.
@@ -53,7 +36,7 @@ def lookup_join(
        key holding a third of the rows is spread over many tasks.
     """
     limit = max_rows if max_rows is not None else broadcast_limit(big)
-    if counted_rows(small) <= limit:
+    if row_count(small) <= limit:
         return big.join(F.broadcast(small), on, how)
     if not big.isStreaming and how in ("inner", "left_semi"):
         keys = big.select(*([on] if isinstance(on, str) else on)).distinct()

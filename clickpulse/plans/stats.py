@@ -1,0 +1,42 @@
+"""Facts about a batch DataFrame's input that plans depend on, remembered per input.
+
+Parquet files are written once and never changed in place, so the same plan
+over the same files has the same row count and the same input splits. A stale
+entry could only change a plan choice (broadcast or not, spread or not), never
+a result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+
+_CACHE: dict[tuple, int] = {}
+
+
+def _remember(kind: str, df: DataFrame, compute: Callable[[], int], *extra: str) -> int:
+    try:
+        key = (kind, df.semanticHash(), tuple(sorted(df.inputFiles())), *extra)
+    except Exception:  # noqa: BLE001 - plans without file inputs
+        return compute()
+    if key not in _CACHE:
+        _CACHE[key] = compute()
+    return _CACHE[key]
+
+
+def row_count(df: DataFrame) -> int:
+    """``df.count()``, once per plan and input files."""
+    return _remember("rows", df, df.count)
+
+
+def input_splits(df: DataFrame) -> int:
+    """Partitions of the scan, once per plan, input files and split settings."""
+    conf = df.sparkSession.conf
+    return _remember(
+        "splits",
+        df,
+        lambda: df.rdd.getNumPartitions(),
+        conf.get("spark.sql.files.maxPartitionBytes"),
+        str(df.sparkSession.sparkContext.defaultParallelism),
+    )

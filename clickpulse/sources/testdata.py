@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from clickpulse.functions.events import to_messages
 from clickpulse.functions.timeutil import ntz_micros, to_instant
 from clickpulse.operators.joins import lookup_join
+from clickpulse.plans.stats import input_splits
 
 # Fixed values (fixture rule): province by user_id % 36, in index order. The
 # municipalities carry the city suffix; the last two have no region code.
@@ -51,7 +52,7 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if input_splits(df) < cores else df
 
 
 def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
