@@ -80,21 +80,33 @@ def _zero_or_one(messages: DataFrame, keep: tuple[str, ...], value: str, pred) -
     return messages.select(*keep, F.col(value), rec.alias("_r"))
 
 
-def parse_events(messages: DataFrame, *keep: str, strict: bool = False, value: str = "value") -> DataFrame:
+def parse_events(
+    messages: DataFrame, *keep: str, strict: bool = False, require_action: bool = True, value: str = "value"
+) -> DataFrame:
     """Usable events only: ``keep`` columns, the ten event columns and ``action_code``.
 
     ``strict=True`` fails the job on the first bad message instead of dropping it.
+    ``require_action=False`` keeps every well-formed message, whatever its
+    action (missing, empty or not a number); only malformed JSON is dropped.
+    The item metric reads its events this way: such actions form their own
+    group there, with all counters zero.
     """
+
+    def bad(r: Column) -> Column:
+        if require_action:
+            return action_code(r["action"]).isNull()
+        return r[_CORRUPT].isNotNull()
+
     if strict:
 
         def pred(r: Column) -> Column:
-            bad = F.raise_error(F.concat(F.lit("rejected event ("), _reason(r), F.lit("): "), F.col(value)))
-            return F.when(action_code(r["action"]).isNull(), bad).otherwise(F.lit(True))
+            err = F.raise_error(F.concat(F.lit("rejected event ("), _reason(r), F.lit("): "), F.col(value)))
+            return F.when(bad(r), err).otherwise(F.lit(True))
 
     else:
 
         def pred(r: Column) -> Column:
-            return action_code(r["action"]).isNotNull()
+            return ~bad(r)
 
     good = _zero_or_one(messages, keep, value, pred)
     return good.select(*keep, *_fields(), action_code(F.col("_r.action")).alias("action_code"))

@@ -38,9 +38,11 @@ class JobSettings:
     province_width: str = "10 seconds"
 
 
-def timed_events(messages: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
+def timed_events(
+    messages: DataFrame, settings: JobSettings = JobSettings(), require_action: bool = True
+) -> DataFrame:
     """Parsed events (P1, P2, P10) with ``event_time`` and a watermark on it."""
-    events = parse_events(messages, strict=settings.strict)
+    events = parse_events(messages, strict=settings.strict, require_action=require_action)
     if settings.time == "processing":
         t = F.current_timestamp()  # P5
     elif settings.time == "event":
@@ -56,8 +58,12 @@ def member_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame
 
 
 def item_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
-    """Per-item counts per tumbling window (SQL text)."""
-    return item_total(timed_events(messages, s), width=s.item_width)
+    """Per-item counts per tumbling window (SQL text).
+
+    A missing or non-numeric action is not a reject here: it is its own group,
+    with all counters zero (only malformed messages are dropped).
+    """
+    return item_total(timed_events(messages, s, require_action=False), width=s.item_width)
 
 
 def cat_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
@@ -139,6 +145,7 @@ def start_live_dashboards(
     from clickpulse.streaming import live
 
     events = parse_events(messages, strict=settings.strict)
+    any_action = parse_events(messages, strict=settings.strict, require_action=False)
     args = {
         "member_total": (settings.member_width,),
         "item_total": (settings.item_width,),
@@ -148,7 +155,8 @@ def start_live_dashboards(
     queries = []
     for name, (build, table) in JOBS.items():
         live_build, finish = live.LIVE_JOBS[name]
-        result = live_build(events, *args[name], salt_buckets=salt_buckets)
+        src = any_action if name == "item_total" else events
+        result = live_build(src, *args[name], salt_buckets=salt_buckets)
 
         def shape(batch: DataFrame, batch_id: int, finish=finish, table=table) -> DataFrame:
             return sinks.sink_rows(finish(batch), table)

@@ -60,3 +60,18 @@ def test_null_fields_are_left_out_of_json(spark):
     for c in EVENT_COLUMNS[2:]:
         df = df.withColumn(c, df.user_id if c != "event_ms" else F.lit(1).cast("bigint"))
     assert "itemId" not in to_messages(df).collect()[0].value
+
+
+def test_item_job_keeps_odd_actions_as_groups(spark):
+    from clickpulse.plans import jobs
+
+    df = msgs(spark, '{"itemId":"i","action":""}', '{"itemId":"i"}', '{"itemId":"i","action":"0"}', "not json")
+    df = df.withColumn("event_id", F.col("id").cast("bigint"))
+    kept = parse_events(df, "id", require_action=False)
+    assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
+    settings = jobs.JobSettings(time="processing", item_width="3650 days")
+    rows = {r.action: r for r in jobs.item_job(df, settings).collect()}
+    assert set(rows) == {"", None, "0"}
+    assert rows[""].item_click_count == 0 and rows[None].item_click_count == 0 and rows["0"].item_click_count == 1
+    with pytest.raises(PySparkException):
+        parse_events(df, strict=True, require_action=False).collect()
