@@ -144,8 +144,11 @@ def start_live_dashboards(
     """
     from clickpulse.streaming import live
 
-    events = parse_events(messages, strict=settings.strict)
-    any_action = parse_events(messages, strict=settings.strict, require_action=False)
+    # Keep the message's own columns (e.g. Kafka partition and offset): they make
+    # copies of one event distinct, so parity mode's key salting spreads them.
+    position = [c for c in messages.columns if c != "value"]
+    events = parse_events(messages, *position, strict=settings.strict)
+    any_action = parse_events(messages, *position, strict=settings.strict, require_action=False)
     args = {
         "member_total": (settings.member_width,),
         "item_total": (settings.item_width,),

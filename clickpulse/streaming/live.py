@@ -10,8 +10,9 @@ window needs; it fires in idle micro-batches too. Tumbling windows are the case
 
 Work per key and micro-batch is one vectorised pandas reduction over the
 batch's rows (Arrow-batched, no per-row Python). Keys are salted into
-``salt_buckets`` sub-keys by a hash of the row, so a hot key (or the single
-site-wide key of J1) is spread over as many tasks; all sub-keys of a window
+``salt_buckets`` sub-keys by a hash of the row and its source position, so a
+hot key (or the single site-wide key of J1, or many copies of one event) is
+spread over as many tasks; all sub-keys of a window
 fire in the same micro-batch, and ``merge_partials`` combines them there with
 built-in aggregates.
 
@@ -119,6 +120,13 @@ class ClockWindows(StatefulProcessor):
         pass
 
 
+def salt_column(df: DataFrame, buckets: int) -> Column:
+    """Sub-key in ``[0, buckets)``: a hash of the whole row, its source position
+    when it has one (Kafka partition and offset, a replay id), and the input
+    partition. Identical copies of one event then still spread over sub-keys."""
+    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(buckets)).cast("int")
+
+
 def clock_windows(
     events: DataFrame,
     keys: Sequence[str],
@@ -140,7 +148,7 @@ def clock_windows(
     if spark.conf.get(PROVIDER_CONF, "") != ROCKSDB_PROVIDER:
         spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
     ship_package(spark)
-    salt = F.pmod(F.xxhash64(*events.columns), F.lit(salt_buckets)).cast("int")
+    salt = salt_column(events, salt_buckets)
     src = events.select(
         *keys,
         salt.alias(SALT),

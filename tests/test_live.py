@@ -190,3 +190,14 @@ def test_start_live_dashboards(spark, scratch, one_file):
         assert df.columns[: len(sinks.SINK_TABLES[table][0])] == sinks.SINK_TABLES[table][0]
     clicks = spark.read.parquet(outs["realtime_member_total"]).agg(F.sum("click_count")).collect()[0][0]
     assert clicks == parse_events(spark.read.parquet(one_file)).filter("action_code = 0").count()
+
+
+def test_salt_spreads_copies_of_one_event(spark):
+    # 3000 identical events at different source positions: every sub-key gets a share.
+    from pyspark.sql import functions as F
+
+    from clickpulse.streaming.live import salt_column
+
+    df = spark.range(3000).select(F.col("id").alias("offset"), F.lit("c").alias("cat_id"), F.lit(1).alias("n"))
+    counts = [r["count"] for r in df.select(salt_column(df, 8).alias("s")).groupBy("s").count().collect()]
+    assert len(counts) == 8 and min(counts) > 3000 / 8 / 2
