@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
 from clickpulse.plans.catalog import CAT_SIZE, CAT_SLIDE, ITEM_WIDTH, MEMBER_WIDTH, PROVINCE_WIDTH
 from clickpulse.session import scratch_path
-from clickpulse.sources.testdata import read_table, user_behavior
+from clickpulse.sources.testdata import user_behavior
 
 BATCH_ID = "batch_id"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -136,4 +136,4 @@ STREAM_QUERIES = {
     "stream_province_window": q_stream_province_window,
 }
 
-__all__ = ["STREAM_QUERIES", "read_table", "replay_events", "run_to_table", "stream_view"]
+__all__ = ["STREAM_QUERIES", "latest_per_key", "replay_events", "run_to_table", "stream_view"]
