@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
 from clickpulse.plans.catalog import CAT_SIZE, CAT_SLIDE, ITEM_WIDTH, MEMBER_WIDTH, PROVINCE_WIDTH
 from clickpulse.session import scratch_path
-from clickpulse.sources.testdata import user_behavior
+from clickpulse.sources.testdata import TABLE_SCHEMAS, user_behavior
 
 BATCH_ID = "batch_id"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -33,9 +33,9 @@ def replay_events(
 ) -> DataFrame:
     """A streaming DataFrame over the parquet files matching ``pattern`` in ``source_dir``.
 
-    The schema is fixed from the files themselves once, never inferred per batch.
+    The schema is the event table's fixed schema, never inferred.
     """
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{pattern}").schema
+    schema = TABLE_SCHEMAS["events"]
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
