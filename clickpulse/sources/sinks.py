@@ -66,6 +66,27 @@ def parquet(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
     return write
 
 
+def parquet_stream(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str | None = None,
+    trigger: str = "1 second",
+    available_now: bool = False,
+):
+    """S7 as Spark's own file sink: append mode, exactly once through its commit log.
+
+    For metric streams with a watermark (each window written once, when it
+    closes). Readers should read ``path`` with Spark, which honours the log.
+    """
+    w = df.writeStream.format("parquet").outputMode("append").option("path", path)
+    w = w.option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
+
+
 class JdbcTable:
     """Append each micro-batch to a JDBC table, once per ``batch_id``.
 
