@@ -161,7 +161,7 @@ _ORACLE: dict[str, str] = {
     ),
 }
 # Streaming twins (file replay, same metric functions) answer the same SQL.
-for _name in ("member_total", "item_total", "cat_window", "province_window"):
+for _name in ("member_total", "item_total", "cat_window", "province_window", "member_grand_total", "item_grand_total"):
     _ORACLE[f"stream_{_name}"] = _ORACLE[_name]
 
 

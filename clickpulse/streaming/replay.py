@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.operators.rollups import item_grand_total, member_grand_total
 from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
 from clickpulse.plans.catalog import CAT_SIZE, CAT_SLIDE, ITEM_WIDTH, MEMBER_WIDTH, PROVINCE_WIDTH
 from clickpulse.session import scratch_path
@@ -129,11 +130,23 @@ def q_stream_province_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(df, "province_window", ["province", "window_start"])
 
 
+def q_stream_member_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 as a stream: site totals since the start, straight from the counters (one state row)."""
+    return run_to_table(member_grand_total(stream_view(spark, sf_dir)), "member_grand_total", [])
+
+
+def q_stream_item_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 as a stream: per-item totals since the start (one state row per item)."""
+    return run_to_table(item_grand_total(stream_view(spark, sf_dir)), "item_grand_total", ["item_id"])
+
+
 STREAM_QUERIES = {
     "stream_member_total": q_stream_member_total,
     "stream_item_total": q_stream_item_total,
     "stream_cat_window": q_stream_cat_window,
     "stream_province_window": q_stream_province_window,
+    "stream_member_grand_total": q_stream_member_grand_total,
+    "stream_item_grand_total": q_stream_item_grand_total,
 }
 
 __all__ = ["STREAM_QUERIES", "latest_per_key", "replay_events", "run_to_table", "stream_view"]
