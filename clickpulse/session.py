@@ -47,11 +47,15 @@ def get_session(
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it. Only when it is
-    unset (a local test session) a fresh temporary folder is made and set.
+    Read from ``spark.checkpoint.dir`` as the cluster names it. Only a local
+    session without it (tests) gets a fresh temporary folder; on a cluster a
+    machine-local folder would not survive the loss of that machine, so the
+    setting is required there.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="clickpulse-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if spark.sparkContext.getCheckpointDir() is None:
