@@ -9,10 +9,17 @@ seconds to hours (see ``clickpulse.plans.catalog``).
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Loadable by file path from any working directory: the package sits next to this file.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from clickpulse.functions.regions import REGION_CODES
 from clickpulse.plans.catalog import BATCH_QUERIES, q_province_window
 from clickpulse.sources.testdata import FIXTURE_PROVINCES
