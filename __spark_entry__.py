@@ -20,9 +20,9 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from clickpulse.functions.regions import REGION_CODES
-from clickpulse.plans.catalog import BATCH_QUERIES, q_province_window
-from clickpulse.sources.testdata import FIXTURE_PROVINCES
+from clickpulse.functions.regions import REGION_CODES  # noqa: E402
+from clickpulse.plans.catalog import BATCH_QUERIES, q_province_window  # noqa: E402
+from clickpulse.sources.testdata import FIXTURE_PROVINCES  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
