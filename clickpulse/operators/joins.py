@@ -34,6 +34,10 @@ def lookup_join(
     3. Beyond that both sides are shuffled on the key; adaptive execution
        splits partitions of hot keys (``spark.sql.adaptive.skewJoin``), so a
        key holding a third of the rows is spread over many tasks.
+
+    For a streaming ``big`` there is no key cut: a static side over the limit
+    would be shuffled again in every micro-batch. Store such a table bucketed
+    by the key (``bucketBy``) so only the stream side moves.
     """
     limit = max_rows if max_rows is not None else broadcast_limit(big)
     if row_count(small) <= limit:
