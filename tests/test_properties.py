@@ -67,3 +67,22 @@ def test_member_total_brute_force(spark, rows):
         c = want[r.window_start]
         assert (r.click_count, r.addcart_count, r.buy_count, r.focus_count) == (c["0"], c["1"], c["2"], c["3"])
         assert r.window_end - r.window_start == dt.timedelta(seconds=width)
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(*[st.one_of(st.none(), st.text(max_size=8)) for _ in range(9)], st.integers(0, 2**62)),
+        min_size=1,
+        max_size=20,
+    )
+)
+def test_json_round_trip_any_text(spark, rows):
+    from clickpulse.functions.events import parse_with_status, to_messages
+    from clickpulse.schema import EVENT_COLUMNS
+
+    schema = ", ".join(f"{c} {'bigint' if c == 'event_ms' else 'string'}" for c in EVENT_COLUMNS)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + schema)
+    back = parse_with_status(to_messages(df, "i"), "i").orderBy("i").collect()
+    assert [tuple(r[c] for c in EVENT_COLUMNS) for r in back] == [tuple(r) for r in rows]
+    assert all(r.reject_reason != "malformed" for r in back)
