@@ -50,14 +50,15 @@ def run(a: argparse.Namespace, spark: SparkSession | None = None) -> list:
     spark = spark or get_session("clickpulse-dashboards")
     msgs, settings, writer = _messages(spark, a), _settings(a), _writer(a)
     if a.live:
-        queries = jobs.start_live_dashboards(msgs, writer, settings)
+        queries = jobs.start_live_dashboards(msgs, writer, settings, checkpoint_root=a.checkpoint_root)
     else:
         queries = []
         for name, (build, table) in jobs.JOBS.items():
             if a.jobs and name not in a.jobs:
                 continue
             shaped = sinks.fan_out(writer(table), shape=jobs._shaper(table))  # noqa: SLF001
-            queries.append(jobs.start_job(build(msgs, settings), name, shaped, settings, available_now=a.once))
+            ckpt = jobs.job_checkpoint(spark, name, a.checkpoint_root)
+            queries.append(jobs.start_job(build(msgs, settings), name, shaped, settings, ckpt, available_now=a.once))
     if a.once:
         for q in queries:
             q.awaitTermination()
@@ -92,6 +93,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--jobs", type=lambda s: s.split(","), help="subset, e.g. member_total,cat_window")
     r.add_argument("--live", action="store_true", help="windows close by the clock (T7)")
     r.add_argument("--once", action="store_true", help="process available input, then stop")
+    r.add_argument("--checkpoint-root", help="folder of the queries' checkpoints (default: under spark.checkpoint.dir)")
     for f in fields(jobs.JobSettings):
         if f.name != "strict":
             r.add_argument("--" + f.name.replace("_", "-"), dest=f.name)

@@ -85,9 +85,12 @@ JOBS: dict[str, tuple[Callable[[DataFrame, JobSettings], DataFrame], str]] = {
 }
 
 
-def job_checkpoint(spark: SparkSession, name: str) -> str:
-    """One checkpoint folder per query, stable across restarts."""
-    return f"{storage_root(spark)}/clickpulse/jobs/{name}"
+def job_checkpoint(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """One checkpoint folder per query, stable across restarts.
+
+    A restart must use the same folder; a different source needs a new one.
+    """
+    return f"{(root or storage_root(spark) + '/clickpulse/jobs').rstrip('/')}/{name}"
 
 
 def start_job(
@@ -115,6 +118,8 @@ def start_dashboards(
     writers: Callable[[str], sinks.BatchWriter],
     settings: JobSettings = JobSettings(),
     rejects: sinks.BatchWriter | None = None,
+    checkpoint_root: str | None = None,
+    available_now: bool = False,
 ) -> list[StreamingQuery]:
     """Start J1-J4 (and optionally a reject feed) in one session.
 
@@ -125,10 +130,13 @@ def start_dashboards(
     queries = []
     for name, (build, table) in JOBS.items():
         shape = _shaper(table)
-        queries.append(start_job(build(messages, settings), name, sinks.fan_out(writers(table), shape=shape), settings))
+        ckpt = job_checkpoint(messages.sparkSession, name, checkpoint_root)
+        writer = sinks.fan_out(writers(table), shape=shape)
+        queries.append(start_job(build(messages, settings), name, writer, settings, ckpt, available_now=available_now))
     if rejects is not None:
         bad = reject_events(messages)
-        queries.append(start_job(bad, "rejects", rejects, settings))
+        ckpt = job_checkpoint(messages.sparkSession, "rejects", checkpoint_root)
+        queries.append(start_job(bad, "rejects", rejects, settings, ckpt, available_now=available_now))
     return queries
 
 
@@ -137,6 +145,7 @@ def start_live_dashboards(
     writers: Callable[[str], sinks.BatchWriter],
     settings: JobSettings = JobSettings(),
     salt_buckets: int = 16,
+    checkpoint_root: str | None = None,
 ) -> list[StreamingQuery]:
     """J1-J4 in parity mode (T7): windows close by the clock, also while input is idle.
 
@@ -164,7 +173,8 @@ def start_live_dashboards(
         def shape(batch: DataFrame, batch_id: int, finish=finish, table=table) -> DataFrame:
             return sinks.sink_rows(finish(batch), table)
 
-        queries.append(start_job(result, f"{name}_live", sinks.fan_out(writers(table), shape=shape), settings))
+        ckpt = job_checkpoint(messages.sparkSession, f"{name}_live", checkpoint_root)
+        queries.append(start_job(result, f"{name}_live", sinks.fan_out(writers(table), shape=shape), settings, ckpt))
     return queries
 
 

@@ -11,11 +11,12 @@ from conftest import SF001
 
 
 def test_run_once_from_files_to_parquet(spark, scratch):
-    src, out = scratch("cli_src"), scratch("cli_out")
+    src, out, ckpt = scratch("cli_src"), scratch("cli_out"), scratch("cli_ckpt")
     raw_messages(spark, SF001).select("value").write.text(src)
     main(
         ["run", "--source", "files", "--path", src, "--sink", "parquet", "--out", out, "--time", "event", "--once",
-         "--jobs", "member_total,province_window", "--member-width", "3 hours", "--province-width", "10 hours"],
+         "--jobs", "member_total,province_window", "--member-width", "3 hours", "--province-width", "10 hours",
+         "--checkpoint-root", ckpt],
         spark,
     )
     got = spark.read.parquet(f"{out}/realtime_member_total")

@@ -171,7 +171,8 @@ def test_start_live_dashboards(spark, scratch, one_file):
 
     settings = jobs.JobSettings(member_width="2 seconds", item_width="2 seconds", cat_size="2 seconds",
                                 cat_slide="1 second", province_width="2 seconds")
-    qs = jobs.start_live_dashboards(messages(spark, one_file), writer, settings, salt_buckets=2)
+    qs = jobs.start_live_dashboards(messages(spark, one_file), writer, settings, salt_buckets=2,
+                                    checkpoint_root=scratch("live_ckpts"))
     try:
         end = time.time() + 60
         while time.time() < end:
