@@ -124,7 +124,8 @@ def start_dashboards(
     """Start J1-J4 (and optionally a reject feed) in one session.
 
     ``writers(table)`` gives the batch writer for a result table, e.g.
-    ``lambda t: sinks.fan_out(sinks.console(), sinks.JdbcTable(url, t), shape=...)``.
+    ``lambda t: sinks.fan_out(sinks.console(), sinks.JdbcTable(url, t))``; it
+    receives rows already shaped for the table, from a persisted batch.
     Wait on them with ``spark.streams.awaitAnyTermination()``.
     """
     queries = []
