@@ -16,7 +16,7 @@ from clickpulse.operators.windows import member_total
 
 MEMBER_COUNTS = ["click_count", "addcart_count", "buy_count", "focus_count"]
 
-# Rows per bucket of the running sum: each bucket is one task's sort.
+# Windows per bucket of the running sum; one bucket is sorted within one task.
 BUCKET_ROWS = 4096
 
 

@@ -4,8 +4,9 @@ The replay reads parquet files as they appear (``maxFilesPerTrigger`` files per
 micro-batch); ``run_to_table`` drives a query to the end of its input and
 returns the final result as a batch DataFrame.
 
-Results are kept as an *update log*: the query runs in update mode with a
-watermark, so state for closed windows is dropped, and each micro-batch writes
+Results are kept as an *update log*: the query runs in update mode (windowed
+ones with a watermark, so state for closed windows is dropped; the since-start
+totals keep one state row per key), and each micro-batch writes
 the rows it changed to ``<out>/batch_id=<n>`` (overwritten if the batch is
 re-run after a failure, so nothing doubles). The final table is the newest row
 per key, a partial-then-final aggregate. Nothing passes through the driver.
