@@ -52,3 +52,16 @@ def test_running_total_reuses_its_input_at_run_time(spark):
     text = plan_text(df)
     final_tree = text.split("== Initial Plan ==")[0]
     assert "isFinalPlan=true" in text and "ReusedExchange" in final_tree
+
+
+def test_spread_only_touches_inputs_with_few_splits(spark, scratch):
+    from clickpulse.sources.testdata import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    many, few = scratch("many_splits"), scratch("few_splits")
+    spark.range(10_000).repartition(cores * 2).write.parquet(many)
+    spark.range(10_000).coalesce(1).write.parquet(few)
+    big, small = spark.read.parquet(many), spark.read.parquet(few)
+    assert spread(big) is big  # enough splits: no added shuffle
+    assert "RoundRobinPartitioning" in plan_text(spread(small))
+    assert spread(small).rdd.getNumPartitions() == cores
