@@ -3,6 +3,8 @@
     python tests/dump_plans.py [sf_dir]
 """
 
+from __future__ import annotations
+
 import contextlib
 import io
 import os
@@ -10,26 +12,43 @@ import sys
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-from clickpulse.session import get_session
-from clickpulse.plans.catalog import BATCH_QUERIES
-spark = get_session(master="local[8]", shuffle_partitions=8)
-sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-out = ["# PLANS", "", "Physical plans of every registered batch query at sf0.1 on `local[8]`, as planned",
-       "before run time (AQE may still coalesce partitions, reuse exchanges or turn a join into a",
-       "broadcast), from `explain(\"formatted\")`: the operator tree, then",
-       "each scan's `ReadSchema` and `PushedFilters`. Generated from the code; `Exchange` = shuffle,",
-       "`BroadcastExchange` = the size-checked `part` lookup, `RoundRobinPartitioning` = the",
-       "single-split spread (absent when the input has enough splits).", ""]
-for k, fn in BATCH_QUERIES.items():
-    df = fn(spark, sf)
+
+from clickpulse.plans.catalog import BATCH_QUERIES  # noqa: E402
+from clickpulse.session import get_session  # noqa: E402
+
+HEADER = """# PLANS
+
+Physical plans of every registered batch query at sf0.1 on `local[8]`, as planned
+before run time (AQE may still coalesce partitions, reuse exchanges or turn a join into a
+broadcast), from `explain("formatted")`: the operator tree, then
+each scan's `ReadSchema` and `PushedFilters`. Generated from the code by
+`tests/dump_plans.py`; `Exchange` = shuffle, `BroadcastExchange` = the size-checked
+`part` lookup, `RoundRobinPartitioning` = the single-split spread (absent when the
+input has enough splits).
+"""
+
+
+def formatted(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
-    text = buf.getvalue()
-    tree = text.split("\n\n\n")[0]
-    final = tree.split("+- == Initial Plan ==")[0].rstrip()
-    scans = [l.strip() for l in text.splitlines() if l.startswith("ReadSchema") or l.startswith("PushedFilters")]
-    out += [f"## {k}", "", "```", final, "```", ""]
-    if scans:
-        out += ["```"] + sorted(set(scans)) + ["```", ""]
-open(os.path.join(ROOT, "PLANS.md"), "w").write("\n".join(out))
+    return buf.getvalue()
+
+
+def main(argv: list[str]) -> None:
+    sf = argv[0] if argv else "/root/testdata/sf0.1"
+    spark = get_session(master="local[8]", shuffle_partitions=8)
+    out = [HEADER]
+    for name, fn in BATCH_QUERIES.items():
+        text = formatted(fn(spark, sf))
+        tree = text.split("\n\n\n")[0].split("+- == Initial Plan ==")[0].rstrip()
+        scans = sorted({ln.strip() for ln in text.splitlines() if ln.startswith(("ReadSchema", "PushedFilters"))})
+        out += [f"## {name}", "", "```", tree, "```", ""]
+        if scans:
+            out += ["```", *scans, "```", ""]
+    with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
+        f.write("\n".join(out))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1:])
