@@ -105,3 +105,11 @@ def test_native_parquet_sink_is_exactly_once_on_restart(spark, scratch, message_
         q.awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == got.select("window_start").distinct().count() > 200
+
+
+def test_strict_job_fails_on_a_bad_message(spark, message_dir):
+    from pyspark.errors import PySparkException
+
+    strict = jobs.JobSettings(time="event", member_width="3 hours", strict=True)
+    with pytest.raises(PySparkException):
+        jobs.member_job(spark.read.parquet(message_dir), strict).collect()

@@ -39,3 +39,18 @@ def test_lookup_is_a_projection_not_a_join(spark):
     df = with_region(spark.range(10).select(F.lit("北京市").alias("province")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_map_lookup_equals_broadcast_join(spark):
+    # The literal-map lookup gives what SURVEY's broadcast left join gives.
+    from clickpulse.functions.regions import normalize_province
+    from clickpulse.sources.testdata import user_behavior
+    from conftest import SF01
+
+    ub = user_behavior(spark, SF01).select("event_id", normalize_province("province").alias("province"))
+    via_map = with_region(ub)
+    via_join = ub.join(F.broadcast(region_codes(spark)), "province", "left").select(
+        "event_id", "province", F.coalesce(F.col(CODE_COLUMN), F.lit("")).alias(CODE_COLUMN)
+    )
+    a = via_map.select("event_id", "province", CODE_COLUMN)
+    assert a.exceptAll(via_join).count() == 0 and via_join.exceptAll(a).count() == 0
