@@ -47,7 +47,8 @@ USER_LOG_COLUMNS: list[str] = [
 ]
 USER_LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in USER_LOG_COLUMNS])
 
-# Action codes carried in the `action` field; any other value raises no counter.
+# Action codes carried in the `action` field (click, add to cart,
+# buy, follow); any other value raises no counter.
 CLICK, ADDCART, BUY, FOCUS = 0, 1, 2, 3
 
 # Result table columns in sink order. Counts are INT at the sink, BIGINT inside.
