@@ -49,7 +49,7 @@ def run(a: argparse.Namespace, spark: SparkSession | None = None) -> list:
     spark = spark or get_session("clickpulse-dashboards")
     msgs, settings, writer = _messages(spark, a), _settings(a), _writer(a)
     if a.live:
-        queries = jobs.start_live_dashboards(msgs, writer, settings, checkpoint_root=a.checkpoint_root)
+        queries = jobs.start_live_dashboards(msgs, writer, settings, checkpoint_root=a.checkpoint_root, only=a.jobs)
     else:
         queries = []
         for name, (build, table) in jobs.JOBS.items():
