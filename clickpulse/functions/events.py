@@ -127,12 +127,17 @@ def clicks(df: DataFrame) -> DataFrame:
     return with_action_code(df).filter(F.col("action_code") == CLICK)
 
 
-def _flag(code: int) -> Column:
-    return F.when(F.col("action_code") == code, F.lit(1)).otherwise(F.lit(0))
+def action_flags(df: DataFrame) -> DataFrame:
+    """One-hot INT counters ``click, addcart, buy, focus``; other actions give zeros.
 
+    One projection: the shared ``action_code`` expression is evaluated once by codegen.
+    """
+    has_code = "action_code" in df.columns
+    code = F.col("action_code") if has_code else action_code("action")
 
-def action_flags(df: DataFrame) -> DataFrame:
-    """One-hot INT counters ``click, addcart, buy, focus``; other actions give zeros."""
-    return with_action_code(df).withColumns(
-        {"click": _flag(CLICK), "addcart": _flag(ADDCART), "buy": _flag(BUY), "focus": _flag(FOCUS)}
-    )
+    def flag(k: int) -> Column:
+        return F.when(code == k, F.lit(1)).otherwise(F.lit(0))
+
+    cols = {} if has_code else {"action_code": code}
+    cols.update({"click": flag(CLICK), "addcart": flag(ADDCART), "buy": flag(BUY), "focus": flag(FOCUS)})
+    return df.withColumns(cols)
