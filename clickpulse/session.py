@@ -54,15 +54,25 @@ def storage_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="clickpulse-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
+        pass
     return root.rstrip("/")
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 - no SparkContext: a remote session, never local
+        return False
+
+
 def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
     """A new, unique path under the shared root: ``<root>/clickpulse/<kind>/<name>-<id>``."""
     return f"{storage_root(spark)}/clickpulse/{kind}/{name}-{uuid.uuid4().hex[:12]}"

@@ -60,8 +60,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if input_splits(df) < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = input_splits(df)
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
