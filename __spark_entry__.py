@@ -24,6 +24,16 @@ from clickpulse.functions.regions import REGION_CODES  # noqa: E402
 from clickpulse.plans.catalog import BATCH_QUERIES, q_province_window  # noqa: E402
 from clickpulse.sources.testdata import FIXTURE_PROVINCES  # noqa: E402
 
+# The training-data operators and their pipeline are optional: without those files
+# everything else works. An import error inside them is not swallowed.
+try:
+    import corpus_pipeline
+    from clickpulse.llm.queries import LLM_ORACLE, LLM_QUERIES
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "clickpulse.llm", "clickpulse.llm.queries"):
+        raise
+    corpus_pipeline, LLM_ORACLE, LLM_QUERIES = None, {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -40,6 +50,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     except ImportError:  # pragma: no cover - streaming part missing
         STREAM_QUERIES = {}
     out.update(STREAM_QUERIES)
+    out.update(LLM_QUERIES)
+    if corpus_pipeline is not None:
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -175,4 +188,4 @@ for _name in ("member_total", "item_total", "cat_window", "province_window", "me
 def oracle_sql() -> dict[str, str]:
     """For each key in ``queries()``, equivalent DuckDB SQL over the same parquet views."""
     keys = queries().keys()
-    return {k: v for k, v in _ORACLE.items() if k in keys}
+    return {k: v for k, v in (_ORACLE | LLM_ORACLE).items() if k in keys}
