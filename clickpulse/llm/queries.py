@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import read_documents
+from clickpulse.llm.decontaminate import contaminated
 from clickpulse.llm.exact_dedup import mark_copies
 from clickpulse.llm.ngram_join import near_classes
 from clickpulse.llm.sharding import assign_shards
@@ -17,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read_documents(spark, sf_dir))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(read_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "class_id")
 
@@ -36,6 +41,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_sharding": op6_sharding,
 }

@@ -126,6 +126,16 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.
     return result, out
 
 
+def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` (below five) words from each word on; equals the shingle of a text of just these words."""
+    if len(words) < k:
+        return np.zeros(0, np.uint64)
+    h = np.full(len(words) - k + 1, k, np.uint64)
+    for i in range(k):
+        h = h + words[i : len(words) - k + 1 + i] * _MULT[i]
+    return mix(h)
+
+
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words, rows, _, _ = word_hashes(raw, offsets)
     return shingle_hashes(words, rows)
