@@ -52,6 +52,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
+def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Content hash of each span of ``values`` (64-bit, one per symbol): a polynomial in an odd base."""
+    n = len(values)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * _power("up", _BASE, n), out=total[1:])
+    h = (total[end] - total[start]) * _power("down", _BASE_INV, n + 1)[start]
+    return mix(h + (end - start).astype(np.uint64))
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -77,6 +86,14 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def code_points(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unicode code points of UTF-8 bytes, and the row offsets counted in them."""
+    codes = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
+    before = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum((raw & 0xC0) != 0x80, out=before[1:])
+    return codes, before[offsets]
+
+
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(hash, row offsets into the words, start byte, end byte)`` of every word of the rows."""
     n = len(raw)
@@ -94,10 +111,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends[inner - 1] = word[inner - 1]
     start = np.flatnonzero(begins)
     end = np.flatnonzero(ends) + 1
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[raw] * _power("up", _BASE, n), out=total[1:])
-    h = (total[end] - total[start]) * _power("down", _BASE_INV, n + 1)[start]
-    h = mix(h + (end - start).astype(np.uint64))
+    h = span_hashes(_VALUE[raw], start, end)
     return h, np.searchsorted(start, offsets), start, end
 
 
