@@ -11,13 +11,33 @@ from clickpulse.llm.common import read_documents
 from clickpulse.llm.decontaminate import contaminated
 from clickpulse.llm.exact_dedup import mark_copies
 from clickpulse.llm.ngram_join import near_classes
+from clickpulse.llm.sentencepiece_codec import decode_documents, encode_documents
 from clickpulse.llm.sharding import assign_shards
+from clickpulse.llm.token_counts import count_documents
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read_documents(spark, sf_dir))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_digest(read_documents(spark, sf_dir))
+
+
+def codec_digest(docs: DataFrame) -> DataFrame:
+    """Per document: number of ids, sha256 of the ids (decimal, comma-joined), and whether decoding gives the text back."""
+    encoded = encode_documents(docs.select("doc_id", "text"))
+    both = decode_documents(encoded)
+    # U+2581 is the vocabulary's own mark for a space and reads back as one.
+    text = F.translate(F.coalesce("text", F.lit("")), "\u2581", " ")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
@@ -39,11 +59,17 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_documents(read_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "counts.*")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_sharding": op6_sharding,
+    "op7_token_counts": op7_token_counts,
 }
 
 _OP1 = r"""

@@ -41,6 +41,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x2581
 #: Text bytes taken at once.
 BATCH_BYTES = 4 << 20
+#: Ids decoded at once.
+BATCH_IDS = 1 << 20
 _NONE = np.int64(1 << 40)
 
 
@@ -78,8 +80,9 @@ class PieceModel:
         self.mark = number[mark]
 
         # Characters as small numbers; 0 stands for any other character.
-        self.codes = np.sort(np.array([ord(c) for c in text], np.uint32))
-        symbol = {chr(c): k + 1 for k, c in enumerate(self.codes.tolist())}
+        symbol = {c: k + 1 for k, c in enumerate(sorted(text))}
+        self.symbol_of = np.zeros(0x110000, np.int32)
+        self.symbol_of[[ord(c) for c in symbol]] = list(symbol.values())
         self.size = len(symbol) + 1
         self.mark_symbol = symbol[mark]
         self.longest = max(map(len, order))
@@ -117,6 +120,14 @@ class PieceModel:
         self.piece_symbols = np.zeros((len(usable), self.longest), np.int32)
         for row, k in enumerate(usable):
             self.piece_symbols[row, : len(order[k])] = [symbol[c] for c in order[k]]
+        # Pieces as ranges of packed keys: the free places hold the least and the greatest symbols.
+        self.bits = self.size.bit_length()
+        self.per_key = 62 // self.bits
+        head = self.piece_symbols[:, : self.per_key].astype(np.int64)
+        fill = np.arange(head.shape[1]) >= self.piece_lengths[:, None]
+        shifts = (self.per_key - 1 - np.arange(head.shape[1])) * self.bits
+        self.piece_keys = (head << shifts).sum(axis=1)
+        self.piece_keys_end = (np.where(fill, (1 << self.bits) - 1, head) << shifts).sum(axis=1)
         self._run_memory: dict[int, np.ndarray] = {}
         rng = np.random.default_rng(7)
         self.symbol_values = rng.integers(1, 2**63, self.size, dtype=np.uint64)
@@ -127,7 +138,9 @@ class PieceModel:
             bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else p.replace(mark, " ").encode()
             for i, p in enumerate(names)
         ]
-        self.unknown = model.unk_id()
+        self.bytes_of[model.unk_id()] = " \u2047 ".encode()
+        self.byte_starts = np.cumsum([0, *map(len, self.bytes_of)])
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     @staticmethod
     def _last_split(parts: list[int], pairs: dict[tuple[int, int], int]) -> tuple[int, int] | None:
@@ -140,11 +153,6 @@ class PieceModel:
             parts[k : k + 2] = [best[0]]
         return (parts[0], parts[1]) if len(parts) == 2 and tuple(parts) in pairs else None
 
-    def symbols(self, codes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.codes, codes)
-        at = np.minimum(at, len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, at + 1, 0).astype(np.int32)
-
     def stays(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the merges leave these two pieces side by side.
 
@@ -171,48 +179,58 @@ class PieceModel:
             live, a, b, limit = live[go], a2[go], b2[go], limit[go]
         return out
 
-    def suffix_array(self, text: np.ndarray) -> np.ndarray:
-        """Suffixes by their first ``longest`` symbols, by doubling the sorted depth."""
-        order = np.argsort(text, kind="stable")
-        rank = text.astype(np.int64)
-        depth = 1
-        while True:
-            if depth > 1:
-                order = np.argsort(rank, kind="stable")
-            if depth >= self.longest:
-                return order
-            later = np.zeros(len(rank), np.int64)
-            later[:-depth] = rank[depth:] + 1 if depth < len(rank) else 0
-            key = rank * (int(rank.max(initial=0)) + 2) + later
-            sort = np.argsort(key, kind="stable")
-            new = np.zeros(len(rank), np.int64)
-            new[sort[1:]] = np.cumsum(np.diff(key[sort]) != 0)
-            rank, depth = new, depth * 2
+    def packed(self, text: np.ndarray) -> np.ndarray:
+        """The first ``per_key`` symbols of every suffix as one number."""
+        padded = np.concatenate([text, np.zeros(self.per_key, text.dtype)]).astype(np.int64)
+        key = np.zeros(len(text), np.int64)
+        for k in range(self.per_key):
+            key = (key << self.bits) | padded[k : k + len(text)]
+        return key
+
+    def suffix_array(self, key: np.ndarray) -> np.ndarray:
+        """Suffixes in the order of their first ``longest`` symbols, by doubling the sorted depth."""
+        depth = self.per_key
+        order = np.argsort(key)
+        while depth < self.longest:
+            rank = np.zeros(len(key), np.int64)
+            rank[order[1:]] = np.cumsum(np.diff(key[order]) != 0)
+            later = np.zeros(len(key), np.int64)
+            later[:-depth] = rank[depth:] + 1
+            key = rank * (len(key) + 2) + later
+            order = np.argsort(key)
+            depth *= 2
+        return order
 
     def occurrences(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(position, row of the piece)`` of every occurrence of every piece: a range of the suffix array each."""
-        order = self.suffix_array(text)
+        key = self.packed(text)
+        order = self.suffix_array(key)
+        sorted_key = key[order]
         padded = np.concatenate([text, np.zeros(self.longest, text.dtype)])
         columns = np.arange(self.longest)
         within = columns < self.piece_lengths[:, None]
+        # Ranges by the first symbols; whole pieces of up to per_key symbols are done with that.
+        low = np.searchsorted(sorted_key, self.piece_keys)
+        high = np.searchsorted(sorted_key, self.piece_keys_end, "right")
+        long = np.flatnonzero((self.piece_lengths > self.per_key) & (low < high))
 
         def bound(after: bool) -> np.ndarray:
-            lo, hi = np.zeros(len(self.piece_lengths), np.int64), np.full(len(self.piece_lengths), len(text))
+            lo, hi = low[long], high[long]
             while (open_ := lo < hi).any():
-                rows = np.flatnonzero(open_)
-                mid = (lo[rows] + hi[rows]) // 2
+                at = np.flatnonzero(open_)
+                rows = long[at]
+                mid = (lo[at] + hi[at]) // 2
                 diff = padded[order[mid][:, None] + columns] - self.piece_symbols[rows]
                 diff[~within[rows]] = 0
-                first = np.argmax(diff != 0, axis=1)
-                sign = diff[np.arange(len(rows)), first]
+                sign = diff[np.arange(len(rows)), np.argmax(diff != 0, axis=1)]
                 lower = sign <= 0 if after else sign < 0
-                lo[rows[lower]] = mid[lower] + 1
-                hi[rows[~lower]] = mid[~lower]
+                lo[at[lower]] = mid[lower] + 1
+                hi[at[~lower]] = mid[~lower]
             return lo
 
-        lo, hi = bound(False), bound(True)
-        count = hi - lo
-        return order[gather(lo, count)], np.repeat(np.arange(len(count)), count)
+        low[long], high[long] = bound(False), bound(True)
+        count = high - low
+        return order[gather(low, count)], np.repeat(np.arange(len(count)), count)
 
     def encode_spans(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of each span (no other characters inside, at most one space mark at its start)."""
@@ -312,7 +330,7 @@ class PieceModel:
         text[rows[:-1][full]] = MARK
         if not len(text):
             return np.zeros(0, np.int32), np.zeros(len(rows) - 1, np.int64)
-        symbols = self.symbols(text)
+        symbols = self.symbol_of[text]
         cut = np.ones(len(text) + 1, bool)
         cut[1:-1] = ~self.joins[symbols[:-1].astype(np.int64) * self.size + symbols[1:]]
         cut[rows] = True
@@ -354,18 +372,42 @@ class PieceModel:
         return np.concatenate([*parts, ids[done:]]), counts
 
     def decode(self, column: pa.Array) -> pa.Array:
-        """Texts of lists of ids. Bytes that are not UTF-8 become U+FFFD, unknown ids " ⁇ " as the model prints them."""
-        table = self.bytes_of
-        out = []
-        for ids in column:
-            ids = ids.values
-            if ids is None or not len(ids):
-                out.append("")
-                continue
-            text = b"".join([table[i] if i != self.unknown else " ⁇ ".encode() for i in ids.to_pylist()])
-            text = text.decode("utf-8", "replace")
-            out.append(text.removeprefix(" "))
-        return pa.array(out, pa.string())
+        """Texts of lists of ids. Bytes that are not UTF-8 become U+FFFD; the unknown id is printed as the model does."""
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        sizes = np.asarray(column.value_lengths().fill_null(0))
+        every = np.asarray(column.flatten())
+        done, out = 0, []
+        rows = np.concatenate([[0], np.cumsum(sizes)])
+        while done < len(sizes):
+            upto = min(max(int(np.searchsorted(rows, rows[done] + BATCH_IDS, "right")) - 1, done + 1), len(sizes))
+            out.append(self._decode_rows(every[rows[done] : rows[upto]], rows[done : upto + 1] - rows[done]))
+            done = upto
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+    def _decode_rows(self, ids: np.ndarray, rows: np.ndarray) -> pa.Array:
+        start = self.byte_starts[ids]
+        width = self.byte_starts[ids + 1] - start
+        ends = np.concatenate([[0], np.cumsum(width)])
+        raw = self.all_bytes[gather(start, width)]
+        # The dummy prefix goes: a space that begins a text.
+        offsets = ends[rows]
+        full = offsets[1:] > offsets[:-1]
+        lead = offsets[:-1][full]
+        lead = lead[raw[lead] == 32]
+        gone = np.zeros(len(raw) + 1, np.int64)
+        gone[lead + 1] = 1
+        offsets = offsets - np.cumsum(gone)[offsets]
+        raw = np.delete(raw, lead)
+        array = pa.StringArray.from_buffers(
+            len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())
+        )
+        try:
+            array.validate(full=True)
+            return array
+        except pa.ArrowInvalid:
+            octets = raw.tobytes()
+            return pa.array([octets[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:], strict=False)])
 
 
 _models: dict[str, PieceModel] = {}

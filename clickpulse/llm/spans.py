@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Distinct spans remembered by a worker; beyond it the memory starts afresh.
-REMEMBERED = 250_000
+#: Distinct spans remembered by a worker (about 50 bytes each); beyond it the memory starts afresh.
+REMEMBERED = 1_000_000
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -51,11 +51,9 @@ class SpanMemory:
         if len(new):
             lengths, values = self.compute(symbols, start[first[new]], end[first[new]])
             starts = len(self.values) + np.cumsum(lengths) - lengths
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.starts = np.concatenate([self.starts, starts])[order]
-            self.lengths = np.concatenate([self.lengths, lengths])[order]
+            self.keys = np.insert(self.keys, at[new], distinct[new])
+            self.starts = np.insert(self.starts, at[new], starts)
+            self.lengths = np.insert(self.lengths, at[new], lengths)
             self.values = np.concatenate([self.values, values.astype(np.int32)])
             at = np.searchsorted(self.keys, distinct)
         return self.values, self.starts[at][inverse], self.lengths[at][inverse]
