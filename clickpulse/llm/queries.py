@@ -13,6 +13,7 @@ from clickpulse.llm.exact_dedup import mark_copies
 from clickpulse.llm.ngram_join import near_classes
 from clickpulse.llm.sentencepiece_codec import decode_documents, encode_documents
 from clickpulse.llm.sharding import assign_shards
+from clickpulse.llm.suffix_dedup import remove_repeats
 from clickpulse.llm.token_counts import count_documents
 
 
@@ -63,6 +64,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(read_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "counts.*")
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -70,6 +81,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 _OP1 = r"""
