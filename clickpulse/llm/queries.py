@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import read_documents
+from clickpulse.llm.common import bucket_of_id, read_documents
 from clickpulse.llm.decontaminate import contaminated
 from clickpulse.llm.exact_dedup import mark_copies
+from clickpulse.llm.language_id import identify
 from clickpulse.llm.ngram_join import near_classes
 from clickpulse.llm.sentencepiece_codec import decode_documents, encode_documents
 from clickpulse.llm.sharding import assign_shards
@@ -43,6 +44,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    held_out = bucket_of_id(F.col("doc_id"), 3) == 1
+    return identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(read_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "class_id")
 
@@ -78,6 +85,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_language_id": op4_language_id,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
