@@ -12,6 +12,7 @@ from clickpulse.llm.decontaminate import contaminated
 from clickpulse.llm.exact_dedup import mark_copies
 from clickpulse.llm.language_id import identify
 from clickpulse.llm.ngram_join import near_classes
+from clickpulse.llm.quality import score_quality
 from clickpulse.llm.sentencepiece_codec import decode_documents, encode_documents
 from clickpulse.llm.sharding import assign_shards
 from clickpulse.llm.suffix_dedup import remove_repeats
@@ -71,6 +72,17 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(read_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "counts.*")
 
 
+def quality_teaches():
+    """The fold that labels may be learned from."""
+    return bucket_of_id(F.col("doc_id"), 5) != 0
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    scores = score_quality(read_documents(spark, sf_dir), labels, quality_teaches())
+    return scores.select("doc_id", (~quality_teaches()).alias("held_out"), "score", "predicted")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_documents(spark, sf_dir)).select(
         "doc_id",
@@ -89,6 +101,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
