@@ -13,6 +13,7 @@ from clickpulse.llm.exact_dedup import mark_copies
 from clickpulse.llm.language_id import identify
 from clickpulse.llm.ngram_join import near_classes
 from clickpulse.llm.quality import score_quality
+from clickpulse.llm.secrets import find_secrets
 from clickpulse.llm.sentencepiece_codec import decode_documents, encode_documents
 from clickpulse.llm.sharding import assign_shards
 from clickpulse.llm.suffix_dedup import remove_repeats
@@ -93,6 +94,30 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(find_secrets(read_documents(spark, sf_dir)))
+
+
+def secret_digest(found: DataFrame) -> DataFrame:
+    """Counts of base spans by kind, their digest, and all spans as text."""
+    base = F.filter("spans", lambda s: s["kind"] != "format")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -103,6 +128,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 _OP1 = r"""
