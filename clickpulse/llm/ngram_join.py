@@ -19,12 +19,13 @@ saves candidates, so each document picks its own; a pair needs the smaller ``l``
    postings of its prefix plus candidates (postings / l) times their verification.
 4. Star round: in each token's list every class meets a few central members only,
    and the pairs with most matches are verified. This makes most components.
-5. Rest: lists that still hold several components are cut into blocks, and pairs of
-   blocks of different components are compared inside tasks by their exact
-   intersections. Pairs inside one component decide nothing and are skipped.
+5. Rest: in lists that still hold several components, pairs of different components
+   are verified; pairs inside one component decide nothing and are skipped. A list of
+   more than ``BLOCK`` members is cut into blocks, and pairs of blocks of different
+   components are compared inside tasks by their exact intersections.
 
-No list is ever gathered whole: lists are cut into blocks of ``BLOCK`` members. The
-work of step 5 on one list can grow with the product of its components' sizes.
+No list is ever gathered whole. The work of step 5 on a long list can grow with the
+product of its components' sizes.
 
 Null and empty texts have an empty set: no link, ``n_shingles`` 0, component of
 their own id. Rows with one id count as one document. Rows without an id get
@@ -54,8 +55,10 @@ TOKENS_PER_MATCH = 16
 PIVOTS = 8
 #: Members of a block of step 5.
 BLOCK = 256
-#: Bits of the filter for surviving ids (2 MB, fixed); a full one only passes more ids on.
+#: Bits of the filters for surviving ids (2 MB) and for tokens seen twice (4 MB). The
+#: sizes are fixed; a full filter only passes on more rows, which exact joins drop.
 FILTER_BITS = 1 << 24
+TOKEN_BITS = 1 << 25
 
 
 def required(n, percent: int = PERCENT):
@@ -100,7 +103,9 @@ def _lists(ids: pa.Array, rows: list[int], parts: list[np.ndarray], names: list[
     return pa.record_batch([ids.take(pa.array(rows, pa.int64())), lists], names=names)
 
 
-def _hash_prefixes(percent: int):
+def _hash_prefixes(percent: int, bits: np.ndarray | None = None):
+    """Prefixes in hash order, of one copy of each set per task; with ``bits``, only tokens that pass that filter."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # copies inside one task need to be sent once; it holds 16 bytes a row
         for batch in batches:
@@ -111,8 +116,12 @@ def _hash_prefixes(percent: int):
                 if n == 0 or key in seen:
                     continue
                 seen.add(key)
+                head = tokens[: n - required(n, percent) + int(matches(n))]
+                if bits is not None:
+                    spot = head & (TOKEN_BITS - 1)
+                    head = head[(bits[spot >> 6] >> (spot & 63)) & 1 == 1]
                 rows.append(i)
-                parts.append(tokens[: n - required(n, percent) + int(matches(n))])
+                parts.append(head)
             yield _lists(batch["doc_id"], rows, parts, ["doc_id", "tokens"])
 
     return run
@@ -218,18 +227,45 @@ def _block_links(percent: int):
     return run
 
 
-def _filter_bits(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over hashed ids; see ``FILTER_BITS``."""
-    spot = F.pmod(F.xxhash64("class"), F.lit(FILTER_BITS))
+def _bitmap(spots: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of ``bits`` bits with the bits at ``spots.s`` set."""
     words = (
-        ids.select(spot.alias("s"))
-        .groupBy(F.shiftright("s", 6).alias("w"))
+        spots.groupBy(F.shiftright("s", 6).alias("w"))
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("bits"))
         .toPandas()
     )
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return bits
+    out = np.zeros(bits // 64, np.int64)
+    out[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out
+
+
+def _meeting(left: DataFrame, right: DataFrame, percent: int, more: Column) -> DataFrame:
+    """``a, b, found``: pairs of classes that meet in at least as many of these list entries as they must."""
+    return (
+        left.alias("a")
+        .join(right.alias("b"), "token")
+        .where((F.col("a.class") != F.col("b.class")) & _may_link(percent) & more)
+        .groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
+        .agg(F.count(F.lit(1)).alias("found"), F.max(F.least("a.ell", "b.ell")).alias("wanted"))
+        .where("found >= wanted")
+        .select("a", "b", "found")
+    )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose exact similarity reaches the threshold."""
+    pairs = stored(
+        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-pairs"
+    )
+
+    def side(c: str) -> DataFrame:
+        # Only the sets that a pair asks for; a small table of pairs is broadcast, by Spark's own size check.
+        wanted = sets.join(pairs.select(F.col(c).alias("class")).distinct(), "class", "left_semi")
+        return wanted.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), F.size(F.array_intersect("t_a", "t_b")).alias("o"))
+    return both.where(F.col("o") * 100 >= (F.col("n") - F.col("o")) * percent).select("a", "b")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -249,10 +285,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sized = members.where("class IS NOT NULL AND n_shingles > 0").groupBy("class").agg(F.max("n_shingles").alias("n"))
 
     # 2. multi-match prefixes in hash order
-    prefixes = texts.mapInArrow(_hash_prefixes(percent), "doc_id long, tokens array<long>")
-    postings = prefixes.select("doc_id", F.explode("tokens").alias("token"))
-    common = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    shared = postings.join(common, "token", "left_semi")
+    def postings(bits=None):
+        rows = texts.mapInArrow(_hash_prefixes(percent, bits), "doc_id long, tokens array<long>")
+        return rows.select("doc_id", F.explode("tokens").alias("token"))
+
+    common = postings().groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    common = stored(common, "join-common")
+    seen = _bitmap(common.select(F.expr(f"token & {TOKEN_BITS - 1}L").alias("s")), TOKEN_BITS)
+    shared = postings(seen).join(common, "token", "left_semi")
     shared = stored(
         shared.join(members.select("doc_id", "class"), "doc_id").select("token", "class").distinct(), "join-shared"
     )
@@ -265,11 +305,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # 3. whole sets of the classes left; false positives of the filter are only further candidates
     spotted = texts.withColumn("spot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
-    sets = spotted.mapInArrow(_whole_sets(_filter_bits(alive)), "class long, tokens array<long>")
-    each = sets.select("class", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
+    sets = spotted.mapInArrow(_whole_sets(_bitmap(alive.select(F.pmod(F.xxhash64("class"), F.lit(FILTER_BITS)).alias("s")), FILTER_BITS)), "class long, tokens array<long>")
+    each = sets.select("class", F.explode("tokens").alias("token"))
     df = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    each = each.join(df, "token")
+    # Classes with too few shared tokens go before any list is gathered.
+    enough = each.groupBy("class").agg(F.count(F.lit(1)).alias("found")).join(alive, "class")
+    enough = enough.where(F.col("found") * 100 >= F.col("n") * percent).select("class", "n")
     ordered = (
-        each.join(df, "token")
+        each.join(enough, "class")
         .groupBy("class")
         .agg(F.max("n").alias("n"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("x"))
         .select("class", "n", F.size("x").cast("long").alias("m"), F.col("x.df").alias("dfs"), F.col("x.token").alias("tokens"))
@@ -286,35 +330,30 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # 4. star round
     central = Window.partitionBy("token").orderBy(F.col("m").desc(), F.xxhash64("class"))
     pivots = heads.withColumn("_k", F.row_number().over(central)).where(F.col("_k") <= PIVOTS).drop("_k")
-    pairs = (
-        heads.alias("a")
-        .join(pivots.alias("b"), "token")
-        .where((F.col("a.class") != F.col("b.class")) & _may_link(percent))
-        .groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
-        .agg(F.count(F.lit(1)).alias("found"), F.first(F.least("a.ell", "b.ell")).alias("wanted"))
-        .where("found >= wanted")
-    )
+    pairs = _meeting(heads, pivots, percent, F.lit(True))
     best = Window.partitionBy("a").orderBy(F.col("found").desc(), "b")
     pairs = pairs.withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= PIVOTS)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda c: sets.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), F.size(F.array_intersect("t_a", "t_b")).alias("o"))
-    links = stored(both.where(F.col("o") * 100 >= (F.col("n") - F.col("o")) * percent).select("a", "b"), "join-star-links")
+    links = stored(_verified(pairs, sets, percent), "join-star-links")
     stars = stored(connected_components(links, "join-star"), "join-star-components")
 
     # 5. lists that still hold several components
     placed = heads.join(stars, heads["class"] == stars["node"], "left").select(
-        "token", "class", F.coalesce("component", "class").alias("comp")
+        "token", "class", "n", "m", "ell", F.coalesce("component", "class").alias("comp")
     )
-    several = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    placed = stored(placed.join(several.select("token"), "token", "left_semi"), "join-rest")
-    per_comp = placed.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+    several = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size"))
+    placed = stored(placed.join(several.where("x <> y").select("token", "size"), "token"), "join-rest")
+    # Short lists: their pairs of different components, at most BLOCK / 2 for each entry.
+    short = placed.where(F.col("size") <= BLOCK).drop("size")
+    pairs = _meeting(short, short, percent, (F.col("a.class") < F.col("b.class")) & (F.col("a.comp") != F.col("b.comp")))
+    rest = _verified(pairs, sets, percent)
+    # Long lists: blocks. These count a pair's whole prefixes, so nothing depends on its short lists.
+    long = placed.where(F.col("size") > BLOCK)
+    per_comp = long.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     per_comp = per_comp.withColumn("large", F.col("c") >= BLOCK)
     small = per_comp.where("NOT large").groupBy("token").agg(F.sum("c").alias("s"))
     # A large component has blocks of its own; small ones share blocks.
     blocked = (
-        placed.join(per_comp, ["token", "comp"])
+        long.join(per_comp, ["token", "comp"])
         .join(small, "token", "left")
         .select(
             "token",
@@ -337,8 +376,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .join(sets, "class")
         .select("token", "p", "q", "class", "comp", "n", "ell", "upto", "tokens")
     )
-    rest = groups.groupBy("token", "p", "q").applyInPandas(_block_links(percent), "a long, b long")
-    rest = connected_components(rest.distinct(), "join-rest-links")
+    far = groups.groupBy("token", "p", "q").applyInPandas(_block_links(percent), "a long, b long")
+    # Links between components, named by their smallest classes.
+    named = rest.join(stars.withColumnRenamed("node", "a").withColumnRenamed("component", "p"), "a", "left")
+    named = named.join(stars.withColumnRenamed("node", "b").withColumnRenamed("component", "q"), "b", "left")
+    named = named.select(F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b"))
+    rest = connected_components(named.unionByName(far), "join-rest-links")
 
     # Components of components.
     final = members.join(stars.withColumnRenamed("node", "class"), "class", "left")
