@@ -9,6 +9,8 @@ import numpy as np
 
 #: Probability left for symbols that a state has not seen, together.
 UNSEEN = 1e-3
+#: How far below its weakest hundredth of examples a format still accepts a string, in log probability per symbol.
+SLACK = 0.3
 
 
 class _State:
@@ -121,8 +123,8 @@ class Automaton:
                 self.next[k, c] = number[id(s.steps[c])]
             self.log_end[k] = math.log((s.final + 0.5) / total)
         own = self.score([*strings])
-        #: What the weakest hundredth of the examples reach.
-        self.typical = float(np.quantile(own, 0.01)) if len(own) else 0.0
+        #: What a string of this format reaches: strings shorter than the examples score a little less.
+        self.typical = float(np.quantile(own, 0.01)) - SLACK if len(own) else 0.0
 
     def score(self, strings: list[bytes]) -> np.ndarray:
         """Mean log probability per symbol of each string, its end included."""

@@ -249,7 +249,7 @@ def predict(
     with_workers(docs.sparkSession)
     learned = sorted(prototypes.collect(), key=lambda r: r["lang"])
     names = [r["lang"] for r in learned]
-    matrix = np.array([r["prototype"] for r in learned], np.float64).reshape(len(names), -1)
+    matrix = np.array([r["prototype"] for r in learned], np.float64).reshape(len(names), dimensions)
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_predict(names, matrix, (dimensions, gram, seed)), "doc_id long, lang_pred string, score double")

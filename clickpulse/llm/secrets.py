@@ -6,9 +6,9 @@ kind a prefix tree is built whose statistically compatible states are merged
 (Hoeffding's bound) into a probabilistic automaton, the kind's format. One more
 automaton is learned from ordinary long words. Then every other candidate, a maximal
 run of 12 or more of ``[A-Za-z0-9+/_.=-]`` that touches no base span, is scored by all
-automata. It is added as kind ``format`` if a format likes it as well as its
-own examples (all but the weakest hundredth) and prefers it to the words'
-automaton by ``MARGIN`` in log probability per character.
+automata. It is added as kind ``format`` if a format likes it about as well as its
+own examples (``Automaton.typical``) and prefers it to the words' automaton by
+``MARGIN`` in log probability per character.
 
 Automata are learned from a bounded sample: per kind the ``EXAMPLES`` distinct
 strings with the least hashes, over all documents. All documents and candidates are scanned.
