@@ -2,23 +2,37 @@
 
 P1 parse, P2 typed field access, P3 record to JSON, P6 click filter,
 P8 one-hot counters, P10 rejects. All built-in column expressions: no UDF.
+
+What makes a message unusable depends on what its reader needs (``needs``):
+``_reason`` is the one place that decides, for the parse, the status column,
+the reject feed and strict mode alike.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.schema import ADDCART, BUY, CLICK, EVENT_FIELDS, EVENT_WIRE_SCHEMA, FOCUS
+from clickpulse.schema import ADDCART, BUY, CLICK, EVENT_COLUMNS, EVENT_FIELDS, FOCUS
 
 _CORRUPT = "_corrupt_message"
-_PARSE_SCHEMA = T.StructType(EVENT_WIRE_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
+_WIRE = {column: wire for wire, column in EVENT_FIELDS}
 
-# Reject reasons.
+# Reject reasons, in the order in which they are looked for.
 MALFORMED = "malformed"
 NO_ACTION = "no action"
 BAD_ACTION = "bad action"
+NO_PROVINCE = "no province"
+NO_CATEGORY = "no category"
+NO_TIME = "no time"
+
+# What a reader can need, and the fields it reads to tell.
+ACTION, PROVINCE, CATEGORY, TIME = "action", "province", "category", "time"
+NEED_FIELDS = {ACTION: ["action"], PROVINCE: ["province"], CATEGORY: ["action", "cat_id"], TIME: ["event_ms"]}
+ALL_NEEDS = (ACTION, PROVINCE, CATEGORY, TIME)
 
 
 def action_code(action: Column | str = "action") -> Column:
@@ -36,86 +50,108 @@ def to_messages(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*keep, body.alias("value"))
 
 
-def _parsed(value: str) -> Column:
-    return F.from_json(
-        F.col(value), _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
+def _read_fields(fields: Sequence[str] | None, needs: Sequence[str]) -> list[str]:
+    wanted = set(EVENT_COLUMNS if fields is None else fields)
+    for need in needs:
+        wanted.update(NEED_FIELDS[need])
+    return [c for c in EVENT_COLUMNS if c in wanted]
 
 
-def _reason(r: Column) -> Column:
-    return (
-        F.when(r[_CORRUPT].isNotNull(), F.lit(MALFORMED))
-        .when(r["action"].isNull(), F.lit(NO_ACTION))
-        .when(action_code(r["action"]).isNull(), F.lit(BAD_ACTION))
-    )
+def _parsed(value: str, fields: Sequence[str]) -> Column:
+    """Only these fields are read; all arrive as text, so "0" and 0 are alike."""
+    schema = T.StructType([T.StructField(_WIRE[c], T.StringType()) for c in [*fields]] + [T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
 
-def _fields(r: str = "_r") -> list[Column]:
-    return [F.col(f"{r}.{w}").alias(c) for w, c in EVENT_FIELDS]
+def _reason(r: Column, needs: Sequence[str]) -> Column:
+    """Why a reader with these needs cannot use the message; null when it can."""
+    out = F.when(r[_CORRUPT].isNotNull(), F.lit(MALFORMED))
+    if ACTION in needs:
+        out = out.when(r["action"].isNull(), F.lit(NO_ACTION)).when(action_code(r["action"]).isNull(), F.lit(BAD_ACTION))
+    if PROVINCE in needs:
+        out = out.when(r["province"].isNull(), F.lit(NO_PROVINCE))
+    if CATEGORY in needs:  # only clicks are counted by category
+        out = out.when((action_code(r["action"]) == CLICK) & r["catId"].isNull(), F.lit(NO_CATEGORY))
+    if TIME in needs:
+        out = out.when(r["timestamp"].try_cast("bigint").isNull(), F.lit(NO_TIME))
+    return out
 
 
-def parse_with_status(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
+def _field(column: str, r: str = "_r") -> Column:
+    c = F.col(f"{r}.{_WIRE[column]}")
+    return (c.try_cast("bigint") if column == "event_ms" else c).alias(column)
+
+
+def parse_with_status(
+    messages: DataFrame, *keep: str, needs: Sequence[str] = (ACTION,), value: str = "value"
+) -> DataFrame:
     """JSON text to the ten typed event columns, ``action_code`` and ``reject_reason``.
 
-    ``reject_reason`` is null for a usable event, else one of ``malformed``,
-    ``no action`` (missing or null) or ``bad action`` (not an integer, e.g.
-    ``""``). Unknown but numeric actions such as ``"7"`` are kept: they count
-    toward no counter. A message is usable exactly when ``action_code`` is set.
+    ``reject_reason`` is null for a usable event. An action that is not an
+    integer (e.g. ``""``) is a bad action; unknown but numeric ones such as
+    ``"7"`` are kept and count toward no counter. ``event_ms`` is null when the
+    message's time is missing or not a number.
     """
-    parsed = messages.select(*keep, F.col(value), _parsed(value).alias("_r"))
+    parsed = messages.select(*keep, F.col(value), _parsed(value, EVENT_COLUMNS).alias("_r"))
     return parsed.select(
         *keep,
         F.col(value),
-        *_fields(),
+        *map(_field, EVENT_COLUMNS),
         action_code(F.col("_r.action")).alias("action_code"),
-        _reason(F.col("_r")).alias("reject_reason"),
+        _reason(F.col("_r"), needs).alias("reject_reason"),
     )
 
 
-def _zero_or_one(messages: DataFrame, keep: tuple[str, ...], value: str, pred) -> DataFrame:
+def _zero_or_one(messages: DataFrame, keep: tuple[str, ...], value: str, fields: Sequence[str], pred) -> DataFrame:
     # Each message yields zero or one record. Parse and test happen inside
     # one generator, so the JSON is parsed once per message; a plain filter
     # would be pushed below the parse and repeat it for each test.
-    rec = F.explode(F.filter(F.array(_parsed(value)), pred))
+    rec = F.explode(F.filter(F.array(_parsed(value, fields)), pred))
     return messages.select(*keep, F.col(value), rec.alias("_r"))
 
 
 def parse_events(
-    messages: DataFrame, *keep: str, strict: bool = False, require_action: bool = True, value: str = "value"
+    messages: DataFrame,
+    *keep: str,
+    strict: bool = False,
+    needs: Sequence[str] = (ACTION,),
+    fields: Sequence[str] | None = None,
+    value: str = "value",
 ) -> DataFrame:
-    """Usable events only: ``keep`` columns, the ten event columns and ``action_code``.
+    """Usable events only: ``keep`` columns, the event columns, and ``action_code`` where the action is read.
 
-    ``strict=True`` fails the job on the first bad message instead of dropping it.
-    ``require_action=False`` keeps every well-formed message, whatever its
-    action (missing, empty or not a number); only malformed JSON is dropped.
-    The item metric reads its events this way: such actions form their own
-    group there, with all counters zero.
+    ``strict=True`` fails the job on the first unusable message instead of leaving it
+    to the reject feed. ``fields`` narrows what is read from the JSON. With no
+    ``needs`` every well-formed message is usable, whatever its action: the item metric reads
+    its events this way, and odd actions form their own group there, with all counters zero.
     """
-
-    def bad(r: Column) -> Column:
-        if require_action:
-            return action_code(r["action"]).isNull()
-        return r[_CORRUPT].isNotNull()
+    read = _read_fields(fields, needs)
 
     if strict:
 
         def pred(r: Column) -> Column:
-            err = F.raise_error(F.concat(F.lit("rejected event ("), _reason(r), F.lit("): "), F.col(value)))
-            return F.when(bad(r), err).otherwise(F.lit(True))
+            reason = _reason(r, needs)
+            err = F.raise_error(F.concat(F.lit("rejected event ("), reason, F.lit("): "), F.col(value)))
+            return F.when(reason.isNotNull(), err).otherwise(F.lit(True))
 
     else:
 
         def pred(r: Column) -> Column:
-            return ~bad(r)
+            return _reason(r, needs).isNull()
 
-    good = _zero_or_one(messages, keep, value, pred)
-    return good.select(*keep, *_fields(), action_code(F.col("_r.action")).alias("action_code"))
+    good = _zero_or_one(messages, keep, value, read, pred)
+    shown = EVENT_COLUMNS if fields is None else [c for c in EVENT_COLUMNS if c in fields]
+    code = [action_code(F.col("_r.action")).alias("action_code")] if "action" in read else []
+    return good.select(*keep, *map(_field, shown), *code)
 
 
-def reject_events(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
-    """P10: the messages that ``parse_events`` drops, with the raw text and the reason."""
-    bad = _zero_or_one(messages, keep, value, lambda r: action_code(r["action"]).isNull())
-    return bad.select(*keep, value, _reason(F.col("_r")).alias("reject_reason"))
+def reject_events(
+    messages: DataFrame, *keep: str, needs: Sequence[str] = (ACTION,), value: str = "value"
+) -> DataFrame:
+    """P10: the messages that ``parse_events`` with these needs drops, with the raw text and the reason."""
+    read = _read_fields((), needs)
+    bad = _zero_or_one(messages, keep, value, read, lambda r: _reason(r, needs).isNotNull())
+    return bad.select(*keep, value, _reason(F.col("_r"), needs).alias("reject_reason"))
 
 
 def with_action_code(df: DataFrame) -> DataFrame:

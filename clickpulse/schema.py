@@ -22,15 +22,6 @@ EVENT_FIELDS: list[tuple[str, str]] = [
 ]
 EVENT_COLUMNS: list[str] = [c for _, c in EVENT_FIELDS]
 
-# All fields are read as strings, so "0" and 0 both arrive as "0"; the epoch
-# milliseconds travel as a JSON number.
-EVENT_WIRE_SCHEMA = T.StructType(
-    [
-        T.StructField(wire, T.LongType() if wire == "timestamp" else T.StringType())
-        for wire, _ in EVENT_FIELDS
-    ]
-)
-
 # Positional CSV user log: 11 text columns; month and day are present but unused.
 USER_LOG_COLUMNS: list[str] = [
     "user_id",

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from clickpulse.functions.events import to_messages
 from clickpulse.functions.timeutil import ntz_micros, to_instant
 from clickpulse.operators.joins import lookup_join
-from clickpulse.plans.stats import input_splits
 
 # Fixed values (fixture rule): province by user_id % 36, in index order. The
 # municipalities carry the city suffix; the last two have no region code.
@@ -30,7 +29,7 @@ FIXTURE_ACTIONS: list[tuple[str, str]] = [("click", "0"), ("signup", "1"), ("pur
 UNKNOWN_ACTION = "9"
 # Fixed values (fixture rule): which messages are damaged, by event_id % 97.
 BAD_MESSAGE_MODULUS = 97
-NOT_JSON, NO_ACTION_KEY, EMPTY_ACTION = 0, 1, 2
+NOT_JSON, NO_ACTION_KEY, EMPTY_ACTION, NO_PROVINCE_KEY, NO_CATEGORY_KEY, TEXT_TIME = range(6)
 
 UB_COLUMNS = [
     "event_id", "user_id", "item_id", "cat_id", "merchant_id", "brand_id", "action",
@@ -51,23 +50,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a batch scan that has fewer input splits than the cluster has cores.
-
-    A single unsplittable file (one parquet row group) would otherwise put all
-    per-row work (JSON, joins, windows) on one core. A large table has far more
-    splits than cores, and is returned untouched: no extra shuffle at scale.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = input_splits(df)
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """The ``ub`` view: one row per event with the reference's ten fields.
 
@@ -85,7 +67,7 @@ def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
     # filter that uses it.
     e = events.select("event_id", "ts", "user_id", "event_type", F.json_tuple("props", "k").alias("item_id"))
     e = e.withColumn("part_key", F.col("item_id").try_cast("bigint"))
-    e = lookup_join(spread(e), part, "part_key")
+    e = lookup_join(e, part, "part_key")
 
     idx = F.col("user_id") % len(FIXTURE_PROVINCES)
     province = F.when(idx >= 0, F.try_element_at(F.array(*map(F.lit, FIXTURE_PROVINCES)), (idx + 1).cast("int")))
@@ -119,15 +101,24 @@ def user_behavior(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
 def raw_messages(spark: SparkSession, sf_dir: str, ub: DataFrame | None = None) -> DataFrame:
     """``(event_id, value)``: the view as JSON messages, some damaged on purpose.
 
-    ``event_id % 97`` of 0 gives ``not json``, 1 drops ``action``, 2 sets it to ``""``.
+    ``event_id % 97`` of 0 gives ``not json``, 1 drops ``action``, 2 sets it to ``""``, 3 drops
+    ``province``, 4 drops ``catId``, 5 makes ``timestamp`` the text ``soon``.
     ``event_id`` stands in for the broker offset.
     """
     if ub is None:
         ub = user_behavior(spark, sf_dir)
     m = F.col("event_id") % BAD_MESSAGE_MODULUS
-    damaged = ub.withColumn(
-        "action",
-        F.when(m == NO_ACTION_KEY, F.lit(None).cast("string")).when(m == EMPTY_ACTION, F.lit("")).otherwise(F.col("action")),
+    none = F.lit(None).cast("string")
+    damaged = ub.withColumns(
+        {
+            "action": F.when(m == NO_ACTION_KEY, none).when(m == EMPTY_ACTION, F.lit("")).otherwise(F.col("action")),
+            "province": F.when(m == NO_PROVINCE_KEY, none).otherwise(F.col("province")),
+            "cat_id": F.when(m == NO_CATEGORY_KEY, none).otherwise(F.col("cat_id")),
+            "event_ms": F.when(m == TEXT_TIME, none).otherwise(F.col("event_ms").cast("string")),
+        }
     )
-    msgs = to_messages(damaged, "event_id")
-    return msgs.withColumn("value", F.when(m == NOT_JSON, F.lit("not json")).otherwise(F.col("value")))
+    # The time travels as a JSON number; one that is dropped is put back as text.
+    msgs = to_messages(damaged.withColumn("event_ms", F.col("event_ms").cast("bigint")), "event_id")
+    soon = F.concat(F.regexp_replace("value", r"\}$", ""), F.lit(',"timestamp":"soon"}'))
+    value = F.when(m == NOT_JSON, F.lit("not json")).when(m == TEXT_TIME, soon).otherwise(F.col("value"))
+    return msgs.withColumn("value", value)

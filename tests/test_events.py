@@ -6,7 +6,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from clickpulse.functions.events import action_flags, parse_events, parse_with_status, reject_events, to_messages
+from clickpulse.functions.events import (
+    ALL_NEEDS,
+    action_flags,
+    parse_events,
+    parse_with_status,
+    reject_events,
+    to_messages,
+)
 from clickpulse.schema import EVENT_COLUMNS
 
 
@@ -65,13 +72,65 @@ def test_null_fields_are_left_out_of_json(spark):
 def test_item_job_keeps_odd_actions_as_groups(spark):
     from clickpulse.plans import jobs
 
-    df = msgs(spark, '{"itemId":"i","action":""}', '{"itemId":"i"}', '{"itemId":"i","action":"0"}', "not json")
-    df = df.withColumn("event_id", F.col("id").cast("bigint"))
-    kept = parse_events(df, "id", require_action=False)
-    assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
+    df = msgs(spark, '{"itemId":"i","action":""}', '{"itemId":"i"}', '{"itemId":"i","action":"0","timestamp":"soon"}', "not json")
+    assert sorted(r.id for r in parse_events(df, "id", needs=()).collect()) == [0, 1, 2]
+    assert [(r.id, r.reject_reason) for r in jobs.job_rejects(df, "item_total", jobs.JobSettings(), "id").collect()] == [
+        (3, "malformed")
+    ]
     settings = jobs.JobSettings(time="processing", item_width="3650 days")
     rows = {r.action: r for r in jobs.item_job(df, settings).collect()}
     assert set(rows) == {"", None, "0"}
     assert rows[""].item_click_count == 0 and rows[None].item_click_count == 0 and rows["0"].item_click_count == 1
     with pytest.raises(PySparkException):
-        parse_events(df, strict=True, require_action=False).collect()
+        parse_events(df, strict=True, needs=()).collect()
+
+
+ODD = [
+    '{"action":"0","catId":"c","province":"p","timestamp":5}',
+    "not json",
+    '{"catId":"c","province":"p","timestamp":5}',
+    '{"action":"","catId":"c","province":"p","timestamp":5}',
+    '{"action":"0","catId":"c","timestamp":5}',
+    '{"action":"0","province":"p","timestamp":5}',
+    '{"action":"2","province":"p","timestamp":5}',
+    '{"action":"0","catId":"c","province":"p","timestamp":"soon"}',
+    '{"action":"0","catId":"c","province":"p"}',
+    '{"action":"0","catId":"","province":"","timestamp":"7"}',
+]
+
+
+def test_one_reason_for_parse_status_rejects_and_strict(spark):
+    df = msgs(spark, *ODD)
+    want = {
+        (): {1: "malformed"},
+        ("action",): {1: "malformed", 2: "no action", 3: "bad action"},
+        ("action", "category"): {1: "malformed", 2: "no action", 3: "bad action", 5: "no category"},
+        ("action", "province"): {1: "malformed", 2: "no action", 3: "bad action", 4: "no province"},
+        ("time",): {1: "malformed", 7: "no time", 8: "no time"},
+        ALL_NEEDS: {
+            1: "malformed", 2: "no action", 3: "bad action", 4: "no province", 5: "no category", 7: "no time", 8: "no time",
+        },
+    }
+    for needs, reasons in want.items():
+        assert {r.id: r.reject_reason for r in reject_events(df, "id", needs=needs).collect()} == reasons
+        status = {r.id: r.reject_reason for r in parse_with_status(df, "id", needs=needs).collect()}
+        assert status == {i: reasons.get(i) for i in range(len(ODD))}
+        kept = {r.id for r in parse_events(df, "id", needs=needs).collect()}
+        assert kept == set(range(len(ODD))) - set(reasons)
+        for bad in reasons:
+            with pytest.raises(PySparkException):
+                parse_events(df.where(f"id = {bad}"), "id", needs=needs, strict=True).collect()
+    assert parse_events(df.where("id in (0, 6, 9)"), needs=ALL_NEEDS, strict=True).count() == 3
+
+
+@pytest.mark.parametrize("time", ["processing", "event"])
+def test_every_message_is_counted_or_rejected_by_every_job(spark, time):
+    from clickpulse.plans import jobs
+
+    df, s = msgs(spark, *ODD), jobs.JobSettings(time=time)
+    for job in jobs.JOBS:
+        counted = jobs.job_events(df, job, s).count()
+        assert counted + jobs.job_rejects(df, job, s).count() == len(ODD)
+        strict = jobs.JobSettings(time=time, strict=True)
+        with pytest.raises(PySparkException):
+            jobs.JOBS[job].build(df, strict).collect()
