@@ -1,50 +1,21 @@
-"""Lookup joins whose broadcast side is size-checked before it is broadcast."""
+"""Lookup joins."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from clickpulse.plans.stats import row_count
 
-MAX_ROWS_CONF = "clickpulse.broadcast.maxRows"
-DEFAULT_MAX_ROWS = 2_000_000
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
-
-
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int | None = None,
-) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join a lookup table onto a large (possibly streaming) table.
 
-    1. ``small`` is broadcast when its counted rows are within ``max_rows``
-       (a parquet row count is read from file footers; remembered per input).
-    2. Otherwise, for a batch ``big``, ``small`` is cut to the keys ``big``
-       actually uses (distinct keys: partial aggregation before the shuffle)
-       and counted again.
-    3. Beyond that both sides are shuffled on the key; adaptive execution
-       splits partitions of hot keys (``spark.sql.adaptive.skewJoin``), so a
-       key holding a third of the rows is spread over many tasks.
+    No hint and no counting: Spark broadcasts ``small`` when the size in its plan statistics
+    (or, at run time, the size of its finished stage) is within
+    ``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles both sides on the key, where
+    adaptive execution splits the partitions of hot keys.
 
-    For a streaming ``big`` there is no key cut: a static side over the limit
-    would be shuffled again in every micro-batch. Store such a table bucketed
-    by the key (``bucketBy``) so only the stream side moves.
+    A static side beyond the threshold is shuffled again in every micro-batch of a stream. Store
+    such a table bucketed by the key (``bucketBy``) so only the stream side moves.
     """
-    limit = max_rows if max_rows is not None else broadcast_limit(big)
-    if row_count(small) <= limit:
-        return big.join(F.broadcast(small), on, how)
-    if not big.isStreaming and how in ("inner", "left_semi"):
-        keys = big.select(*([on] if isinstance(on, str) else on)).distinct()
-        small = small.join(keys, on, "left_semi")
-        if small.count() <= limit:
-            return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -67,13 +67,25 @@ def member_grand_total(events: DataFrame) -> DataFrame:
     )
 
 
-def item_grand_total(events: DataFrame) -> DataFrame:
-    """One row per item, totals since the start (folds A2's per-action rows)."""
+def item_grand_counts(events: DataFrame) -> DataFrame:
+    """A7, first step: totals per (item, category, brand): a hash aggregate, and the state of the stream."""
     f = action_flags(events)
-    return f.groupBy("item_id").agg(
+    return f.groupBy("item_id", "cat_id", "brand_id").agg(
+        F.sum("click").alias("click"), F.sum("buy").alias("buy"), F.sum("focus").alias("focus")
+    )
+
+
+def item_grand_rows(counts: DataFrame) -> DataFrame:
+    """A7, second step: one row per item; ``max`` over the ids sees one row per distinct combination."""
+    return counts.groupBy("item_id").agg(
         F.max("cat_id").alias("cat_id"),
         F.max("brand_id").alias("brand_id"),
         F.sum("click").alias("item_click_count"),
         F.sum("buy").alias("item_sale_count"),
         F.sum("focus").alias("item_focus_count"),
     )
+
+
+def item_grand_total(events: DataFrame) -> DataFrame:
+    """A7 (batch): one row per item, totals since the start (folds A2's per-action rows)."""
+    return item_grand_rows(item_grand_counts(events))

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from clickpulse.functions.events import action_flags, clicks
+from clickpulse.functions.events import action_flags, with_action_code
 from clickpulse.functions.regions import CODE_COLUMN, with_region
 from clickpulse.functions.timeutil import col_type, duration_us, interval_text, micros_to_ntz, ntz_micros, to_wall_clock
+from clickpulse.schema import CLICK
 
 
 def _bounds(df: DataFrame, time_col: str, w: str = "w") -> list[Column]:
@@ -28,6 +28,19 @@ def _bounds(df: DataFrame, time_col: str, w: str = "w") -> list[Column]:
     ]
 
 
+# Present in clock mode only (``streaming.live``): 1 for an event, 0 for a tick that just moves the clock.
+REAL = "_real"
+
+
+def _grouped(df: DataFrame, keys: list, sums: dict[str, Column]) -> DataFrame:
+    """Sums per group. Groups that hold ticks only are dropped, after the aggregate so that ticks still move the watermark."""
+    if REAL not in df.columns:
+        return df.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    real = F.col(REAL)
+    g = df.groupBy(*keys).agg(*[F.sum(c * real).alias(name) for name, c in sums.items()], F.sum(real).alias(REAL))
+    return g.where(F.col(REAL) > 0).drop(REAL)
+
+
 def member_total(events: DataFrame, time_col: str = "event_time", width="3 seconds") -> DataFrame:
     """A1 (+A5, T1): site-wide counts of each action per tumbling window.
 
@@ -35,75 +48,91 @@ def member_total(events: DataFrame, time_col: str = "event_time", width="3 secon
     gives no row.
     """
     f = action_flags(events)
-    g = f.groupBy(F.window(time_col, interval_text(width)).alias("w")).agg(
-        F.sum("click").alias("click_count"),
-        F.sum("addcart").alias("addcart_count"),
-        F.sum("buy").alias("buy_count"),
-        F.sum("focus").alias("focus_count"),
-    )
+    counts = {f"{c}_count": F.col(c) for c in ("click", "addcart", "buy", "focus")}
+    g = _grouped(f, [F.window(time_col, interval_text(width)).alias("w")], counts)
     return g.select(*_bounds(f, time_col), "click_count", "addcart_count", "buy_count", "focus_count")
 
 
-# The item metric stays SQL text. Grouping by item *and* action means
-# each row has at most one non-zero counter (add-to-cart and unknown actions give
-# all-zero rows); max() over the string ids is lexicographic.
-ITEM_TOTAL_SQL = """
-SELECT item_id,
-       action,
-       max(cat_id)   AS cat_id,
-       max(brand_id) AS brand_id,
-       if(action = '0', count(*), 0) AS item_click_count,
-       if(action = '2', count(*), 0) AS item_sale_count,
-       if(action = '3', count(*), 0) AS item_focus_count,
-       w
-FROM (SELECT item_id, action, cat_id, brand_id, window(`{time}`, '{width}') AS w FROM {{events}})
-GROUP BY item_id, action, w
-"""
+def item_counts(events: DataFrame, time_col: str = "event_time", width="3 seconds") -> DataFrame:
+    """A2, first step: events per (item, action, category, brand) and tumbling window.
 
-# Batch form of the same query. max() over strings has no fixed-width buffer,
-# so Spark aggregates it by sorting every input row. Counting first per
-# (item, action, category, brand, window) is a hash aggregate with a map-side
-# combine; the sort-based max() then sees one row per distinct id combination.
-ITEM_TOTAL_PREAGG_SQL = """
-SELECT item_id,
-       action,
-       max(cat_id)   AS cat_id,
-       max(brand_id) AS brand_id,
-       if(action = '0', sum(n), 0) AS item_click_count,
-       if(action = '2', sum(n), 0) AS item_sale_count,
-       if(action = '3', sum(n), 0) AS item_focus_count,
-       w
-FROM (SELECT item_id, action, cat_id, brand_id, window(`{time}`, '{width}') AS w, count(*) AS n
-      FROM {{events}}
-      GROUP BY item_id, action, cat_id, brand_id, window(`{time}`, '{width}'))
-GROUP BY item_id, action, w
+    A plain count is a hash aggregate with a map-side combine. ``max`` over the string ids has
+    no fixed-width buffer and would sort its input; ``item_rows`` applies it to these few rows.
+    """
+    g = _grouped(
+        events,
+        ["item_id", "action", "cat_id", "brand_id", F.window(time_col, interval_text(width)).alias("w")],
+        {"n": F.lit(1)},
+    )
+    return g.select("item_id", "action", "cat_id", "brand_id", "n", *_bounds(events, time_col))
+
+
+# The item metric's statement. A row is an item *and* an action, so at
+# most one counter is not zero; max() over the string ids is lexicographic.
+ITEM_ROWS_SQL = """
+SELECT item_id, action, window_start, window_end,
+       max(cat_id) AS cat_id, max(brand_id) AS brand_id,
+       coalesce(sum(n) FILTER (WHERE action = '0'), 0) AS item_click_count,
+       coalesce(sum(n) FILTER (WHERE action = '2'), 0) AS item_sale_count,
+       coalesce(sum(n) FILTER (WHERE action = '3'), 0) AS item_focus_count
+FROM {counts}
+GROUP BY item_id, action, window_start, window_end
 """
 
 
-def item_total(events: DataFrame, time_col: str = "event_time", width="3 seconds") -> DataFrame:
-    """A2: per item and action, per tumbling window: ``max`` ids and three counts.
-
-    Streaming runs the single-level SQL (one stateful aggregation); batch runs
-    the pre-aggregated form, which gives the same rows.
-    """
-    sql = ITEM_TOTAL_SQL if events.isStreaming else ITEM_TOTAL_PREAGG_SQL
-    text = sql.format(time=time_col, width=interval_text(width))
-    g = events.sparkSession.sql(text, events=events.select("item_id", "action", "cat_id", "brand_id", time_col))
-    return g.select(
+def item_rows(counts: DataFrame) -> DataFrame:
+    """A2, second step: one row per item, action and window."""
+    return counts.sparkSession.sql(ITEM_ROWS_SQL, counts=counts).select(
         "item_id",
         "action",
         "cat_id",
         "brand_id",
-        F.col("item_click_count").cast("bigint").alias("item_click_count"),
-        F.col("item_sale_count").cast("bigint").alias("item_sale_count"),
-        F.col("item_focus_count").cast("bigint").alias("item_focus_count"),
-        *_bounds(events, time_col),
+        "item_click_count",
+        "item_sale_count",
+        "item_focus_count",
+        "window_start",
+        "window_end",
     )
 
 
-def _epoch_us(df: DataFrame, time_col: str) -> Column:
-    c = F.col(time_col)
-    return ntz_micros(c) if isinstance(col_type(df, time_col), T.TimestampNTZType) else F.unix_micros(c)
+def item_total(events: DataFrame, time_col: str = "event_time", width="3 seconds") -> DataFrame:
+    """A2 (batch): per item and action, per tumbling window: ``max`` ids and three counts.
+
+    A stream runs ``item_counts`` and folds what it emits with ``item_rows``.
+    """
+    return item_rows(item_counts(events, time_col, width))
+
+
+def _category_clicks(events: DataFrame) -> DataFrame:
+    c = with_action_code(events)
+    counted = F.col("action_code") == CLICK
+    if REAL in c.columns:
+        counted = counted | (F.col(REAL) == 0)
+    return c.filter(counted)
+
+
+def cat_panes(events: DataFrame, time_col: str = "event_time", slide="10 seconds") -> DataFrame:
+    """A3, first step: clicks per category and slide-wide pane, one row or state entry each."""
+    c = _category_clicks(events)
+    g = _grouped(c, ["cat_id", F.window(time_col, interval_text(slide)).alias("w")], {"n": F.lit(1)})
+    return g.select("cat_id", "n", *_bounds(c, time_col))
+
+
+def cat_rows(panes: DataFrame, size="60 seconds", slide="10 seconds") -> DataFrame:
+    """A3, second step: each pane added into the ``size / slide`` windows that contain it."""
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if size_us % slide_us:
+        raise ValueError("size must be a multiple of slide")
+    back = F.explode(F.sequence(F.lit(0), F.lit(size_us // slide_us - 1))).alias("i")
+    spread = panes.select("cat_id", "n", ntz_micros(F.col("window_start")).alias("us"), back)
+    start = F.col("us") - F.col("i").cast("bigint") * F.lit(slide_us).cast("bigint")
+    g = spread.select("cat_id", "n", start.alias("start_us")).groupBy("cat_id", "start_us")
+    return g.agg(F.sum("n").alias("cat_click_count")).select(
+        "cat_id",
+        "cat_click_count",
+        micros_to_ntz(F.col("start_us")).alias("window_start"),
+        micros_to_ntz(F.col("start_us") + size_us).alias("window_end"),
+    )
 
 
 def cat_window(
@@ -116,37 +145,22 @@ def cat_window(
     """A3 (+P6, P7, P9, T3): clicks per category in sliding windows.
 
     Only clicks are kept before grouping, so a category without clicks in a
-    window has no row for it. Rows without a category are rejects.
-
-    Batch plan (``panes``, default when ``size`` is a multiple of ``slide``):
-    count clicks per (category, slide-wide pane) first, then add each pane into
-    the ``size/slide`` windows that contain it. The heavy, per-event stage does
-    one hash update per event instead of one per window, and what it shuffles is
-    pane counts. Streaming uses Spark's sliding ``window`` directly, one stateful
-    aggregation.
+    window has no row for it. Clicks without a category are a group of their own; the
+    jobs reject them before.
+
+    Batch plan (``panes``, default when ``size`` is a multiple of ``slide``): ``cat_panes``, then
+    ``cat_rows``. The heavy, per-event stage does one hash update per event instead of one per
+    window, and what it shuffles is pane counts. A stream that emits each window once uses
+    Spark's sliding ``window`` directly, one stateful aggregation.
     """
-    c = clicks(events).filter(F.col("cat_id").isNotNull())
-    size_us, slide_us = duration_us(size), duration_us(slide)
     if panes is None:
-        panes = not events.isStreaming and size_us % slide_us == 0
-    if not panes:
-        g = c.groupBy("cat_id", F.window(time_col, interval_text(size), interval_text(slide)).alias("w")).agg(
-            F.count(F.lit(1)).alias("cat_click_count")
-        )
-        return g.select("cat_id", "cat_click_count", *_bounds(c, time_col))
-
-    us = _epoch_us(c, time_col)
-    pane = c.groupBy("cat_id", (us - F.pmod(us, F.lit(slide_us))).alias("pane_us")).agg(F.count(F.lit(1)).alias("n"))
-    spread = pane.select(
-        "cat_id", "n", "pane_us", F.explode(F.sequence(F.lit(0), F.lit(size_us // slide_us - 1))).alias("i")
-    ).select("cat_id", "n", (F.col("pane_us") - F.col("i").cast("bigint") * F.lit(slide_us).cast("bigint")).alias("start_us"))
-    g = spread.groupBy("cat_id", "start_us").agg(F.sum("n").alias("cat_click_count"))
-    return g.select(
-        "cat_id",
-        "cat_click_count",
-        micros_to_ntz(F.col("start_us")).alias("window_start"),
-        micros_to_ntz(F.col("start_us") + size_us).alias("window_end"),
-    )
+        panes = not events.isStreaming and duration_us(size) % duration_us(slide) == 0
+    if panes:
+        return cat_rows(cat_panes(events, time_col, slide), size, slide)
+    c = _category_clicks(events)
+    w = F.window(time_col, interval_text(size), interval_text(slide)).alias("w")
+    g = _grouped(c, ["cat_id", w], {"cat_click_count": F.lit(1)})
+    return g.select("cat_id", "cat_click_count", *_bounds(c, time_col))
 
 
 def province_window(events: DataFrame, time_col: str = "event_time", width="10 seconds") -> DataFrame:
@@ -154,12 +168,12 @@ def province_window(events: DataFrame, time_col: str = "event_time", width="10 s
 
     Add-to-cart events raise no counter but still give the province its row.
     The region code depends only on the name, so grouping on it splits nothing.
-    Rows without a province are rejects.
+    Events without a province are a group of their own; the jobs reject them before.
     """
-    f = action_flags(with_region(events.filter(F.col("province").isNotNull())))
-    g = f.groupBy("province", CODE_COLUMN, F.window(time_col, interval_text(width)).alias("w")).agg(
-        F.sum("click").alias("click_count"),
-        F.sum("focus").alias("focus_count"),
-        F.sum("buy").alias("buy_count"),
+    f = action_flags(with_region(events))
+    g = _grouped(
+        f,
+        ["province", CODE_COLUMN, F.window(time_col, interval_text(width)).alias("w")],
+        {"click_count": F.col("click"), "focus_count": F.col("focus"), "buy_count": F.col("buy")},
     )
     return g.select("province", CODE_COLUMN, "click_count", "focus_count", "buy_count", *_bounds(f, time_col))

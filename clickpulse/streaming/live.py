@@ -1,263 +1,24 @@
-"""T7 parity mode: processing-time windows that close by the clock.
+"""Windows that close by the clock, also while the input is idle.
 
-With ``window`` + watermark the last window of a stream is emitted only when
-later input moves the watermark; live dashboards want it when the clock passes
-its end, input or not. Here each key keeps per-pane partial aggregates
-(a pane is one slide wide) in state, and a processing-time timer at each slide
-boundary ``T`` emits the window ``[T - size, T)`` and drops panes no later
-window needs; it fires in idle micro-batches too. Tumbling windows are the case
-``size == slide``. State per key is at most ``size / slide + 1`` panes.
-
-Work per key and micro-batch is one vectorised pandas reduction over the
-batch's rows (Arrow-batched, no per-row Python). Keys are salted into
-``salt_buckets`` sub-keys by a hash of the row and its source position, so a
-hot key (or the single site-wide key of J1, or many copies of one event) is
-spread over as many tasks; all sub-keys of a window
-fire in the same micro-batch, and ``merge_partials`` combines them there with
-built-in aggregates.
-
-Needs the RocksDB state store provider (set before the query first starts).
+Spark emits a window when the watermark passes its end, and the watermark moves with
+input. ``with_clock`` joins a one-row-per-second ``rate`` stream to the events, so there is always
+input: its rows have no keys, add zero to every counter and are marked as ticks. The
+operators drop the groups that hold ticks only after aggregating (a filter before
+the aggregate would take the ticks from the watermark as well).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
-
-from clickpulse.functions.events import action_flags, clicks
-from clickpulse.functions.regions import CODE_COLUMN, with_region
-from clickpulse.functions.timeutil import duration_us, micros_to_ntz
-from clickpulse.session import ship_package
-
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-SALT = "_salt"
-
-
-def _max(a, b):
-    if a is None:
-        return b
-    return a if b is None else max(a, b)
-
-
-class ClockWindows(StatefulProcessor):
-    """Per key: ``sums`` added and ``maxes`` (strings) maxed over clock windows."""
-
-    def __init__(self, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str], size_ms: int, slide_ms: int):
-        self.keys, self.sums, self.maxes = list(keys), list(sums), list(maxes)
-        self.size_ms, self.slide_ms = size_ms, slide_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        value = ", ".join([f"{c} long" for c in self.sums] + [f"{c} string" for c in self.maxes])
-        self.panes = handle.getMapState("panes", "pane_ms long", value)
-
-    def _merge(self, a: tuple, b: tuple) -> tuple:
-        n = len(self.sums)
-        return tuple(int(x) + int(y) for x, y in zip(a[:n], b[:n])) + tuple(_max(x, y) for x, y in zip(a[n:], b[n:]))
-
-    def _reduce(self, pdf: pd.DataFrame) -> tuple:
-        maxes = []
-        for c in self.maxes:
-            s = pdf[c].dropna()
-            maxes.append(None if s.empty else str(s.max()))
-        return tuple(int(pdf[c].sum()) for c in self.sums) + tuple(maxes)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentProcessingTimeInMs()
-        pane = now - now % self.slide_ms
-        acc = None
-        for pdf in rows:
-            if len(pdf):
-                part = self._reduce(pdf)
-                acc = part if acc is None else self._merge(acc, part)
-        if acc is not None:
-            old = self.panes.getValue((pane,))
-            self.panes.updateValue((pane,), acc if old is None else self._merge(old, acc))
-            self.handle.registerTimer(pane + self.slide_ms)
-        return iter(())
-
-    def handleExpiredTimer(
-        self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
-    ) -> Iterator[pd.DataFrame]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        now = timerValues.getCurrentProcessingTimeInMs()
-        panes = [(int(p[0]), v) for p, v in self.panes.iterator()]
-        out = []
-        # Catch up over every slide boundary that has passed (timers may fire late).
-        while panes:
-            start = end - self.size_ms
-            inside = [v for p, v in panes if start <= p < end]
-            if inside:
-                acc = inside[0]
-                for v in inside[1:]:
-                    acc = self._merge(acc, v)
-                out.append(self._row(key, start, end, acc))
-            keep_from = start + self.slide_ms
-            for p, _ in panes:
-                if p < keep_from:
-                    self.panes.removeKey((p,))
-            panes = [(p, v) for p, v in panes if p >= keep_from]
-            end += self.slide_ms
-            if panes and end > now:
-                self.handle.registerTimer(end)
-                break
-        if out:
-            yield pd.DataFrame(out)
-
-    def _row(self, key: tuple, start: int, end: int, acc: tuple) -> dict:
-        row = dict(zip(self.keys + [SALT], key))
-        row.update({"window_start_ms": start, "window_end_ms": end})
-        row.update(dict(zip(self.sums + self.maxes, acc)))
-        return row
-
-    def close(self) -> None:
-        pass
-
-
-def salt_column(df: DataFrame, buckets: int) -> Column:
-    """Sub-key in ``[0, buckets)``: a hash of the whole row, its source position
-    when it has one (Kafka partition and offset, a replay id), and the input
-    partition. Identical copies of one event then still spread over sub-keys."""
-    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(buckets)).cast("int")
-
-
-def clock_windows(
-    events: DataFrame,
-    keys: Sequence[str],
-    sums: Sequence[str],
-    maxes: Sequence[str] = (),
-    size="3 seconds",
-    slide=None,
-    salt_buckets: int = 16,
-) -> DataFrame:
-    """Partial window rows per (keys, salt): keys, ``_salt``, window bounds in ms, sums, maxes.
-
-    Pass the result through ``merge_partials`` (inside ``foreachBatch``).
-    """
-    size_ms = duration_us(size) // 1000
-    slide_ms = duration_us(slide) // 1000 if slide is not None else size_ms
-    if size_ms % slide_ms:
-        raise ValueError("size must be a multiple of slide")
-    spark = events.sparkSession
-    if spark.conf.get(PROVIDER_CONF, "") != ROCKSDB_PROVIDER:
-        spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
-    ship_package(spark)
-    salt = salt_column(events, salt_buckets)
-    src = events.select(
-        *keys,
-        salt.alias(SALT),
-        *[F.col(c).cast("long").alias(c) for c in sums],
-        *[F.col(c).cast("string").alias(c) for c in maxes],
-    )
-    out = T.StructType(
-        [src.schema[k] for k in keys]
-        + [T.StructField(SALT, T.IntegerType())]
-        + [T.StructField("window_start_ms", T.LongType()), T.StructField("window_end_ms", T.LongType())]
-        + [T.StructField(c, T.LongType()) for c in sums]
-        + [T.StructField(c, T.StringType()) for c in maxes]
-    )
-    return src.groupBy(*keys, SALT).transformWithStateInPandas(
-        statefulProcessor=ClockWindows(keys, sums, maxes, size_ms, slide_ms),
-        outputStructType=out,
-        outputMode="Append",
-        timeMode="ProcessingTime",
-    )
-
-
-def merge_partials(
-    batch: DataFrame, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str] = ()
-) -> DataFrame:
-    """Combine the salted partial rows of one micro-batch: one row per key and window."""
-    g = batch.groupBy(*keys, "window_start_ms", "window_end_ms").agg(
-        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes]
-    )
-    return g.select(
-        *keys,
-        *sums,
-        *maxes,
-        micros_to_ntz(F.col("window_start_ms") * 1000).alias("window_start"),
-        micros_to_ntz(F.col("window_end_ms") * 1000).alias("window_end"),
-    )
-
-
-def _renamed(pairs: Sequence[tuple[str, str]]) -> list[Column]:
-    return [F.col(a).alias(b) for a, b in pairs]
-
-
-MEMBER = [("click", "click_count"), ("addcart", "addcart_count"), ("buy", "buy_count"), ("focus", "focus_count")]
-PROVINCE = [("click", "click_count"), ("focus", "focus_count"), ("buy", "buy_count")]
-MEMBER_NAMES = [b for _, b in MEMBER]
-
-
-def live_member_total(events: DataFrame, width="3 seconds", salt_buckets: int = 16) -> DataFrame:
-    """J1 in parity mode; finish each micro-batch with ``finish_member_total``."""
-    return clock_windows(action_flags(events), [], [a for a, _ in MEMBER], size=width, salt_buckets=salt_buckets)
-
-
-def finish_member_total(batch: DataFrame) -> DataFrame:
-    m = merge_partials(batch, [], [a for a, _ in MEMBER])
-    return m.select("window_start", "window_end", *_renamed(MEMBER))
-
-
-def live_item_total(events: DataFrame, width="3 seconds", salt_buckets: int = 16) -> DataFrame:
-    """J2 in parity mode; finish each micro-batch with ``finish_item_total``."""
-    src = events.withColumn("n", F.lit(1))
-    return clock_windows(src, ["item_id", "action"], ["n"], ["cat_id", "brand_id"], width, None, salt_buckets)
-
-
-def finish_item_total(batch: DataFrame) -> DataFrame:
-    m = merge_partials(batch, ["item_id", "action"], ["n"], ["cat_id", "brand_id"])
-
-    def count_if(code: str) -> Column:
-        return F.when(F.col("action") == code, F.col("n")).otherwise(F.lit(0)).cast("bigint")
-
-    return m.select(
-        "item_id",
-        "action",
-        "cat_id",
-        "brand_id",
-        count_if("0").alias("item_click_count"),
-        count_if("2").alias("item_sale_count"),
-        count_if("3").alias("item_focus_count"),
-        "window_start",
-        "window_end",
-    )
-
-
-def live_cat_window(
-    events: DataFrame, size="60 seconds", slide="10 seconds", salt_buckets: int = 16
-) -> DataFrame:
-    """J3 in parity mode (sliding); finish each micro-batch with ``finish_cat_window``."""
-    src = clicks(events).filter(F.col("cat_id").isNotNull()).withColumn("n", F.lit(1))
-    return clock_windows(src, ["cat_id"], ["n"], size=size, slide=slide, salt_buckets=salt_buckets)
-
-
-def finish_cat_window(batch: DataFrame) -> DataFrame:
-    m = merge_partials(batch, ["cat_id"], ["n"])
-    return m.select("cat_id", F.col("n").alias("cat_click_count"), "window_start", "window_end")
-
-
-def live_province_window(events: DataFrame, width="10 seconds", salt_buckets: int = 16) -> DataFrame:
-    """J4 in parity mode; finish each micro-batch with ``finish_province_window``."""
-    f = action_flags(with_region(events.filter(F.col("province").isNotNull())))
-    return clock_windows(f, ["province", CODE_COLUMN], [a for a, _ in PROVINCE], size=width, salt_buckets=salt_buckets)
-
 
-def finish_province_window(batch: DataFrame) -> DataFrame:
-    m = merge_partials(batch, ["province", CODE_COLUMN], [a for a, _ in PROVINCE])
-    return m.select("province", CODE_COLUMN, *_renamed(PROVINCE), "window_start", "window_end")
+from clickpulse.operators.windows import REAL
 
 
-# Job name -> (parity-mode builder, per-batch finisher).
-LIVE_JOBS = {
-    "member_total": (live_member_total, finish_member_total),
-    "item_total": (live_item_total, finish_item_total),
-    "cat_window": (live_cat_window, finish_cat_window),
-    "province_window": (live_province_window, finish_province_window),
-}
+def with_clock(events: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """Streaming ``events`` with arrival time, ticks, and a watermark that follows the clock."""
+    arrived = events.withColumn(time_col, F.current_timestamp()).withColumn(REAL, F.lit(1))
+    ticks = events.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in arrived.schema.fields if f.name not in (time_col, REAL)]
+    ticks = ticks.select(*blank, F.current_timestamp().alias(time_col), F.lit(0).alias(REAL))
+    return arrived.unionByName(ticks).withWatermark(time_col, "0 seconds")

@@ -4,30 +4,35 @@ The replay reads parquet files as they appear (``maxFilesPerTrigger`` files per
 micro-batch); ``run_to_table`` drives a query to the end of its input and
 returns the final result as a batch DataFrame.
 
-Results are kept as an *update log*: the query runs in update mode (windowed
-ones with a watermark, so state for closed windows is dropped; the since-start
-totals keep one state row per key), and each micro-batch writes
-the rows it changed to ``<out>/batch_id=<n>`` (overwritten if the batch is
+A replay loses nothing, in whatever order its files come: the query runs in update
+mode without a watermark, so every window stays open. Its state is one row per group (use the
+RocksDB state store, which ``get_session`` sets, so that it need not fit in memory). Each
+micro-batch writes the groups it changed to ``<out>/batch_id=<n>`` (overwritten if the batch is
 re-run after a failure, so nothing doubles). The final table is the newest row
-per key, a partial-then-final aggregate. Nothing passes through the driver.
+per group, a partial-then-final aggregate. Nothing passes through the driver.
+
+Streams hold plain sums only. What has to be folded (``max`` over ids, panes into
+sliding windows) is folded when the table is read back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.operators.rollups import item_grand_total, member_grand_total
-from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
+from clickpulse.operators.rollups import item_grand_counts, item_grand_rows, member_grand_total
+from clickpulse.operators.windows import cat_panes, cat_rows, item_counts, item_rows, member_total, province_window
 from clickpulse.plans.catalog import CAT_SIZE, CAT_SLIDE, ITEM_WIDTH, MEMBER_WIDTH, PROVINCE_WIDTH
 from clickpulse.session import scratch_path
-from clickpulse.sources.testdata import TABLE_SCHEMAS, user_behavior
+from clickpulse.sources.testdata import TABLE_SCHEMAS, read_table, user_behavior
 
 BATCH_ID = "batch_id"
-NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-DEFAULT_WATERMARK = "0 seconds"
+#: Micro-batches of the registered replays.
+REPLAY_BATCHES = 3
 
 
 def replay_events(
@@ -45,12 +50,30 @@ def replay_events(
 
 
 def stream_view(
-    spark: SparkSession, sf_dir: str, events: DataFrame | None = None, watermark: str = DEFAULT_WATERMARK
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None, watermark: str | None = None
 ) -> DataFrame:
-    """The ``ub`` view over a replayed event stream, with a watermark on ``event_time``."""
+    """The ``ub`` view over a replayed event stream.
+
+    With a ``watermark`` on ``event_time``, windows behind it are closed and later events for
+    them are dropped; without one (the default) nothing is.
+    """
     if events is None:
         events = replay_events(spark, sf_dir)
-    return user_behavior(spark, sf_dir, events=events).withWatermark("event_time", watermark)
+    view = user_behavior(spark, sf_dir, events=events)
+    return view.withWatermark("event_time", watermark) if watermark else view
+
+
+def shuffled_replay(spark: SparkSession, sf_dir: str, batches: int = REPLAY_BATCHES) -> DataFrame:
+    """The event table as a stream of files out of time order, in about ``batches`` micro-batches.
+
+    Events are dealt to files by a hash of their id, so every file spans the whole time.
+    """
+    path = scratch_path(spark, "replay", "events")
+    events = read_table(spark, sf_dir, "events")
+    dealt = events.withColumn("_file", F.pmod(F.xxhash64("event_id"), F.lit(batches)))
+    dealt.write.partitionBy("_file").parquet(path)
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    return replay_events(spark, path, "_file=*/*.parquet", max(1, -(-files // batches)))
 
 
 def latest_per_key(updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -60,11 +83,26 @@ def latest_per_key(updates: DataFrame, keys: Sequence[str], columns: Sequence[st
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]).select(*columns)
 
 
+def start_update_log(df: DataFrame, name: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Start ``df`` in update mode over all input available now, writing changed rows to ``out``."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{BATCH_ID}={batch_id}")
+
+    return (
+        df.writeStream.queryName(f"{name}_{checkpoint.rsplit('-', 1)[-1].rsplit('/', 1)[-1]}")
+        .outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_to_table(
     df: DataFrame,
     name: str,
     keys: Sequence[str],
-    output_mode: str = "update",
     checkpoint: str | None = None,
     out: str | None = None,
 ) -> DataFrame:
@@ -75,70 +113,64 @@ def run_to_table(
     """
     spark = df.sparkSession
     out = out or scratch_path(spark, "tables", name)
-    checkpoint = checkpoint or scratch_path(spark, "streams", name)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{BATCH_ID}={batch_id}")
-
-    writer = (
-        df.writeStream.queryName(f"{name}_{checkpoint.rsplit('-', 1)[-1]}")
-        .outputMode(output_mode)
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    # In update mode a batch without input only drops expired state: it emits
-    # nothing, so a bounded replay skips it (a later data batch drops that state).
-    # The query copies the session's settings when it starts.
-    skip_idle = output_mode == "update"
-    prev = spark.conf.get(NO_DATA_BATCHES, "true")
-    if skip_idle:
-        spark.conf.set(NO_DATA_BATCHES, "false")
-    try:
-        q = writer.start()
-    finally:
-        if skip_idle:
-            spark.conf.set(NO_DATA_BATCHES, prev)
-    q.awaitTermination()
+    start_update_log(df, name, out, checkpoint or scratch_path(spark, "streams", name)).awaitTermination()
     return read_update_log(spark, out, df, keys)
 
 
 def read_update_log(spark: SparkSession, out: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest rows of the log; empty if no batch has written one. Any other read error is raised."""
     try:
-        updates = spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - no batch produced rows or files yet
+        updates = spark.read.schema(f"{_ddl(df)}, {BATCH_ID} bigint").parquet(out)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], df.schema)
     return latest_per_key(updates, keys, df.columns)
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _replay(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    metric: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+) -> DataFrame:
+    view = stream_view(spark, sf_dir, shuffled_replay(spark, sf_dir))
+    return run_to_table(metric(view), name, keys)
+
+
 def q_stream_member_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(member_total(stream_view(spark, sf_dir), width=MEMBER_WIDTH), "member_total", ["window_start"])
+    return _replay(spark, sf_dir, "member_total", lambda e: member_total(e, width=MEMBER_WIDTH), ["window_start"])
 
 
 def q_stream_item_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(
-        item_total(stream_view(spark, sf_dir), width=ITEM_WIDTH), "item_total", ["item_id", "action", "window_start"]
-    )
+    keys = ["item_id", "action", "cat_id", "brand_id", "window_start"]
+    return item_rows(_replay(spark, sf_dir, "item_total", lambda e: item_counts(e, width=ITEM_WIDTH), keys))
 
 
 def q_stream_cat_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = cat_window(stream_view(spark, sf_dir), size=CAT_SIZE, slide=CAT_SLIDE)
-    return run_to_table(df, "cat_window", ["cat_id", "window_start"])
+    panes = _replay(spark, sf_dir, "cat_window", lambda e: cat_panes(e, slide=CAT_SLIDE), ["cat_id", "window_start"])
+    return cat_rows(panes, CAT_SIZE, CAT_SLIDE)
 
 
 def q_stream_province_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = province_window(stream_view(spark, sf_dir), width=PROVINCE_WIDTH)
-    return run_to_table(df, "province_window", ["province", "window_start"])
+    keys = ["province", "window_start"]
+    return _replay(spark, sf_dir, "province_window", lambda e: province_window(e, width=PROVINCE_WIDTH), keys)
 
 
 def q_stream_member_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 as a stream: site totals since the start, straight from the counters (one state row)."""
-    return run_to_table(member_grand_total(stream_view(spark, sf_dir)), "member_grand_total", [])
+    return _replay(spark, sf_dir, "member_grand_total", member_grand_total, [])
 
 
 def q_stream_item_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A7 as a stream: per-item totals since the start (one state row per item)."""
-    return run_to_table(item_grand_total(stream_view(spark, sf_dir)), "item_grand_total", ["item_id"])
+    """A7 as a stream: totals since the start, one state row per item, category and brand."""
+    keys = ["item_id", "cat_id", "brand_id"]
+    return item_grand_rows(_replay(spark, sf_dir, "item_grand_total", item_grand_counts, keys))
 
 
 STREAM_QUERIES = {

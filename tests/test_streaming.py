@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickpulse.operators.windows import member_total, province_window
 from clickpulse.sources.testdata import read_table, user_behavior
-from clickpulse.streaming.replay import replay_events, run_to_table, stream_view
+from clickpulse.streaming.replay import read_update_log, replay_events, run_to_table, shuffled_replay, stream_view
 from conftest import SF01
 
 
@@ -34,16 +35,34 @@ def test_in_order_replay_equals_batch(spark, scratch):
     assert as_set(got) == as_set(want)
 
 
-def test_late_files_are_dropped_in_update_mode(spark, scratch):
+def test_files_in_reverse_order_lose_nothing(spark, scratch):
     src = scratch("late")
     split_events(spark, src, reverse=True)
     events = replay_events(spark, src, pattern="f*/*.parquet", max_files_per_trigger=1)
     got = run_to_table(member_total(stream_view(spark, SF01, events), width="3 hours"), "t_late", ["window_start"])
-    counted = got.agg(F.sum(F.col("click_count") + F.col("addcart_count") + F.col("buy_count") + F.col("focus_count")))
-    all_events = user_behavior(spark, SF01).filter(F.col("action") != "9").count()
-    kept = counted.collect()[0][0]
-    # The first two files are counted in full; later ones are mostly behind the watermark.
-    assert 0.4 * all_events < kept < 0.6 * all_events
+    assert as_set(got) == as_set(member_total(user_behavior(spark, SF01), width="3 hours"))
+
+
+def test_registered_replays_are_out_of_order_and_in_several_batches(spark):
+    events = shuffled_replay(spark, SF01)
+    seen = []
+    q = events.writeStream.foreachBatch(lambda b, i: seen.append(b.agg(F.min("ts"), F.max("ts"), F.count("*")).first()))
+    q.trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) >= 3 and sum(r[2] for r in seen) == read_table(spark, SF01, "events").count()
+    assert all(a[0] < b[1] and b[0] < a[1] for a, b in zip(seen, seen[1:]))
+
+
+def test_a_missing_log_is_empty_and_an_unreadable_one_fails(spark, scratch):
+    import os
+
+    df = spark.range(3)
+    assert read_update_log(spark, scratch("none"), df, ["id"]).collect() == []
+    bad = scratch("bad") + "/batch_id=0"
+    os.makedirs(bad)
+    with open(bad + "/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="not a Parquet file|CANNOT_READ"):
+        read_update_log(spark, bad.rsplit("/", 1)[0], df, ["id"]).collect()
 
 
 def test_restart_from_checkpoint(spark, scratch):
@@ -65,25 +84,3 @@ def test_restart_from_checkpoint(spark, scratch):
     want = member_total(user_behavior(spark, SF01), width="3 hours")
     assert as_set(second) == as_set(want)
     assert n_first < second.agg(F.sum("click_count")).collect()[0][0]
-
-
-def test_append_mode_emits_closed_windows_only(spark, scratch):
-    events = replay_events(spark, SF01)
-    df = member_total(stream_view(spark, SF01, events), width="3 hours")
-    got = run_to_table(df, "t_append", ["window_start"], output_mode="append")
-    ub = user_behavior(spark, SF01)
-    max_ts = ub.agg(F.max("ts")).collect()[0][0]
-    want = member_total(ub, width="3 hours").filter(F.col("window_end") <= F.lit(max_ts))
-    assert as_set(got) == as_set(want)
-
-
-def test_complete_mode_counts_late_files(spark, scratch):
-    # Complete mode ignores the watermark: reversed files still give the batch result.
-    src = scratch("late_complete")
-    split_events(spark, src, reverse=True)
-    events = replay_events(spark, src, pattern="f*/*.parquet", max_files_per_trigger=1)
-    got = run_to_table(
-        member_total(stream_view(spark, SF01, events), width="3 hours"), "t_late_c", ["window_start"], output_mode="complete"
-    )
-    want = member_total(user_behavior(spark, SF01), width="3 hours")
-    assert as_set(got) == as_set(want)

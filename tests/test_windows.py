@@ -50,11 +50,14 @@ def test_unknown_only_window_gives_zero_row(spark):
     assert (r.click_count, r.addcart_count, r.buy_count, r.focus_count) == (0, 0, 0, 0)
 
 
-def test_province_keeps_addcart_row_and_drops_null(spark):
-    df = ev(spark, [("i", "1", "c", "b", "上海市", T0), ("i", "0", "c", "b", None, T0)])
-    rows = province_window(df, "ts", "10 seconds").collect()
-    assert len(rows) == 1
-    assert (rows[0].province, rows[0].province_iso_3316_code, rows[0].click_count) == ("上海", "CN-31", 0)
+def test_missing_keys_are_groups_of_their_own(spark):
+    df = ev(spark, [("i", "1", "c", "b", "上海市", T0), ("i", "0", None, "b", None, T0)])
+    rows = {r.province: r for r in province_window(df, "ts", "10 seconds").collect()}
+    assert (rows["上海"].province_iso_3316_code, rows["上海"].click_count) == ("CN-31", 0)
+    assert (rows[None].province_iso_3316_code, rows[None].click_count) == ("", 1)
+    for panes in (True, False):
+        rows = cat_window(df, "ts", "10 seconds", "10 seconds", panes=panes).collect()
+        assert [(r.cat_id, r.cat_click_count) for r in rows] == [(None, 1)]
 
 
 @pytest.fixture(scope="module")
@@ -126,14 +129,30 @@ def test_windows_do_not_depend_on_session_zone(spark, ub):
     assert sorted(want) == sorted(got)
 
 
-def test_lookup_join_paths(spark):
+def test_lookup_join_leaves_the_choice_to_spark(spark, scratch):
     from clickpulse.operators.joins import lookup_join
 
+    path = scratch("lookup")
+    spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).write.parquet(path)
     big = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id"))
-    small = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = spark.read.parquet(path)
     want = sorted(big.join(small, "k").collect())
-    for limit in (10**6, 20, 5):  # broadcast, broadcast after semi-join cut, shuffle join
-        got = lookup_join(big, small, "k", max_rows=limit)
-        assert sorted(got.collect()) == want
-    plan = lookup_join(big, small, "k", max_rows=5)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        for threshold, node in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set(limit, threshold)
+            got = lookup_join(big, small, "k")
+            assert node in got._jdf.queryExecution().executedPlan().toString()
+            assert sorted(got.collect()) == want
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_per_event_aggregates_do_not_sort(spark, ub):
+    from clickpulse.operators.rollups import item_grand_counts
+    from clickpulse.operators.windows import cat_panes, item_counts
+
+    for df in (item_counts(ub, width="3 hours"), item_grand_counts(ub), cat_panes(ub, slide="10 hours")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
