@@ -5,7 +5,7 @@
     python -m clickpulse feed --csv user_log.csv --brokers host:9092 [--header]
 
 ``run`` starts J1-J4 in one session (one checkpoint folder per query under the
-shared root) and waits; ``--once`` processes what is there and stops.
+shared root) and waits; ``--once`` processes what is there, writes every window of it and stops.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def _messages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 def _writer(a: argparse.Namespace):
     def for_table(table: str):
         if a.sink == "console":
-            return sinks.console()
+            return sinks.console(a.console_limit)
         if a.sink == "parquet":
             return sinks.parquet(f"{a.out.rstrip('/')}/{table}")
         # The job starters hand over a persisted batch (fan_out), as the JDBC sink wants.
@@ -42,28 +42,22 @@ def _writer(a: argparse.Namespace):
 
 def _settings(a: argparse.Namespace) -> jobs.JobSettings:
     given = {f.name: getattr(a, f.name) for f in fields(jobs.JobSettings) if getattr(a, f.name, None) is not None}
+    if a.live:
+        given["time"] = "clock"
     return jobs.JobSettings(**given)
 
 
-def run(a: argparse.Namespace, spark: SparkSession | None = None) -> list:
+def run(a: argparse.Namespace, spark: SparkSession | None = None) -> None:
+    """Run the jobs; a job that fails is started again on its own, and the others go on."""
     spark = spark or get_session("clickpulse-dashboards")
     msgs, settings, writer = _messages(spark, a), _settings(a), _writer(a)
-    if a.live:
-        queries = jobs.start_live_dashboards(msgs, writer, settings, checkpoint_root=a.checkpoint_root, only=a.jobs)
-    else:
-        queries = []
-        for name, (build, table) in jobs.JOBS.items():
-            if a.jobs and name not in a.jobs:
-                continue
-            shaped = sinks.fan_out(writer(table), shape=jobs._shaper(table))  # noqa: SLF001
-            ckpt = jobs.job_checkpoint(spark, name, a.checkpoint_root)
-            queries.append(jobs.start_job(build(msgs, settings), name, shaped, settings, ckpt, available_now=a.once))
     if a.once:
-        for q in queries:
-            q.awaitTermination()
-    elif queries:
-        spark.streams.awaitAnyTermination()
-    return queries
+        jobs.run_once(msgs, writer, settings, a.checkpoint_root, a.jobs)
+        return
+    rejects = (lambda job: sinks.parquet(f"{a.rejects.rstrip('/')}/{job}")) if a.rejects else None
+    errors = jobs.start_dashboards(msgs, writer, settings, rejects, a.checkpoint_root, a.jobs).wait()
+    if errors:
+        raise SystemExit("\n".join(f"{name}: {e}" for name, e in errors.items()))
 
 
 def feed(a: argparse.Namespace, spark: SparkSession | None = None) -> None:
@@ -90,6 +84,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--driver")
     r.add_argument("--jdbc-partitions", type=int, default=8)
     r.add_argument("--jobs", type=lambda s: s.split(","), help="subset, e.g. member_total,cat_window")
+    r.add_argument("--console-limit", type=int, default=1000, help="rows printed of each batch; the rest is counted")
+    r.add_argument("--rejects", help="folder for the messages that each job cannot use")
     r.add_argument("--live", action="store_true", help="windows close by the clock (T7)")
     r.add_argument("--once", action="store_true", help="process available input, then stop")
     r.add_argument("--checkpoint-root", help="folder of the queries' checkpoints (default: under spark.checkpoint.dir)")

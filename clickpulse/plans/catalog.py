@@ -10,14 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from clickpulse.functions.events import action_flags, clicks, parse_events, parse_with_status, reject_events, to_messages
+from pyspark.sql import functions as F
+
+from clickpulse.functions.events import (
+    ALL_NEEDS,
+    action_flags,
+    clicks,
+    parse_events,
+    parse_with_status,
+    reject_events,
+    to_messages,
+)
 from clickpulse.functions.regions import CODE_COLUMN, normalize_province, region_code
 from clickpulse.operators.rollups import item_grand_total, member_grand_total, member_running_total
 from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
-from clickpulse.schema import EVENT_COLUMNS
+from clickpulse.schema import CLICK, EVENT_COLUMNS
 from clickpulse.session import scratch_path
-from clickpulse.sources.testdata import raw_messages, user_behavior
+from clickpulse.sources.testdata import FIXTURE_ACTIONS, raw_messages, read_table, user_behavior
 from clickpulse.sources.userlog import to_user_log_lines
 
 MEMBER_WIDTH = "3 hours"
@@ -34,8 +43,39 @@ def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reject_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P10: the damaged messages and why."""
-    return reject_events(raw_messages(spark, sf_dir), "event_id").select("event_id", "reject_reason")
+    """P10: the messages that a reader with all needs cannot use, and why."""
+    return reject_events(raw_messages(spark, sf_dir), "event_id", needs=ALL_NEEDS).select("event_id", "reject_reason")
+
+
+def _job_balance(job: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A job's messages are either counted in its metric or rejected, in event time."""
+        from clickpulse.plans import jobs
+
+        s = jobs.JobSettings(
+            time="event",
+            member_width=MEMBER_WIDTH,
+            item_width=ITEM_WIDTH,
+            cat_size=CAT_SLIDE,
+            cat_slide=CAT_SLIDE,
+            province_width=PROVINCE_WIDTH,
+        )
+        messages = raw_messages(spark, sf_dir)
+        metric = jobs.JOBS[job].build(messages, s)
+        counters = [F.col(c) for c in metric.columns if c.endswith("_count")]
+        parts = {
+            "messages": messages.agg(F.count(F.lit(1)).alias("n")),
+            "accepted": jobs.job_events(messages, job, s).agg(F.count(F.lit(1)).alias("n")),
+            "rejected": jobs.job_rejects(messages, job, s).agg(F.count(F.lit(1)).alias("n")),
+            "counted": metric.agg(F.coalesce(F.sum(sum(counters[1:], counters[0])), F.lit(0)).alias("n")),
+        }
+        rows = None
+        for name, part in parts.items():
+            row = part.select(F.lit(name).alias("name"), "n")
+            rows = row if rows is None else rows.unionByName(row)
+        return rows.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in parts])
+
+    return q
 
 
 def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,13 +92,24 @@ def q_csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.plans.jobs import feed_job
 
     path = scratch_path(spark, "tables", "user_log")
-    to_user_log_lines(user_behavior(spark, sf_dir)).write.text(path)
+    # Every 89th event has no province and every 83rd no category: empty fields stay empty texts.
+    ub = user_behavior(spark, sf_dir)
+    for column, modulus in (("province", 89), ("cat_id", 83)):
+        ub = ub.withColumn(column, F.when(F.col("event_id") % modulus == 0, F.lit("")).otherwise(F.col(column)))
+    to_user_log_lines(ub).write.text(path)
     return parse_events(feed_job(spark, path)).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
 
 
 def q_click_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks only."""
-    return clicks(user_behavior(spark, sf_dir)).select("event_id", "cat_id")
+    return clicks(_click_view(spark, sf_dir)).select("event_id", "cat_id")
+
+
+def _click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view over the events that can be clicks: a plain predicate, so the scan skips other row groups."""
+    events = read_table(spark, sf_dir, "events")
+    names = [name for name, code in FIXTURE_ACTIONS if code == str(CLICK)]
+    return user_behavior(spark, sf_dir, events=events.where(F.col("event_type").isin(names)))
 
 
 def q_action_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +137,7 @@ def q_item_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cat_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cat_window(user_behavior(spark, sf_dir), size=CAT_SIZE, slide=CAT_SLIDE)
+    return cat_window(_click_view(spark, sf_dir), size=CAT_SIZE, slide=CAT_SLIDE)
 
 
 def q_province_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +156,20 @@ def q_item_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_grand_total(user_behavior(spark, sf_dir))
 
 
+def q_once_item_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item job over a folder of message files, processed once through its sink."""
+    from clickpulse.plans import jobs
+    from clickpulse.sources import sinks
+
+    src, out, root = (scratch_path(spark, "once", k) for k in ("messages", "rows", "checkpoints"))
+    raw_messages(spark, sf_dir).select("value").write.text(src)
+    settings = jobs.JobSettings(time="event", item_width=ITEM_WIDTH)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(src)
+    jobs.run_once(messages, lambda table: sinks.parquet(out), settings, root, only=["item_total"])
+    rows = spark.read.parquet(out)
+    return rows.select(*[c for c in rows.columns if c not in ("time", "query_id", "batch_id")])
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
     "json_round_trip": q_json_round_trip,
@@ -112,6 +177,11 @@ BATCH_QUERIES: dict[str, Query] = {
     "click_filter": q_click_filter,
     "action_flags": q_action_flags,
     "reject_events": q_reject_events,
+    "member_job_balance": _job_balance("member_total"),
+    "item_job_balance": _job_balance("item_total"),
+    "cat_job_balance": _job_balance("cat_window"),
+    "province_job_balance": _job_balance("province_window"),
+    "once_item_total": q_once_item_total,
     "province_normalize": q_province_normalize,
     "province_code": q_province_code,
     "member_total": q_member_total,

@@ -1,15 +1,23 @@
 """The dashboard jobs, composed from sources, metrics and sinks.
 
-A job turns a stream of JSON messages into one metric stream. Time is either
-arrival (``processing``: ``current_timestamp()``, one value per micro-batch, as
-the dashboards run live) or event time (``event``: the message's epoch
-milliseconds, for replays). Windows close on the watermark; append mode then
-emits each window once. Every query has its own checkpoint folder (T9), a name
-(T11), and can be restarted from that checkpoint (T10).
+A job turns a stream of JSON messages into one metric stream. It reads only the fields
+it needs, and what it cannot use goes to its reject feed (``job_rejects``), or fails it
+in strict mode. Time is
+
+* ``processing``: arrival, ``current_timestamp()``, one value per micro-batch. Windows close when
+  later input arrives.
+* ``clock``: arrival, and windows also close while input is idle (T7, ``streaming.live``).
+* ``event``: the message's epoch milliseconds. A continuous run must name its watermark: events
+  behind it are dropped. Messages without a time are rejects.
+
+Append mode emits each window once. ``run_once`` processes what is there and writes every
+window, the last ones included. Every query has its own checkpoint folder (T9) and name
+(T11), and is started again from that checkpoint when it fails (T10), on its own.
 """
 
 from __future__ import annotations
 
+import threading
 import time as _time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -18,17 +26,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.functions.events import parse_events, reject_events, to_messages
-from clickpulse.operators.windows import cat_window, item_total, member_total, province_window
+from clickpulse.functions.events import ACTION, CATEGORY, PROVINCE, TIME, parse_events, reject_events, to_messages
+from clickpulse.operators.windows import (
+    cat_panes,
+    cat_rows,
+    cat_window,
+    item_counts,
+    item_rows,
+    member_total,
+    province_window,
+)
 from clickpulse.session import storage_root
 from clickpulse.sources import sinks
 from clickpulse.sources.userlog import read_user_log
 
+TIMES = ("processing", "clock", "event")
+
 
 @dataclass(frozen=True)
 class JobSettings:
-    time: str = "processing"  # or "event"
-    watermark: str = "0 seconds"
+    time: str = "processing"  # or "clock", "event"
+    watermark: str | None = None  # event time only
     trigger: str = "1 second"
     strict: bool = False
     member_width: str = "3 seconds"
@@ -38,50 +56,98 @@ class JobSettings:
     province_width: str = "10 seconds"
 
 
-def timed_events(
-    messages: DataFrame, settings: JobSettings = JobSettings(), require_action: bool = True
-) -> DataFrame:
-    """Parsed events (P1, P2, P10) with ``event_time`` and a watermark on it."""
-    events = parse_events(messages, strict=settings.strict, require_action=require_action)
-    if settings.time == "processing":
-        t = F.current_timestamp()  # P5
-    elif settings.time == "event":
-        t = F.timestamp_millis(F.col("event_ms"))
-    else:
-        raise ValueError(f"time must be 'processing' or 'event', not {settings.time!r}")
-    return events.withColumn("event_time", t).withWatermark("event_time", settings.watermark)
+# What each job reads, and what a message must have to be counted. The item job takes any
+# action: a missing or odd one is a group of its own with all counters zero.
+JOB_FIELDS = {
+    "member_total": ["action"],
+    "item_total": ["item_id", "action", "cat_id", "brand_id"],
+    "cat_window": ["cat_id", "action"],
+    "province_window": ["province", "action"],
+}
+JOB_NEEDS = {
+    "member_total": (ACTION,),
+    "item_total": (),
+    "cat_window": (ACTION, CATEGORY),
+    "province_window": (ACTION, PROVINCE),
+}
+
+
+def job_needs(job: str, s: JobSettings = JobSettings()) -> tuple[str, ...]:
+    return JOB_NEEDS[job] + ((TIME,) if s.time == "event" else ())
+
+
+def job_events(messages: DataFrame, job: str, s: JobSettings = JobSettings()) -> DataFrame:
+    """The job's parsed events."""
+    fields = JOB_FIELDS[job] + (["event_ms"] if s.time == "event" else [])
+    return parse_events(messages, strict=s.strict, needs=job_needs(job, s), fields=fields)
+
+
+def job_rejects(messages: DataFrame, job: str, s: JobSettings = JobSettings(), *keep: str) -> DataFrame:
+    """The messages that the job does not count, and why."""
+    return reject_events(messages, *keep, needs=job_needs(job, s))
+
+
+def timed_events(messages: DataFrame, job: str, s: JobSettings = JobSettings(), bounded: bool = False) -> DataFrame:
+    """The job's events with ``event_time`` and, unless ``bounded``, a watermark on it."""
+    events = job_events(messages, job, s)
+    if s.time not in TIMES:
+        raise ValueError(f"time must be one of {', '.join(TIMES)}, not {s.time!r}")
+    if s.time == "clock" and events.isStreaming and not bounded:
+        from clickpulse.streaming.live import with_clock
+
+        return with_clock(events)
+    if s.time == "event":
+        events = events.withColumn("event_time", F.timestamp_millis(F.col("event_ms")))
+        if bounded or not events.isStreaming:
+            return events
+        if s.watermark is None:
+            raise ValueError("event time needs a watermark: how late an event may come before it is dropped")
+        return events.withWatermark("event_time", s.watermark)
+    events = events.withColumn("event_time", F.current_timestamp())  # P5
+    return events if bounded else events.withWatermark("event_time", "0 seconds")
 
 
 def member_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     """Site-wide action counts per tumbling window."""
-    return member_total(timed_events(messages, s), width=s.member_width)
+    return member_total(timed_events(messages, "member_total", s), width=s.member_width)
 
 
 def item_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
-    """Per-item counts per tumbling window (SQL text).
+    """Per-item counts per tumbling window.
 
-    A missing or non-numeric action is not a reject here: it is its own group,
-    with all counters zero (only malformed messages are dropped).
+    A stream emits the counts of all id combinations of a window at once; each emitted batch is
+    folded by ``item_rows`` before it is written.
     """
-    return item_total(timed_events(messages, s, require_action=False), width=s.item_width)
+    counts = item_counts(timed_events(messages, "item_total", s), width=s.item_width)
+    return counts if counts.isStreaming else item_rows(counts)
 
 
 def cat_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     """Clicks per category, sliding window."""
-    return cat_window(timed_events(messages, s), size=s.cat_size, slide=s.cat_slide)
+    return cat_window(timed_events(messages, "cat_window", s), size=s.cat_size, slide=s.cat_slide)
 
 
 def province_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     """Per-province counts per tumbling window, with region codes."""
-    return province_window(timed_events(messages, s), width=s.province_width)
+    return province_window(timed_events(messages, "province_window", s), width=s.province_width)
+
+
+def _as_is(batch: DataFrame) -> DataFrame:
+    return batch
+
+
+@dataclass(frozen=True)
+class Job:
+    build: Callable[[DataFrame, JobSettings], DataFrame]
+    table: str
+    fold: Callable[[DataFrame], DataFrame] = _as_is  # of each emitted batch
 
 
-# Job name -> (metric stream builder, result table).
-JOBS: dict[str, tuple[Callable[[DataFrame, JobSettings], DataFrame], str]] = {
-    "member_total": (member_job, "realtime_member_total"),
-    "item_total": (item_job, "realtime_item_total"),
-    "cat_window": (cat_job, "realtime_cat_window"),
-    "province_window": (province_job, "realtime_province_window"),
+JOBS: dict[str, Job] = {
+    "member_total": Job(member_job, "realtime_member_total"),
+    "item_total": Job(item_job, "realtime_item_total", item_rows),
+    "cat_window": Job(cat_job, "realtime_cat_window"),
+    "province_window": Job(province_job, "realtime_province_window"),
 }
 
 
@@ -113,92 +179,148 @@ def start_job(
     return w.start()
 
 
+def _shaper(name: str) -> Callable[[DataFrame, int], DataFrame]:
+    job = JOBS[name]
+    return lambda batch, batch_id: sinks.sink_rows(job.fold(batch), job.table)  # P16, P18
+
+
+class Running:
+    """Queries that run side by side; each is started again on its own when it fails."""
+
+    def __init__(self, starters: dict[str, Callable[[], StreamingQuery]], attempts: int = 3, delay_s: float = 5.0):
+        self.queries: dict[str, StreamingQuery] = {}
+        self.errors: dict[str, BaseException] = {}
+        self._stopping = threading.Event()
+        self._started = {name: threading.Event() for name in starters}
+        self._threads = [
+            threading.Thread(target=self._keep, args=(name, start, attempts, delay_s), name=f"job-{name}", daemon=True)
+            for name, start in starters.items()
+        ]
+        for t in self._threads:
+            t.start()
+        for event in self._started.values():
+            event.wait()
+
+    def _keep(self, name: str, start: Callable[[], StreamingQuery], attempts: int, delay_s: float) -> None:
+        def noted() -> StreamingQuery:
+            query = self.queries[name] = start()
+            self._started[name].set()
+            return query
+
+        try:
+            run_with_restarts(noted, attempts, delay_s, self._stopping)
+        except Exception as e:  # noqa: BLE001 - kept for wait(); the other jobs go on
+            self.errors[name] = e
+        finally:
+            self._started[name].set()
+
+    def wait(self) -> dict[str, BaseException]:
+        """Until all queries have ended; the errors of those that failed for good, by name."""
+        for t in self._threads:
+            t.join()
+        return self.errors
+
+    def stop(self) -> None:
+        self._stopping.set()
+        for q in list(self.queries.values()):
+            q.stop()
+        self.wait()
+
+
 def start_dashboards(
     messages: DataFrame,
     writers: Callable[[str], sinks.BatchWriter],
     settings: JobSettings = JobSettings(),
-    rejects: sinks.BatchWriter | None = None,
+    rejects: Callable[[str], sinks.BatchWriter] | None = None,
     checkpoint_root: str | None = None,
-    available_now: bool = False,
-) -> list[StreamingQuery]:
-    """Start J1-J4 (and optionally a reject feed) in one session.
+    only: Sequence[str] | None = None,
+    attempts: int = 3,
+    delay_s: float = 5.0,
+) -> Running:
+    """Start J1-J4 (or ``only`` some) in one session, and optionally each job's reject feed.
 
     ``writers(table)`` gives the batch writer for a result table, e.g.
     ``lambda t: sinks.fan_out(sinks.console(), sinks.JdbcTable(url, t))``; it
-    receives rows already shaped for the table, from a persisted batch.
-    Wait on them with ``spark.streams.awaitAnyTermination()``.
+    receives rows already shaped for the table, from a persisted batch. ``rejects(job)``
+    does so for the messages that the job cannot use.
     """
-    queries = []
-    for name, (build, table) in JOBS.items():
-        shape = _shaper(table)
-        ckpt = job_checkpoint(messages.sparkSession, name, checkpoint_root)
-        writer = sinks.fan_out(writers(table), shape=shape)
-        queries.append(start_job(build(messages, settings), name, writer, settings, ckpt, available_now=available_now))
-    if rejects is not None:
-        bad = reject_events(messages)
-        ckpt = job_checkpoint(messages.sparkSession, "rejects", checkpoint_root)
-        queries.append(start_job(bad, "rejects", rejects, settings, ckpt, available_now=available_now))
-    return queries
-
-
-def start_live_dashboards(
+    starters: dict[str, Callable[[], StreamingQuery]] = {}
+
+    def starter(df: DataFrame, name: str, writer: sinks.BatchWriter) -> Callable[[], StreamingQuery]:
+        return lambda: start_job(df, name, writer, settings, job_checkpoint(df.sparkSession, name, checkpoint_root))
+
+    for name, job in JOBS.items():
+        if only and name not in only:
+            continue
+        writer = sinks.fan_out(writers(job.table), shape=_shaper(name))
+        query = f"{name}_clock" if settings.time == "clock" else name
+        starters[query] = starter(job.build(messages, settings), query, writer)
+        if rejects is not None:
+            bad = job_rejects(messages, name, settings)
+            starters[f"{query}_rejects"] = starter(bad, f"{query}_rejects", rejects(name))
+    return Running(starters, attempts, delay_s)
+
+
+def _bounded(messages: DataFrame, name: str, s: JobSettings):
+    """``(stream of sums, its keys, the fold of the finished table)`` of a job over bounded input."""
+    events = timed_events(messages, name, s, bounded=True)
+    if name == "member_total":
+        return member_total(events, width=s.member_width), ["window_start"], _as_is
+    if name == "item_total":
+        return item_counts(events, width=s.item_width), ["item_id", "action", "cat_id", "brand_id", "window_start"], item_rows
+    if name == "cat_window":
+        panes = cat_panes(events, slide=s.cat_slide)
+        return panes, ["cat_id", "window_start"], lambda t: cat_rows(t, s.cat_size, s.cat_slide)
+    return province_window(events, width=s.province_width), ["province", "window_start"], _as_is
+
+
+def run_once(
     messages: DataFrame,
     writers: Callable[[str], sinks.BatchWriter],
     settings: JobSettings = JobSettings(),
-    salt_buckets: int = 16,
     checkpoint_root: str | None = None,
     only: Sequence[str] | None = None,
-) -> list[StreamingQuery]:
-    """J1-J4 in parity mode (T7): windows close by the clock, also while input is idle.
-
-    Time is always arrival (processing) time; ``settings`` gives widths and trigger.
-    ``only`` names a subset of the jobs.
+    attempts: int = 3,
+    delay_s: float = 5.0,
+) -> None:
+    """Process the input available now and write every window of it, open ones included.
+
+    Runs in update mode without a watermark, so nothing is late; the finished table is then written
+    as batch 0 of its query. A later run with the same checkpoints takes in new input only
+    and replaces that batch by the table as it then is.
     """
-    from clickpulse.streaming import live
-
-    # Keep the message's own columns (e.g. Kafka partition and offset): they make
-    # copies of one event distinct, so parity mode's key salting spreads them.
-    position = [c for c in messages.columns if c != "value"]
-    events = parse_events(messages, *position, strict=settings.strict)
-    any_action = parse_events(messages, *position, strict=settings.strict, require_action=False)
-    args = {
-        "member_total": (settings.member_width,),
-        "item_total": (settings.item_width,),
-        "cat_window": (settings.cat_size, settings.cat_slide),
-        "province_window": (settings.province_width,),
-    }
-    queries = []
-    for name, (build, table) in JOBS.items():
+    from clickpulse.streaming.replay import read_update_log, start_update_log
+
+    spark = messages.sparkSession
+    for name, job in JOBS.items():
         if only and name not in only:
             continue
-        live_build, finish = live.LIVE_JOBS[name]
-        src = any_action if name == "item_total" else events
-        result = live_build(src, *args[name], salt_buckets=salt_buckets)
-
-        def shape(batch: DataFrame, batch_id: int, finish=finish, table=table) -> DataFrame:
-            return sinks.sink_rows(finish(batch), table)
-
-        ckpt = job_checkpoint(messages.sparkSession, f"{name}_live", checkpoint_root)
-        queries.append(start_job(result, f"{name}_live", sinks.fan_out(writers(table), shape=shape), settings, ckpt))
-    return queries
-
-
-def _shaper(table: str) -> Callable[[DataFrame, int], DataFrame]:
-    return lambda batch, batch_id: sinks.sink_rows(batch, table)  # P16, P18
-
-
-def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int = 3, delay_s: float = 5.0) -> StreamingQuery:
+        sums, keys, fold = _bounded(messages, name, settings)
+        checkpoint = job_checkpoint(spark, f"{name}_once", checkpoint_root)
+        out = job_checkpoint(spark, f"{name}_once_rows", checkpoint_root)
+        q = run_with_restarts(lambda: start_update_log(sums, name, out, checkpoint), attempts, delay_s)  # noqa: B023
+        rows = sinks.sink_rows(fold(read_update_log(spark, out, sums, keys)), job.table)
+        with sinks.writing_as(str(q.id)):
+            sinks.fan_out(writers(job.table))(rows, 0)
+
+
+def run_with_restarts(
+    start: Callable[[], StreamingQuery],
+    attempts: int = 3,
+    delay_s: float = 5.0,
+    stopping: threading.Event | None = None,
+) -> StreamingQuery:
     """Run a query to its end; on failure start it again from its checkpoint.
 
     At most ``attempts`` restarts, ``delay_s`` apart. Within a micro-batch,
     lost executors and failed tasks are retried by Spark itself.
     """
     for attempt in range(attempts + 1):
-        q = start()
         try:
+            q = start()
             q.awaitTermination()
         except Exception:
-            if attempt == attempts:
+            if attempt == attempts or (stopping is not None and stopping.is_set()):
                 raise
             _time.sleep(delay_s)
             continue

@@ -7,7 +7,9 @@ source is read once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -44,24 +46,50 @@ def sink_rows(df: DataFrame, table: str, batch_id: int | None = None) -> DataFra
     return df.select(*out, *extra)
 
 
-def console(n: int = 20) -> BatchWriter:
-    """Print up to ``n`` rows of each batch."""
+# Which query a batch belongs to. Batch ids start at 0 with every checkpoint, so rows are keyed by
+# the id that the checkpoint gives its query as well: a replayed batch replaces
+# itself, and never another run's rows.
+_writing: ContextVar[str | None] = ContextVar("writing", default=None)
+NO_QUERY = "none"
+
+
+@contextmanager
+def writing_as(query_id: str) -> Iterator[None]:
+    """Name the query for batches that are written outside of ``foreachBatch``."""
+    token = _writing.set(query_id)
+    try:
+        yield
+    finally:
+        _writing.reset(token)
+
+
+def query_id(batch: DataFrame) -> str:
+    """The id, kept in the checkpoint, of the query that this batch belongs to."""
+    return _writing.get() or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or NO_QUERY
+
+
+def console(limit: int = 1000) -> BatchWriter:
+    """Print the rows of each batch, and how many there are beyond ``limit``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.limit(limit + 1).collect()
         print(f"-- batch {batch_id}")
-        batch.show(n, truncate=False)
+        for row in rows[:limit]:
+            print(", ".join(f"{c}={row[c]}" for c in batch.columns))
+        if len(rows) > limit:
+            print(f"-- {batch.count() - limit} more rows not shown")
 
     return write
 
 
 def parquet(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
-    """S7 inside ``foreachBatch``: each batch to ``path/batch_id=<n>``, overwritten on retry."""
+    """S7 inside ``foreachBatch``: each batch to ``path/query_id=<id>/batch_id=<n>``, overwritten on retry."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         w = batch.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        w.parquet(f"{path.rstrip('/')}/query_id={query_id(batch)}/batch_id={batch_id}")
 
     return write
 
@@ -88,13 +116,14 @@ def parquet_stream(
 
 
 class JdbcTable:
-    """Append each micro-batch to a JDBC table, once per ``batch_id``.
+    """Append each micro-batch to a JDBC table, once per ``(query_id, batch_id)``.
 
-    The table needs a ``batch_id`` column. A batch first deletes its own rows
+    The table needs columns ``query_id`` (text) and ``batch_id`` (bigint) and an index on the pair:
+    without it each batch scans the growing table. A batch first deletes its own rows
     (one statement on the driver, over the JVM's JDBC driver), then appends with
     Spark's JDBC writer, ``batchsize`` rows per statement batch. A replayed
-    batch therefore replaces, not repeats, its rows. Delete and insert are not
-    one transaction: a reader may briefly see the batch missing.
+    batch therefore replaces, not repeats, its rows, and rows of another checkpoint stay.
+    Delete and insert are not one transaction: a reader may briefly see the batch missing.
 
     At most ``num_partitions`` tasks write at once, so a batch coming out of a
     shuffle with thousands of partitions still opens only that many database
@@ -118,9 +147,9 @@ class JdbcTable:
         self.props["numPartitions"] = str(num_partitions)
 
     def delete_statement(self) -> str:
-        return f"DELETE FROM {self.table} WHERE batch_id = ?"
+        return f"DELETE FROM {self.table} WHERE query_id = ? AND batch_id = ?"
 
-    def delete_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def delete_batch(self, batch: DataFrame, query: str, batch_id: int) -> None:
         jvm = batch.sparkSession.sparkContext._jvm  # noqa: SLF001 - the JVM's JDBC driver manager
         props = jvm.java.util.Properties()
         for k in ("user", "password"):
@@ -131,7 +160,8 @@ class JdbcTable:
         conn = jvm.java.sql.DriverManager.getConnection(self.url, props)
         try:
             st = conn.prepareStatement(self.delete_statement())
-            st.setLong(1, batch_id)
+            st.setString(1, query)
+            st.setLong(2, batch_id)
             st.executeUpdate()
         finally:
             conn.close()
@@ -140,8 +170,9 @@ class JdbcTable:
         rows.write.jdbc(self.url, self.table, mode="append", properties=self.props)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.delete_batch(batch, batch_id)
-        self.append(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        query = query_id(batch)
+        self.delete_batch(batch, query, batch_id)
+        self.append(batch.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint")}))
 
 
 def fan_out(*writers: BatchWriter, shape: Callable[[DataFrame, int], DataFrame] | None = None) -> BatchWriter:

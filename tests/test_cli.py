@@ -2,35 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import pytest
 
 from clickpulse.__main__ import main, parser
 from clickpulse.plans import jobs
+from clickpulse.sources import sinks
 from clickpulse.sources.testdata import raw_messages
 from conftest import SF001
 
+WIDTHS = ["--member-width", "3 hours", "--item-width", "3 hours", "--cat-size", "60 hours", "--cat-slide", "10 hours",
+          "--province-width", "10 hours"]
 
-def test_run_once_from_files_to_parquet(spark, scratch):
+
+def rows_of(df, table):
+    """What the job writes, without the time of writing."""
+    shaped = sinks.sink_rows(df, table).drop("time")
+    return sorted((tuple(map(str, r)) for r in shaped.collect()))
+
+
+def test_run_once_writes_every_window_of_every_job(spark, scratch):
     src, out, ckpt = scratch("cli_src"), scratch("cli_out"), scratch("cli_ckpt")
-    raw_messages(spark, SF001).select("value").write.text(src)
-    main(
-        ["run", "--source", "files", "--path", src, "--sink", "parquet", "--out", out, "--time", "event", "--once",
-         "--jobs", "member_total,province_window", "--member-width", "3 hours", "--province-width", "10 hours",
-         "--checkpoint-root", ckpt],
-        spark,
-    )
-    got = spark.read.parquet(f"{out}/realtime_member_total")
-    assert got.columns[:5] == ["click_count", "addcart_count", "buy_count", "focus_count", "time"]
-    assert spark.read.parquet(f"{out}/realtime_province_window").count() > 0
-    # Append mode: closed windows only, each once; counts match the batch job on those windows.
-    settings = jobs.JobSettings(time="event", member_width="3 hours")
-    batch = jobs.member_job(spark.read.text(src), settings)
-    closed = {r.window_start for r in got.collect()}
-    want = batch.filter(F.col("window_start").isin(list(closed))).agg(F.sum("click_count")).collect()[0][0]
-    assert got.agg(F.sum("click_count")).collect()[0][0] == want
-    assert got.count() == len(closed)
+    messages = raw_messages(spark, SF001).select("value")
+    command = ["run", "--source", "files", "--path", src, "--sink", "parquet", "--out", out, "--time", "event", "--once",
+               "--checkpoint-root", ckpt, *WIDTHS]
+    settings = jobs.JobSettings(time="event", member_width="3 hours", item_width="3 hours", cat_size="60 hours",
+                                cat_slide="10 hours", province_width="10 hours")
+    # A second run takes in a second file, older events included, and replaces the tables.
+    for part in messages.randomSplit([0.5, 0.5], seed=3):
+        part.write.mode("append").text(src)
+        main(command, spark)
+        batch = spark.read.text(src)
+        for job in jobs.JOBS.values():
+            got = spark.read.parquet(f"{out}/{job.table}")
+            shaped = [c for c in got.columns if c not in ("time", "query_id", "batch_id")]
+            want = rows_of(job.build(batch, settings), job.table)
+            assert sorted(tuple(map(str, r)) for r in got.select(*shaped).collect()) == want and want
 
 
 def test_parser_settings():
     a = parser().parse_args(["run", "--cat-size", "2 minutes", "--strict"])
     assert a.cat_size == "2 minutes" and a.strict is True and a.member_width is None
+
+
+def test_event_time_needs_a_watermark(spark, scratch):
+    src = scratch("cli_empty")
+    raw_messages(spark, SF001).select("value").limit(1).write.text(src)
+    with pytest.raises(ValueError, match="watermark"):
+        main(["run", "--source", "files", "--path", src, "--time", "event", "--checkpoint-root", scratch("c")], spark)

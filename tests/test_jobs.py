@@ -10,8 +10,8 @@ from clickpulse.sources import sinks
 from clickpulse.sources.testdata import raw_messages
 from conftest import SF001
 
-EVENT = jobs.JobSettings(time="event", member_width="3 hours", item_width="3 hours", cat_size="60 hours",
-                         cat_slide="10 hours", province_width="10 hours")
+EVENT = jobs.JobSettings(time="event", watermark="0 seconds", member_width="3 hours", item_width="3 hours",
+                         cat_size="60 hours", cat_slide="10 hours", province_width="10 hours")
 
 
 @pytest.fixture(scope="module")
@@ -27,75 +27,100 @@ def stream(spark, path):
     return spark.readStream.schema("event_id bigint, value string").parquet(path)
 
 
-def test_member_job_append_equals_closed_batch_windows(spark, scratch, message_dir):
-    out = scratch("member_job")
-    q = jobs.start_job(jobs.member_job(stream(spark, message_dir), EVENT), "t_member_job", sinks.parquet(out),
-                       checkpoint=scratch("member_ckpt"), available_now=True)
-    q.awaitTermination()
-    got = spark.read.parquet(out).drop("batch_id")
-    batch_msgs = spark.read.parquet(message_dir)
-    want = jobs.member_job(batch_msgs, EVENT)
-    max_t = jobs.timed_events(batch_msgs, EVENT).agg(F.max("event_time")).collect()[0][0]
-    want = want.filter(F.col("window_end") <= F.lit(max_t.replace(tzinfo=None)))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    assert got.count() > 200
+def test_append_emits_each_closed_window_once(spark, scratch, message_dir):
+    messages = spark.read.parquet(message_dir)
+    last = jobs.timed_events(messages, "member_total", EVENT).agg(F.max("event_time")).collect()[0][0].replace(tzinfo=None)
+    for name in ("member_total", "item_total"):
+        job, out = jobs.JOBS[name], scratch(name)
+        shape = lambda b, i, fold=job.fold: fold(b)
+        q = jobs.start_job(job.build(stream(spark, message_dir), EVENT), f"t_{name}", sinks.fan_out(sinks.parquet(out), shape=shape),
+                           checkpoint=scratch("ckpt"), available_now=True)
+        q.awaitTermination()
+        got = spark.read.parquet(out).drop("query_id", "batch_id")
+        want = job.build(messages, EVENT).filter(F.col("window_end") <= F.lit(last))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+        assert got.count() > 200
 
 
 def test_all_dashboards_and_rejects(spark, scratch, message_dir):
-    outs = {}
+    outs, bad = {}, {}
 
     def writer(table):
         outs[table] = scratch(table)
         return sinks.parquet(outs[table])
 
-    reject_out = scratch("rejects")
-    msgs = stream(spark, message_dir)
-    qs = []
-    for name, (build, table) in jobs.JOBS.items():
-        shape = jobs._shaper(table)
-        qs.append(jobs.start_job(build(msgs, EVENT), f"t_{name}", sinks.fan_out(writer(table), shape=shape),
-                                 checkpoint=scratch(f"ckpt_{name}"), available_now=True))
-    qs.append(jobs.start_job(jobs.reject_events(msgs), "t_rejects", sinks.parquet(reject_out),
-                             checkpoint=scratch("ckpt_rejects"), available_now=True))
-    for q in qs:
-        q.awaitTermination()
+    def rejects(job):
+        bad[job] = scratch(f"rejects_{job}")
+        return sinks.parquet(bad[job])
+
+    running = jobs.start_dashboards(stream(spark, message_dir), writer, EVENT, rejects, scratch("ckpts"))
+    try:
+        assert len(running.queries) == 8
+        for q in running.queries.values():
+            q.processAllAvailable()
+    finally:
+        running.stop()
     for table, path in outs.items():
         df = spark.read.parquet(path)
         assert df.count() > 0
         assert df.columns[: len(sinks.SINK_TABLES[table][0])] == sinks.SINK_TABLES[table][0]
-    want = jobs.reject_events(spark.read.parquet(message_dir)).count()
-    assert want == spark.read.parquet(message_dir).filter("event_id % 97 in (0, 1, 2)").count()
-    assert spark.read.parquet(reject_out).count() == want
+    messages = spark.read.parquet(message_dir)
+    for job, path in bad.items():
+        assert spark.read.parquet(path).count() == jobs.job_rejects(messages, job, EVENT).count() > 0
 
 
-def test_run_with_restarts_retries_then_succeeds():
-    attempts = []
+def broken_after(src, spark, failures):
+    """A writer that fails its first calls, and the rows it wrote."""
+    seen = {"calls": 0, "rows": 0}
 
-    class FakeQuery:
-        def __init__(self, fail):
-            self.fail = fail
+    def write(batch, batch_id):
+        seen["calls"] += 1
+        if seen["calls"] <= failures:
+            raise RuntimeError("boom")
+        seen["rows"] += batch.count()
 
-        def awaitTermination(self):
-            if self.fail:
-                raise RuntimeError("boom")
+    return write, seen
 
-    def start():
-        attempts.append(1)
-        return FakeQuery(fail=len(attempts) < 3)
 
+def test_run_with_restarts_on_a_real_query(spark, scratch, message_dir):
+    write, seen = broken_after(message_dir, spark, 2)
+    ckpt = scratch("restart_ckpt")
+    start = lambda: jobs.start_job(stream(spark, message_dir), "t_restart", write, checkpoint=ckpt, available_now=True)
     jobs.run_with_restarts(start, attempts=3, delay_s=0)
-    assert len(attempts) == 3
-    attempts.clear()
-    with pytest.raises(RuntimeError):
-        jobs.run_with_restarts(lambda: (attempts.append(1), FakeQuery(True))[1], attempts=2, delay_s=0)
-    assert len(attempts) == 3
+    assert seen == {"calls": 3, "rows": spark.read.parquet(message_dir).count()}
+    write, seen = broken_after(message_dir, spark, 9)
+    ckpt = scratch("restart_ckpt")
+    with pytest.raises(Exception, match="boom"):
+        jobs.run_with_restarts(start, attempts=1, delay_s=0)
+    assert seen["calls"] == 2
 
 
-def test_processing_time_mode_builds_append_query(spark, message_dir):
-    df = jobs.province_job(stream(spark, message_dir))
-    assert df.isStreaming
-    with pytest.raises(ValueError):
-        jobs.timed_events(stream(spark, message_dir), jobs.JobSettings(time="bogus"))
+def test_one_failing_job_leaves_the_others_running(spark, scratch, message_dir):
+    good = scratch("good")
+
+    def writer(table):
+        if table == "realtime_member_total":
+            return broken_after(message_dir, spark, 99)[0]
+        return sinks.parquet(good)
+
+    s = jobs.JobSettings(time="event", watermark="0 seconds", province_width="10 hours", member_width="3 hours")
+    running = jobs.start_dashboards(stream(spark, message_dir), writer, s, checkpoint_root=scratch("ckpts"),
+                                    only=["member_total", "province_window"], attempts=1, delay_s=0)
+    try:
+        running._threads[0].join(60)
+        assert list(running.errors) == ["member_total"]
+        running.queries["province_window"].processAllAvailable()
+        assert running.queries["province_window"].isActive and spark.read.parquet(good).count() > 0
+    finally:
+        running.stop()
+
+
+def test_settings_are_checked(spark, message_dir):
+    assert jobs.province_job(stream(spark, message_dir)).isStreaming
+    with pytest.raises(ValueError, match="time must be"):
+        jobs.timed_events(stream(spark, message_dir), "member_total", jobs.JobSettings(time="bogus"))
+    with pytest.raises(ValueError, match="watermark"):
+        jobs.timed_events(stream(spark, message_dir), "member_total", jobs.JobSettings(time="event"))
 
 
 def test_native_parquet_sink_is_exactly_once_on_restart(spark, scratch, message_dir):
@@ -105,11 +130,3 @@ def test_native_parquet_sink_is_exactly_once_on_restart(spark, scratch, message_
         q.awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == got.select("window_start").distinct().count() > 200
-
-
-def test_strict_job_fails_on_a_bad_message(spark, message_dir):
-    from pyspark.errors import PySparkException
-
-    strict = jobs.JobSettings(time="event", member_width="3 hours", strict=True)
-    with pytest.raises(PySparkException):
-        jobs.member_job(spark.read.parquet(message_dir), strict).collect()

@@ -1,7 +1,7 @@
 """Idle fixture (FIXTURES section 4): one file, then nothing.
 
-Default mode (window + watermark, append) must not emit the last window;
-parity mode (processing-time timers) must, with every event counted once.
+In arrival time the last window must wait for more input; with the clock it must
+come without, with every event counted once.
 """
 
 from __future__ import annotations
@@ -11,12 +11,16 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from clickpulse.functions.events import parse_events
 from clickpulse.plans import jobs
+from clickpulse.sources import sinks
 from clickpulse.sources.testdata import raw_messages
-from clickpulse.streaming import live
 from conftest import SF001
 
+CLOCK = jobs.JobSettings(time="clock", member_width="3 seconds", item_width="3 seconds", cat_size="3 seconds",
+                         cat_slide="1 second", province_width="3 seconds")
+WIDE = jobs.JobSettings(time="processing", member_width="3650 days", item_width="3650 days", cat_size="3650 days",
+                        cat_slide="3650 days", province_width="3650 days")
+
 
 @pytest.fixture(scope="module")
 def one_file(spark):
@@ -31,174 +35,50 @@ def messages(spark, path):
     return spark.readStream.schema("event_id bigint, value string").parquet(path)
 
 
-def poll(spark, path, seconds):
-    end = time.time() + seconds
-    while time.time() < end:
-        time.sleep(1.5)
-        try:
-            rows = spark.read.parquet(path).collect()
-        except Exception:  # noqa: BLE001 - nothing written yet
-            continue
-        if rows:
-            return rows
-    return []
-
-
-def test_parity_mode_closes_window_while_idle(spark, scratch, one_file):
-    out = scratch("live_out")
-
-    def sink(batch, batch_id):
-        live.finish_member_total(batch).write.mode("append").parquet(out)
-
-    q = (
-        live.live_member_total(parse_events(messages(spark, one_file)), width="3 seconds", salt_buckets=4)
-        .writeStream.outputMode("append")
-        .foreachBatch(sink)
-        .option("checkpointLocation", scratch("live_ckpt"))
-        .trigger(processingTime="1 second")
-        .start()
-    )
-    try:
-        rows = poll(spark, out, 45)
-    finally:
-        q.stop()
-    assert rows, "parity mode emitted nothing while idle"
-    want = jobs.member_job(spark.read.parquet(one_file), jobs.JobSettings(time="event", member_width="3650 days"))
-    want = want.agg(*[F.sum(c).alias(c) for c in live.MEMBER_NAMES]).collect()[0]
-    got = {c: sum(r[c] for r in rows) for c in live.MEMBER_NAMES}
-    assert got == want.asDict()
-    assert all(r.window_end.timestamp() - r.window_start.timestamp() == 3 for r in rows)
-
-
-def test_default_mode_waits_for_more_input(spark, scratch, one_file):
+def test_arrival_time_waits_for_more_input(spark, scratch, one_file):
     out = scratch("default_out")
-    settings = jobs.JobSettings(member_width="3 seconds")
-    q = jobs.start_job(jobs.member_job(messages(spark, one_file), settings), "t_idle_default",
-                       jobs.sinks.parquet(out), settings, checkpoint=scratch("default_ckpt"))
+    s = jobs.JobSettings(member_width="3 seconds")
+    q = jobs.start_job(jobs.member_job(messages(spark, one_file), s), "t_idle_default", sinks.parquet(out), s, scratch("ckpt"))
     try:
-        rows = poll(spark, out, 10)
+        q.processAllAvailable()
+        time.sleep(8)
     finally:
         q.stop()
-    assert rows == []
-
-
-def test_parity_province_rows(spark, scratch, one_file):
-    out = scratch("live_prov")
+    assert spark.read.parquet(out).count() == 0
 
-    def sink(batch, batch_id):
-        live.finish_province_window(batch).write.mode("append").parquet(out)
-
-    q = (
-        live.live_province_window(parse_events(messages(spark, one_file)), width="3 seconds", salt_buckets=3)
-        .writeStream.outputMode("append")
-        .foreachBatch(sink)
-        .option("checkpointLocation", scratch("live_prov_ckpt"))
-        .trigger(processingTime="1 second")
-        .start()
-    )
-    try:
-        rows = poll(spark, out, 45)
-    finally:
-        q.stop()
-    batch = jobs.province_job(spark.read.parquet(one_file), jobs.JobSettings(time="event", province_width="3650 days"))
-    want = {r.province: (r.province_iso_3316_code, r.click_count, r.focus_count, r.buy_count) for r in batch.collect()}
-    got = {r.province: (r.province_iso_3316_code, r.click_count, r.focus_count, r.buy_count) for r in rows}
-    assert got == want
-
-
-def run_live(spark, scratch, name, build, finish, src, seconds, min_rows=1, require_action=True):
-    out = scratch(name)
-
-    def sink(batch, batch_id):
-        finish(batch).write.mode("append").parquet(out)
-
-    q = (
-        build(parse_events(messages(spark, src), require_action=require_action))
-        .writeStream.outputMode("append")
-        .foreachBatch(sink)
-        .option("checkpointLocation", scratch(name + "_ckpt"))
-        .trigger(processingTime="1 second")
-        .start()
-    )
-    try:
-        end = time.time() + seconds
-        rows = []
-        while time.time() < end and len(rows) < min_rows:
-            rows = poll(spark, out, 3)
-    finally:
-        q.stop()
-    return rows
-
-
-def test_parity_sliding_emits_each_window_once(spark, scratch, one_file):
-    # One micro-batch of input lands in one pane: with 3 s windows sliding by
-    # 1 s, that pane is in three windows, each holding every click.
-    batch = jobs.cat_job(spark.read.parquet(one_file), jobs.JobSettings(time="event", cat_size="3650 days",
-                                                                        cat_slide="3650 days"))
-    want = {r.cat_id: r.cat_click_count for r in batch.collect()}
-    rows = run_live(spark, scratch, "live_cat", lambda ev: live.live_cat_window(ev, "3 seconds", "1 second", 3),
-                    live.finish_cat_window, one_file, 60, min_rows=3 * len(want))
-    by_window = {}
-    for r in rows:
-        by_window.setdefault((r.window_start, r.window_end), {})[r.cat_id] = r.cat_click_count
-    assert len(by_window) == 3
-    assert all(v == want for v in by_window.values())
-    starts = sorted(w[0] for w in by_window)
-    assert [(b - a).total_seconds() for a, b in zip(starts, starts[1:])] == [1.0, 1.0]
-
-
-def test_parity_item_totals(spark, scratch, one_file):
-    batch = jobs.item_job(spark.read.parquet(one_file), jobs.JobSettings(time="event", item_width="3650 days"))
-    cols = ["item_id", "action", "cat_id", "brand_id", "item_click_count", "item_sale_count", "item_focus_count"]
-    def key(t):
-        return tuple((v is None, "" if v is None else str(v)) for v in t)
-
-    want = sorted((tuple(r[c] for c in cols) for r in batch.collect()), key=key)
-    assert any(t[1] is None for t in want) and any(t[1] == "" for t in want)  # damaged actions are groups
-    rows = run_live(spark, scratch, "live_item", lambda ev: live.live_item_total(ev, "3 seconds", 4),
-                    live.finish_item_total, one_file, 45, min_rows=len(want), require_action=False)
-    assert sorted((tuple(r[c] for c in cols) for r in rows), key=key) == want
-
-
-def test_start_live_dashboards(spark, scratch, one_file):
-    from clickpulse.sources import sinks
 
+def test_clock_closes_windows_of_all_jobs_while_idle(spark, scratch, one_file):
     outs = {}
 
     def writer(table):
         outs[table] = scratch("live_" + table)
         return sinks.parquet(outs[table])
 
-    settings = jobs.JobSettings(member_width="2 seconds", item_width="2 seconds", cat_size="2 seconds",
-                                cat_slide="1 second", province_width="2 seconds")
-    qs = jobs.start_live_dashboards(messages(spark, one_file), writer, settings, salt_buckets=2,
-                                    checkpoint_root=scratch("live_ckpts"))
+    batch = spark.read.parquet(one_file)
+    want = {job.table: sinks.sink_rows(job.build(batch, WIDE), job.table) for job in jobs.JOBS.values()}
+    drop = ["time", "window_start", "window_end", "query_id", "batch_id"]
+    want = {t: sorted(map(str, df.drop(*drop).collect())) for t, df in want.items()}
+    # One micro-batch of input lands in one second: it is in three windows of 3 s that slide by 1 s.
+    want["realtime_cat_window"] = sorted(want["realtime_cat_window"] * 3)
+    running = jobs.start_dashboards(messages(spark, one_file), writer, CLOCK, checkpoint_root=scratch("live_ckpts"))
+    got = {}
     try:
-        end = time.time() + 60
-        while time.time() < end:
+        end = time.time() + 120
+        while time.time() < end and got != want:
             time.sleep(2)
-            try:
-                if all(spark.read.parquet(p).count() > 0 for p in outs.values()):
-                    break
-            except Exception:  # noqa: BLE001 - not all written yet
-                continue
+            for table, path in outs.items():
+                try:
+                    df = spark.read.parquet(path)
+                except Exception:  # noqa: BLE001 - nothing written yet
+                    continue
+                got[table] = sorted(map(str, df.drop(*drop).collect()))
     finally:
-        for q in qs:
-            q.stop()
-    for table, path in outs.items():
-        df = spark.read.parquet(path)
-        assert df.count() > 0
-        assert df.columns[: len(sinks.SINK_TABLES[table][0])] == sinks.SINK_TABLES[table][0]
-    clicks = spark.read.parquet(outs["realtime_member_total"]).agg(F.sum("click_count")).collect()[0][0]
-    assert clicks == parse_events(spark.read.parquet(one_file)).filter("action_code = 0").count()
-
-
-def test_salt_spreads_copies_of_one_event(spark):
-    # 3000 identical events at different source positions: every sub-key gets a share.
-    from pyspark.sql import functions as F
-
-    from clickpulse.streaming.live import salt_column
-
-    df = spark.range(3000).select(F.col("id").alias("offset"), F.lit("c").alias("cat_id"), F.lit(1).alias("n"))
-    counts = [r["count"] for r in df.select(salt_column(df, 8).alias("s")).groupBy("s").count().collect()]
-    assert len(counts) == 8 and min(counts) > 3000 / 8 / 2
+        running.stop()
+    assert running.errors == {} and got == want
+    for table, width in (("realtime_member_total", 3), ("realtime_cat_window", 3)):
+        spans = spark.read.parquet(outs[table]).select("window_start", "window_end").distinct().collect()
+        assert {(r.window_end - r.window_start).total_seconds() for r in spans} == {width}
+        assert len(spans) == (3 if table == "realtime_cat_window" else 1)
+    # Nothing comes twice: as many rows as wanted, each key and window once.
+    cats = spark.read.parquet(outs["realtime_cat_window"])
+    assert cats.groupBy("cat_id", "window_start").count().agg(F.max("count")).collect()[0][0] == 1

@@ -8,11 +8,12 @@ import __spark_entry__ as entry
 from conftest import SF001, SF01
 from oracle import duck, duck_rows, fingerprint, spark_rows
 
-KEYS = sorted(entry.queries())
+# The training-data queries, where present, have tests of their own.
+KEYS = sorted(set(entry.queries()) - set(entry.LLM_QUERIES) - {"pipeline"})
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

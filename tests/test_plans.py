@@ -16,7 +16,12 @@ MAX_SHUFFLES = {
     "member_total": 1,
     "province_window": 1,
     "member_grand_total": 1,
-    "item_grand_total": 1,
+    "item_grand_total": 2,
+    # The metric of the job, and single-row totals that meet in one place.
+    "member_job_balance": 1,
+    "item_job_balance": 2,
+    "cat_job_balance": 2,
+    "province_job_balance": 1,
     "item_total": 2,
     "cat_window": 2,
     # A1's shuffle and the bucket shuffle appear in both join branches of the
@@ -54,14 +59,25 @@ def test_running_total_reuses_its_input_at_run_time(spark):
     assert "isFinalPlan=true" in text and "ReusedExchange" in final_tree
 
 
-def test_spread_only_touches_inputs_with_few_splits(spark, scratch):
-    from clickpulse.sources.testdata import spread
+@pytest.mark.parametrize("job", ["member_total", "item_total", "cat_window", "province_window"])
+def test_jobs_read_only_their_fields(spark, job):
+    from clickpulse.plans import jobs
+    from clickpulse.schema import EVENT_FIELDS
+    from clickpulse.sources.testdata import raw_messages
 
-    cores = spark.sparkContext.defaultParallelism
-    many, few = scratch("many_splits"), scratch("few_splits")
-    spark.range(10_000).repartition(cores * 2).write.parquet(many)
-    spark.range(10_000).coalesce(1).write.parquet(few)
-    big, small = spark.read.parquet(many), spark.read.parquet(few)
-    assert spread(big) is big  # enough splits: no added shuffle
-    assert "RoundRobinPartitioning" in plan_text(spread(small))
-    assert spread(small).rdd.getNumPartitions() == cores
+    wire = dict((c, w) for w, c in EVENT_FIELDS)
+    messages = spark.createDataFrame([("x",)], "value string")
+    plan = jobs.JOBS[job].build(messages, jobs.JobSettings())._jdf.queryExecution().optimizedPlan().toString()
+    fields = set(re.findall(r"StructField\((\w+),", plan.split("from_json(")[1].split("(mode")[0]))
+    assert fields == {wire[c] for c in jobs.JOB_FIELDS[job]} | {"_corrupt_message"}
+    assert raw_messages(spark, SF001).columns == ["event_id", "value"]
+
+
+def test_no_query_deals_rows_round_robin(spark):
+    for key in ("member_total", "item_total", "parse_events"):
+        assert "RoundRobin" not in plan_text(BATCH_QUERIES[key](spark, SF001))
+
+
+def test_click_filter_reaches_the_scan(spark):
+    for key in ("click_filter",):
+        assert "EqualTo(event_type,click)" in plan_text(BATCH_QUERIES[key](spark, SF001))

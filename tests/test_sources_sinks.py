@@ -97,8 +97,8 @@ class RecordingJdbc(sinks.JdbcTable):
         super().__init__("jdbc:none", "realtime_province_window", user="u", password="p")
         self.path, self.calls = path, []
 
-    def delete_batch(self, batch, batch_id):
-        self.calls.append(("delete", batch_id))
+    def delete_batch(self, batch, query, batch_id):
+        self.calls.append(("delete", query, batch_id))
 
     def append(self, rows):
         self.calls.append(("append", rows.count()))
@@ -108,12 +108,16 @@ class RecordingJdbc(sinks.JdbcTable):
 def test_jdbc_sink_deletes_then_appends_per_batch(spark, scratch):
     w = RecordingJdbc(scratch("jdbc"))
     rows = sinks.sink_rows(metric_rows(spark), "realtime_province_window")
-    w(rows, 3)
-    w(rows, 3)  # replayed batch
-    assert w.calls == [("delete", 3), ("append", 1), ("delete", 3), ("append", 1)]
-    assert w.delete_statement() == "DELETE FROM realtime_province_window WHERE batch_id = ?"
+    with sinks.writing_as("q1"):
+        w(rows, 3)
+        w(rows, 3)  # replayed batch
+    with sinks.writing_as("q2"):
+        w(rows, 3)  # another checkpoint: its own rows
+    assert w.calls == [c for q in ("q1", "q1", "q2") for c in (("delete", q, 3), ("append", 1))]
+    assert w.delete_statement() == "DELETE FROM realtime_province_window WHERE query_id = ? AND batch_id = ?"
     assert w.props["batchsize"] == "100" and w.props["numPartitions"] == "8"
-    assert spark.read.parquet(w.path).select("batch_id").distinct().collect()[0][0] == 3
+    stored = spark.read.parquet(w.path)
+    assert {(r.query_id, r.batch_id) for r in stored.collect()} == {("q1", 3), ("q2", 3)}
 
 
 def test_parquet_sink_rewrites_replayed_batch(spark, scratch):
@@ -126,6 +130,35 @@ def test_parquet_sink_rewrites_replayed_batch(spark, scratch):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_two_checkpoints_keep_all_their_rows(spark, scratch):
+    src, out = scratch("two_src"), scratch("two_out")
+    spark.range(4).write.parquet(src)
+    for ckpt in (scratch("ckpt_a"), scratch("ckpt_b")):
+        for _ in range(2):  # a restart from the same checkpoint adds nothing
+            q = spark.readStream.schema("id long").parquet(src).writeStream.foreachBatch(sinks.parquet(out))
+            q.option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.count() == 8 and rows.select("query_id").distinct().count() == 2
+    assert {r.batch_id for r in rows.collect()} == {0}
+    assert "none" not in {r.query_id for r in rows.collect()}
+
+
+def test_console_prints_all_rows_or_says_how_many_are_left(spark, capsys):
+    sinks.console()(spark.range(57), 0)
+    out = capsys.readouterr().out
+    assert all(f"id={k}\n" in out for k in range(57)) and "not shown" not in out
+    sinks.console(limit=20)(spark.range(57), 0)
+    out = capsys.readouterr().out
+    assert out.count("id=") == 20 and "37 more rows not shown" in out
+
+
+def test_csv_empty_fields_are_empty_texts(spark, scratch):
+    path = scratch("csv_empty")
+    write_lines(path, ["1,2,,4,5,08,29,0,7,1,", "1,2,3,4,5,08,29,,7,1,北京市,,"])
+    rows = read_user_log(spark, path).collect()
+    assert {(r.cat_id, r.action, r.province) for r in rows} == {("", "0", ""), ("3", "", "北京市")}
+
+
 def test_fan_out_sends_one_batch_to_every_sink(spark, scratch, capsys):
     path = scratch("fan")
     got = []
