@@ -108,6 +108,29 @@ def _with(body: str) -> str:
     return f"WITH {_UB}\n{body}"
 
 
+# The damage of ``raw_messages``, by event_id % 97: 0 no JSON, 1 no action, 2 empty action, 3 no
+# province, 4 no category, 5 a time that is no number.
+_DAMAGED = (
+    _FIELDS.replace("cat_id", "CASE WHEN event_id % 97 = 4 THEN NULL ELSE cat_id END AS cat_id")
+    .replace("province", "CASE WHEN event_id % 97 = 3 THEN NULL ELSE province END AS province")
+    .replace("event_ms", "CASE WHEN event_id % 97 = 5 THEN NULL ELSE event_ms END AS event_ms")
+)
+_REASON = (
+    "CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no action' WHEN 2 THEN 'bad action' WHEN 3 THEN 'no province'"
+    " WHEN 5 THEN 'no time' ELSE CASE WHEN event_id % 97 = 4 AND action = '0' THEN 'no category' END END"
+)
+
+
+def _balance(rejected: str, counted: str) -> str:
+    """All messages of a job: those it accepts, those it rejects, and the sum of its counters."""
+    return _with(
+        f"SELECT COUNT(*) AS messages, CAST(SUM(CASE WHEN {rejected} THEN 0 ELSE 1 END) AS BIGINT) AS accepted,"
+        f" CAST(SUM(CASE WHEN {rejected} THEN 1 ELSE 0 END) AS BIGINT) AS rejected,"
+        f" CAST(({counted.replace('CASE WHEN', f'CASE WHEN ({rejected}) THEN 0 WHEN')}) AS BIGINT) AS counted"
+        f" FROM (SELECT event_id % 97 AS m, {_ACODE} AS code FROM ub) b"
+    )
+
+
 _MEMBER = f"""
 SELECT {_bucket(3)} AS window_start, {_bucket(3)} + INTERVAL '3 hours' AS window_end,
        {_cnt(0)} AS click_count, {_cnt(1)} AS addcart_count, {_cnt(2)} AS buy_count, {_cnt(3)} AS focus_count
@@ -144,10 +167,13 @@ _RUN = ", ".join(
 
 _ORACLE: dict[str, str] = {
     "parse_events": _with(
-        f"SELECT event_id, {_FIELDS}, CAST(action AS INTEGER) AS action_code FROM ub WHERE event_id % 97 NOT IN (0, 1, 2)"
+        f"SELECT event_id, {_DAMAGED}, CAST(action AS INTEGER) AS action_code FROM ub WHERE event_id % 97 NOT IN (0, 1, 2)"
     ),
     "json_round_trip": _with(f"SELECT event_id, {_FIELDS} FROM ub"),
-    "csv_feed": _with(f"SELECT {_FIELDS.replace(', event_ms', '')} FROM ub"),
+    "csv_feed": _with(
+        "SELECT user_id, item_id, CASE WHEN event_id % 83 = 0 THEN '' ELSE cat_id END AS cat_id, merchant_id, brand_id,"
+        " action, age_range, gender, CASE WHEN event_id % 89 = 0 THEN '' ELSE province END AS province FROM ub"
+    ),
     "click_filter": _with(f"SELECT event_id, cat_id FROM ub WHERE {_ACODE} = 0"),
     "action_flags": _with(
         "SELECT event_id, "
@@ -158,8 +184,25 @@ _ORACLE: dict[str, str] = {
         + " FROM ub"
     ),
     "reject_events": _with(
-        "SELECT event_id, CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no action' ELSE 'bad action' END"
-        " AS reject_reason FROM ub WHERE event_id % 97 IN (0, 1, 2)"
+        f"SELECT event_id, reason AS reject_reason FROM (SELECT event_id, {_REASON} AS reason FROM ub) r WHERE reason IS NOT NULL"
+    ),
+    "member_job_balance": _balance("m IN (0, 1, 2, 5)", "SUM(CASE WHEN code IN (0, 1, 2, 3) THEN 1 ELSE 0 END)"),
+    "item_job_balance": _balance(
+        "m IN (0, 5)", "SUM(CASE WHEN m NOT IN (1, 2) AND code IN (0, 2, 3) THEN 1 ELSE 0 END)"
+    ),
+    "cat_job_balance": _balance("m IN (0, 1, 2, 5) OR (m = 4 AND code = 0)", "SUM(CASE WHEN code = 0 THEN 1 ELSE 0 END)"),
+    "province_job_balance": _balance("m IN (0, 1, 2, 3, 5)", "SUM(CASE WHEN code IN (0, 2, 3) THEN 1 ELSE 0 END)"),
+    "once_item_total": _with(
+        f"""
+SELECT item_id, MAX(cat_id) AS category_id, MAX(brand_id) AS brand_id,
+       CAST(CASE WHEN action = '0' THEN COUNT(*) ELSE 0 END AS INTEGER) AS item_click_count,
+       CAST(CASE WHEN action = '2' THEN COUNT(*) ELSE 0 END AS INTEGER) AS item_sale_count,
+       CAST(CASE WHEN action = '3' THEN COUNT(*) ELSE 0 END AS INTEGER) AS item_focus_count,
+       {_bucket(3)} AS window_start, {_bucket(3)} + INTERVAL '3 hours' AS window_end
+FROM (SELECT item_id, CASE WHEN event_id % 97 = 4 THEN NULL ELSE cat_id END AS cat_id, brand_id,
+             CASE event_id % 97 WHEN 1 THEN NULL WHEN 2 THEN '' ELSE action END AS action, ts
+      FROM ub WHERE event_id % 97 NOT IN (0, 5)) d
+GROUP BY item_id, action, {_bucket(3)}"""
     ),
     "province_normalize": _with(f"SELECT event_id, {_NORM} AS province FROM ub"),
     "province_code": _with(
