@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +34,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def bucket_of_id(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``: the folds of the contracts."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
+
+
+def bit_table(spots: Column, of: DataFrame, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits (a power of two, at least 2**15) with the bits at ``spots`` of the rows set.
+
+    A filter of fixed size that travels to the tasks, whatever the number of rows: the
+    executors build it in pieces of 4 kB, and the driver only joins these.
+    """
+    place = of.select((spots + 1).alias("p"))  # Spark's bitmaps count from 1
+    pieces = place.groupBy(F.bitmap_bucket_number("p").alias("k")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("piece")
+    )
+    out = np.zeros(bits // 8, np.uint8)
+    for row in pieces.collect():
+        piece = np.frombuffer(row["piece"], np.uint8)
+        at = (row["k"] - 1) * len(piece)
+        out[at : at + len(piece)] = piece
+    return out
+
+
+def bits_set(table: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Whether the bit at each spot is set."""
+    return (table[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1 == 1

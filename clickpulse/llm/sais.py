@@ -11,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 _MOST = 1 << 16
+#: Named texts up to this length are sorted directly; longer ones by induced sorting again.
+_DIRECT = 1 << 17
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -28,12 +30,17 @@ def _types(text: np.ndarray) -> np.ndarray:
 
 def _ranks(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(rank of each entry among equal symbols, distinct symbols, their counts)``."""
-    order = np.argsort(symbols, kind="stable")
+    n = len(symbols)
+    order = symbols.argsort(kind="stable")
     ordered = symbols[order]
-    head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    count = np.diff(np.append(head, len(ordered)))
-    rank = np.empty(len(symbols), np.int64)
-    rank[order] = np.arange(len(ordered)) - np.repeat(head, count)
+    first = np.ones(n, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    head = first.nonzero()[0]
+    count = np.empty(len(head), np.int64)
+    count[:-1] = head[1:] - head[:-1]
+    count[-1:] = n - head[-1:]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n) - head.repeat(count)
     return rank, ordered[head], count
 
 
@@ -45,29 +52,49 @@ def _induce(text: np.ndarray, sa: np.ndarray, kind: np.ndarray, places: np.ndarr
     while 0 <= at < n:
         stop = min(n, at + size) if step == 1 else max(-1, at - size)
         part = sa[at:stop] if step == 1 else sa[at : stop if stop >= 0 else None : -1]
-        live = np.flatnonzero(part > 0)
+        live = (part > 0).nonzero()[0]
         before = part[live] - 1
         chosen = kind[before]
         live, before = live[chosen], before[chosen]
         done = abs(stop - at)
         if len(before):
             symbols = text[before]
-            rank, distinct, count = _ranks(symbols)
-            target = places[symbols] + step * rank
-            near = int(((target - at) * step).min())
-            if near < done:  # one lands inside: read up to there only
+            # The first new place of a symbol is where its bucket stands: read no further than to the nearest one.
+            near = int(((places[symbols] - at) * step).min())
+            if near < done:
                 done = near
-                keep = live < done
-                before, target = before[keep], target[keep]
-                distinct, count = np.unique(symbols[keep], return_counts=True)
-            sa[target] = before
-            places[distinct] += step * count
+                keep = int(np.searchsorted(live, done))
+                before, symbols = before[:keep], symbols[:keep]
+            if len(before) == 1:
+                c = symbols[0]
+                sa[places[c]] = before[0]
+                places[c] += step
+            elif len(before):
+                rank, distinct, count = _ranks(symbols)
+                sa[places[symbols] + step * rank] = before
+                places[distinct] += step * count
             size = min(_MOST, max(64, 2 * done))
         else:
             size = min(_MOST, 2 * size)
         at += step * done
 
 
+def _direct(names: np.ndarray) -> np.ndarray:
+    """Suffix array by doubling the compared length."""
+    rank, width = names, 1
+    n = len(names)
+    while True:
+        later = np.zeros(n, np.int64)
+        later[: max(n - width, 0)] = rank[width:] + 1
+        key = rank * (n + 2) + later
+        order = np.argsort(key)
+        rank = np.zeros(n, np.int64)
+        rank[order[1:]] = np.cumsum(np.diff(key[order]) != 0)
+        width *= 2
+        if rank[order[-1]] == n - 1 or width > n:
+            return order
+
+
 def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
     """Suffix array of ``text`` over symbols below ``size``; its last symbol is 0 and occurs nowhere else."""
     n = len(text)
@@ -114,7 +141,8 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
     if names[-1] + 1 < len(lms):
         named = np.zeros(n, np.int64)
         named[order] = names
-        order = lms[suffix_array(named[lms], int(names[-1]) + 1)]
+        rest = named[lms]
+        order = lms[_direct(rest) if len(rest) <= _DIRECT else suffix_array(rest, int(names[-1]) + 1)]
     return induced(order)
 
 

@@ -20,8 +20,8 @@ Suffix arrays are built per shard, and equal strings must meet in one shard:
 4. An anchor with more than ``CROWD`` distinct fragments would make a shard of
    unbounded size; its strings are counted by their two hashes instead.
 
-Then each text drops its covered bytes. Copies inside one task are sent once
-wherever only distinct content counts.
+Then each text drops its covered bytes. A content is read from one of its places
+only, whatever the number of its copies.
 
 Null and empty texts, and texts below ``WIDTH`` bytes, have no spans. Rows that repeat
 an id and a text are copies of each other and lose all their strings. Null ids
@@ -35,10 +35,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import stored, with_workers
+from clickpulse.llm.common import bit_table, bits_set, stored, with_workers
 from clickpulse.llm.sais import permuted_lcp, suffix_array
 from clickpulse.llm.spans import gather
 from clickpulse.llm.words import chunks
@@ -49,6 +50,8 @@ GRAM = 64
 CROWD = 4096
 #: Bytes of fragments in a shard, on average.
 SHARD_BYTES = 1 << 20
+#: Text bytes scanned at once: the arrays of this size stay in a core's cache.
+SCAN_BYTES = 1 << 17
 #: Bits of the filter for anchors seen twice (4 MB, fixed); a full one only passes on more rows.
 FILTER_BITS = 1 << 25
 _SEPARATOR = 0xFE  # never a byte of UTF-8
@@ -119,13 +122,12 @@ def fragments(raw: np.ndarray, offsets: np.ndarray, first: Prefixes) -> tuple[np
 
 
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    spot = h & (len(bits) * 64 - 1)
-    return (bits[spot >> 6] >> (spot & 63)) & 1 == 1
+    return bits_set(bits, h & (FILTER_BITS - 1))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, raw, offsets in chunks(batch["text"]):
+        for _, _, raw, offsets in chunks(batch["text"], SCAN_BYTES):
             _, anchor, _, _, _ = fragments(raw, offsets, Prefixes(raw, 0))
             yield pa.record_batch([pa.array(anchor)], names=["anchor"])
 
@@ -133,7 +135,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _occurrences(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, raw, offsets in chunks(batch["text"]):
+            for lo, _, raw, offsets in chunks(batch["text"], SCAN_BYTES):
                 one, two = Prefixes(raw, 0), Prefixes(raw, 1)
                 row, anchor, a, b, place = fragments(raw, offsets, one)
                 keep = _has(bits, anchor)
@@ -157,23 +159,23 @@ def _content(one: Prefixes, two: Prefixes, a: np.ndarray, b: np.ndarray, place:
     return (one.spans(a, b + WIDTH) ^ shape).view(np.int64), (two.spans(a, b + WIDTH) + shape).view(np.int64)
 
 
+#: Tells the places of one content apart: the least value of a content picks the place it is read from.
+PLACE = "k1 ^ shiftleft(coalesce(doc_id, 0L), 24) ^ shiftleft(tag, 9) ^ a"
+
+
 def _contents(bits: np.ndarray):
-    """The bytes of fragments of these anchors, each content once per task."""
+    """The bytes of the fragments at these places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for lo, _, raw, offsets in chunks(batch["text"]):
+            ident = np.asarray(batch["doc_id"].fill_null(0)) << 24
+            ident = ident ^ (np.asarray(batch["tag"]) << 9)
+            for lo, _, raw, offsets in chunks(batch["text"], SCAN_BYTES):
                 one, two = Prefixes(raw, 0), Prefixes(raw, 1)
                 row, anchor, a, b, place = fragments(raw, offsets, one)
-                keep = np.flatnonzero(_has(bits, anchor))
-                k1, k2 = _content(one, two, a[keep], b[keep], place[keep])
-                new = []
-                for i, key in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
-                    if key not in seen:
-                        seen.add(key)
-                        new.append(i)
-                k1, k2, keep = k1[new], k2[new], keep[new]
+                k1, k2 = _content(one, two, a, b, place)
+                keep = np.flatnonzero(_has(bits, k1 ^ ident[row + lo] ^ (a - offsets[row])))
+                k1, k2 = k1[keep], k2[keep]
                 row, anchor, a, b = row[keep], anchor[keep], a[keep], b[keep]
                 size = b + WIDTH - a
                 ends = np.zeros(len(a) + 1, np.int32)
@@ -232,7 +234,7 @@ def _search_shard(group: pd.DataFrame) -> pd.DataFrame:
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two hashes of every string of the fragments, for crowded anchors."""
     for batch in batches:
-        for lo, _, raw, offsets in chunks(batch["data"]):
+        for lo, _, raw, offsets in chunks(batch["data"], SCAN_BYTES):
             counts = np.diff(offsets) - WIDTH + 1
             start = gather(offsets[:-1], counts)
             row = np.repeat(np.arange(len(counts)), counts)
@@ -274,15 +276,34 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bitmap(spots: DataFrame, bits: int) -> np.ndarray:
-    words = (
-        spots.groupBy(F.shiftright("s", 6).alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("bits"))
-        .toPandas()
-    )
-    out = np.zeros(bits // 64, np.int64)
-    out[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out
+def _has_range(batch: pa.RecordBatch, bits: np.ndarray) -> np.ndarray:
+    return bits_set(bits, batch["s"].to_numpy(zero_copy_only=False))
+
+
+def _touched(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_has_range(batch, bits))).select(["doc_id", "tag", "text"])
+
+    return run
+
+
+def _untouched(bits: np.ndarray):
+    """Texts of which nothing goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~_has_range(batch, bits)))
+            kept = batch["text"].cast(pa.binary())
+            n = batch.num_rows
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            sizes = pa.compute.cast(pa.compute.binary_length(kept), pa.int64())
+            yield pa.record_batch(
+                [batch["doc_id"], sizes, pa.array(np.zeros(n, np.int64)), pa.array([[]] * n, kind), kept],
+                names=["doc_id", "n_bytes", "n_removed", "spans", "kept"],
+            )
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,12 +314,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # 1., 2. anchors and contents that occur again
     common = texts.select("text").mapInArrow(_anchors, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
-    spots = common.where("c > 1").select(F.expr(f"anchor & {FILTER_BITS - 1}L").alias("s"))
-    seen = _bitmap(spots, FILTER_BITS)
+    seen = bit_table(F.expr(f"anchor & {FILTER_BITS - 1}L"), common.where("c > 1"), FILTER_BITS)
     where = "doc_id long, tag long, anchor long, k1 long, k2 long"
     places = stored(texts.mapInArrow(_occurrences(seen), f"{where}, a long, b long"), "suffix-places")
     contents = places.groupBy("anchor", "k1", "k2").agg(
-        F.count(F.lit(1)).alias("c"), F.max(F.col("b") - F.col("a") + WIDTH).alias("size")
+        F.count(F.lit(1)).alias("c"), F.max(F.col("b") - F.col("a") + WIDTH).alias("size"), F.min(F.expr(PLACE)).alias("place")
     )
     contents = stored(contents, "suffix-contents")
     whole = places.join(contents.where("c > 1").select("k1", "k2", "anchor"), ["k1", "k2", "anchor"], "left_semi")
@@ -311,9 +331,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = stored(mixed.where("kinds > 1 AND least = 1"), "suffix-mixed")
     total = mixed.where(F.col("kinds") <= CROWD).agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-int(total) // SHARD_BYTES))
-    wanted = _bitmap(mixed.select(F.expr(f"anchor & {FILTER_BITS - 1}L").alias("s")), FILTER_BITS)
-    pieces = texts.mapInArrow(_contents(wanted), f"{where}, a long, data binary")
-    crowded = mixed.where(F.col("kinds") > CROWD).select("anchor")
+    wanted = contents.join(mixed, "anchor", "left_semi")
+    wanted = bit_table(F.expr(f"place & {FILTER_BITS - 1}L"), wanted, FILTER_BITS)
+    pieces = stored(texts.mapInArrow(_contents(wanted), f"{where}, a long, data binary"), "suffix-pieces")
+    # A table of its own: its size, known to the planner, decides whether it is broadcast.
+    crowded = stored(mixed.where(F.col("kinds") > CROWD).select("anchor"), "suffix-crowded")
     sharded = pieces.join(crowded, "anchor", "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     ranges = ranges.unionByName(
         sharded.groupBy("shard").applyInPandas(_search_shard, "doc_id long, tag long, lo long, hi long")
@@ -330,10 +352,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         strings = strings.join(again.select("w1", "w2"), ["w1", "w2"], "left_semi")
         ranges = ranges.unionByName(strings.select("doc_id", "tag", "lo", (F.col("lo") + WIDTH).alias("hi")))
 
-    # One list per text, not longer than the text.
+    # One list per text, not longer than the text. Texts without any are not moved.
     ranges = ranges.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    ranges = ranges.withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
-    joined = texts.join(ranges, texts["doc_id"].eqNullSafe(ranges["_id"]) & (texts["tag"] == ranges["_tag"]), "left")
-    return joined.select("doc_id", "text", "ranges").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
-    )
+    ranges = stored(ranges.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "ranges"), "suffix-ranges")
+    spot = lambda *key: F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
+    touched = bit_table(spot("_id", "_tag"), ranges, FILTER_BITS)
+    spotted = texts.select("doc_id", "tag", "text", spot("doc_id", "tag").alias("s"))
+    result = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
+    whole = spotted.mapInArrow(_untouched(touched), result)
+    some = spotted.mapInArrow(_touched(touched), "doc_id long, tag long, text string")
+    joined = some.join(ranges, some["doc_id"].eqNullSafe(ranges["_id"]) & (some["tag"] == ranges["_tag"]), "left")
+    return whole.unionByName(joined.select("doc_id", "text", "ranges").mapInArrow(_cut, result))
