@@ -18,7 +18,6 @@ window, the last ones included. Every query has its own checkpoint folder (T9) a
 from __future__ import annotations
 
 import threading
-import time as _time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -312,17 +311,17 @@ def run_with_restarts(
 ) -> StreamingQuery:
     """Run a query to its end; on failure start it again from its checkpoint.
 
-    At most ``attempts`` restarts, ``delay_s`` apart. Within a micro-batch,
-    lost executors and failed tasks are retried by Spark itself.
+    At most ``attempts`` restarts, ``delay_s`` apart, none once ``stopping`` is set. Within a
+    micro-batch, lost executors and failed tasks are retried by Spark itself.
     """
+    stopping = stopping or threading.Event()
     for attempt in range(attempts + 1):
         try:
             q = start()
             q.awaitTermination()
         except Exception:
-            if attempt == attempts or (stopping is not None and stopping.is_set()):
+            if attempt == attempts or stopping.wait(delay_s):
                 raise
-            _time.sleep(delay_s)
             continue
         return q
     raise AssertionError("unreachable")

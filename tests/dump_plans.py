@@ -22,9 +22,8 @@ Physical plans of every registered batch query at sf0.1 on `local[8]`, as planne
 before run time (AQE may still coalesce partitions, reuse exchanges or turn a join into a
 broadcast), from `explain("formatted")`: the operator tree, then
 each scan's `ReadSchema` and `PushedFilters`. Generated from the code by
-`tests/dump_plans.py`; `Exchange` = shuffle, `BroadcastExchange` = the size-checked
-`part` lookup, `RoundRobinPartitioning` = the single-split spread (absent when the
-input has enough splits).
+`tests/dump_plans.py`; `Exchange` = shuffle, `BroadcastExchange` = the `part` lookup, by
+Spark's own size check.
 """
 
 
