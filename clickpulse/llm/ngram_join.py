@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import stored, with_workers
+from clickpulse.llm.common import bit_table, bits_set, stored, with_workers
 from clickpulse.llm.components import connected_components
 from clickpulse.llm.words import chunks, shingles
 
@@ -118,8 +118,7 @@ def _hash_prefixes(percent: int, bits: np.ndarray | None = None):
                 seen.add(key)
                 head = tokens[: n - required(n, percent) + int(matches(n))]
                 if bits is not None:
-                    spot = head & (TOKEN_BITS - 1)
-                    head = head[(bits[spot >> 6] >> (spot & 63)) & 1 == 1]
+                    head = head[bits_set(bits, head & (TOKEN_BITS - 1))]
                 rows.append(i)
                 parts.append(head)
             yield _lists(batch["doc_id"], rows, parts, ["doc_id", "tokens"])
@@ -131,7 +130,7 @@ def _whole_sets(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spot = batch["spot"].to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((bits[spot >> 6] >> (spot & 63)) & 1 == 1))
+            batch = batch.filter(pa.array(bits_set(bits, spot)))
             rows, parts = [], []
             for i, tokens in _sets(batch["text"]):
                 rows.append(i)
@@ -227,18 +226,6 @@ def _block_links(percent: int):
     return run
 
 
-def _bitmap(spots: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of ``bits`` bits with the bits at ``spots.s`` set."""
-    words = (
-        spots.groupBy(F.shiftright("s", 6).alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("bits"))
-        .toPandas()
-    )
-    out = np.zeros(bits // 64, np.int64)
-    out[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out
-
-
 def _meeting(left: DataFrame, right: DataFrame, percent: int, more: Column) -> DataFrame:
     """``a, b, found``: pairs of classes that meet in at least as many of these list entries as they must."""
     return (
@@ -291,7 +278,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     common = postings().groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     common = stored(common, "join-common")
-    seen = _bitmap(common.select(F.expr(f"token & {TOKEN_BITS - 1}L").alias("s")), TOKEN_BITS)
+    seen = bit_table(F.expr(f"token & {TOKEN_BITS - 1}L"), common, TOKEN_BITS)
     shared = postings(seen).join(common, "token", "left_semi")
     shared = stored(
         shared.join(members.select("doc_id", "class"), "doc_id").select("token", "class").distinct(), "join-shared"
@@ -305,7 +292,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # 3. whole sets of the classes left; false positives of the filter are only further candidates
     spotted = texts.withColumn("spot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
-    sets = spotted.mapInArrow(_whole_sets(_bitmap(alive.select(F.pmod(F.xxhash64("class"), F.lit(FILTER_BITS)).alias("s")), FILTER_BITS)), "class long, tokens array<long>")
+    living = bit_table(F.pmod(F.xxhash64("class"), F.lit(FILTER_BITS)), alive, FILTER_BITS)
+    sets = spotted.mapInArrow(_whole_sets(living), "class long, tokens array<long>")
     each = sets.select("class", F.explode("tokens").alias("token"))
     df = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     each = each.join(df, "token")
