@@ -40,7 +40,7 @@ from clickpulse.llm.words import chunks, code_points, span_hashes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x2581
 #: Text bytes taken at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Ids decoded at once.
 BATCH_IDS = 1 << 20
 _NONE = np.int64(1 << 40)

@@ -31,7 +31,7 @@ from clickpulse.llm.words import chunks, code_points, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Code points that separate words.
 SPACES = np.array([32, 9, 10, 11, 12, 13], np.uint32)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 SHINGLE_WORDS = 5
 #: Text bytes handled at once; numpy temporaries are a few dozen times as large.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
