@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from clickpulse.llm.common import stored
 
 SEED = 17
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 8_192
 _RANGE = 1 << 52  # hash values used for order and offsets: exact as doubles
 
 

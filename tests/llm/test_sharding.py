@@ -29,7 +29,7 @@ def test_query(spark):
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 8, zlib.crc32(data), "rows", None)
 
 
-@pytest.mark.parametrize("bucket_rows", [50_000, 7])
+@pytest.mark.parametrize("bucket_rows", [8_192, 7])
 def test_every_shard_has_the_mixture(spark, bucket_rows):
     docs = spark.createDataFrame([(k, f"t{k}", None, "hot" if k % 3 else f"s{k % 7}") for k in range(2_000)], "doc_id long, text string, x int, source string")
     rows = assign_shards(docs, 8, bucket_rows=bucket_rows).collect()
