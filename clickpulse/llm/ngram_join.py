@@ -262,7 +262,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # 1. classes of equal sets
     keys = stored(texts.mapInArrow(_set_keys, "doc_id long, n_shingles long, set_key binary"), "join-keys")
-    classes = keys.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("class"))
+    # Stored, so that the join reads plain shuffles and can split the partition of a large class.
+    classes = stored(keys.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("class")), "join-classes")
     members = stored(
         keys.join(classes, "set_key", "left").select(
             "doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("class")
