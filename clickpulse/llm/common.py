@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickpulse.session import scratch_path, ship_package
@@ -57,3 +57,31 @@ def bit_table(spots: Column, of: DataFrame, bits: int) -> np.ndarray:
 def bits_set(table: np.ndarray, spots: np.ndarray) -> np.ndarray:
     """Whether the bit at each spot is set."""
     return (table[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1 == 1
+
+
+def running(df: DataFrame, keys: list[str], bucket: Column, order: list[str], **values: tuple[str, str]) -> DataFrame:
+    """``df`` with inclusive running aggregates, by ``keys`` in the order of ``order``.
+
+    ``values`` maps a new column to ``(column, "sum" or "xor")``. ``bucket`` (an integer that never
+    falls along the order) cuts long runs: each bucket is sorted in a task of its own, and only
+    the buckets' totals of a key meet.
+    """
+    fold = {"sum": F.sum, "xor": F.bit_xor}
+    cut = df.withColumn("_bucket", bucket)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = cut.select("*", *[fold[how](c).over(inside).alias(f"_in_{name}") for name, (c, how) in values.items()])
+    totals = cut.groupBy(*keys, "_bucket").agg(*[fold[how](c).alias(f"_all_{name}") for name, (c, how) in values.items()])
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *keys,
+        "_bucket",
+        *[
+            F.coalesce(fold[how](f"_all_{name}").over(before), F.lit(0)).alias(f"_off_{name}")
+            for name, (_, how) in values.items()
+        ],
+    )
+    out = []
+    for name, (_, how) in values.items():
+        a, b = F.col(f"_in_{name}"), F.col(f"_off_{name}")
+        out.append((a + b if how == "sum" else a.bitwiseXOR(b)).alias(name))
+    return rows.join(totals, [*keys, "_bucket"]).select(*df.columns, *out)

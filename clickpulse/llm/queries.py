@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import bucket_of_id, read_documents
+from clickpulse.llm.common import bucket_of_id, read_documents, stored
 from clickpulse.llm.decontaminate import contaminated
 from clickpulse.llm.exact_dedup import mark_copies
 from clickpulse.llm.language_id import identify
 from clickpulse.llm.ngram_join import near_classes
+from clickpulse.llm.prefix_trie import digest_turns, prefix_trie, share_openings
 from clickpulse.llm.quality import score_quality
 from clickpulse.llm.secrets import find_secrets
 from clickpulse.llm.sentencepiece_codec import decode_documents, encode_documents
@@ -118,6 +119,18 @@ def secret_digest(found: DataFrame) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+
+
+def rebuilt_trie(conversations: DataFrame) -> DataFrame:
+    """The trie of the conversations rebuilt with common openings."""
+    ids = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id")).where("conv_id IS NOT NULL").distinct()
+    ids = stored(ids, "trie-ids")
+    turns = stored(digest_turns(conversations), "trie-turns")
+    return prefix_trie(share_openings(turns, ids), ids)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -129,6 +142,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 _OP1 = r"""
@@ -146,4 +160,54 @@ FROM (
 ) g
 """
 
-LLM_ORACLE: dict[str, str] = {"op1_exact_dedup": _OP1}
+# crc32 of a decimal text, bit by bit: 3988292384 is the polynomial, reflected.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, x: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, xor(a, x)),
+    CAST(4294967295 AS BIGINT)))"""
+
+_OP11 = f"""
+WITH ids AS (SELECT DISTINCT CAST(conv_id AS BIGINT) AS c FROM conversations WHERE conv_id IS NOT NULL),
+keyed AS (SELECT c, c - c % 100 AS b, {_CRC32} % 6 AS h FROM ids),
+orig AS (
+  SELECT c, p, g, len, row_number() OVER (PARTITION BY c ORDER BY p NULLS FIRST, g) AS i
+  FROM (SELECT conv_id AS c, turn AS p, length(coalesce(text, '')) AS len,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g
+        FROM conversations WHERE conv_id IS NOT NULL) o
+),
+sizes AS (SELECT c, count(*) AS n FROM orig GROUP BY c),
+rebuilt AS (
+  SELECT k.c, o.i AS d, o.g, o.len FROM keyed k JOIN orig o ON o.c = k.b AND o.i <= k.h
+  UNION ALL
+  SELECT k.c, o.i - k.h + least(k.h, coalesce(s.n, 0)) AS d, o.g, o.len
+  FROM keyed k JOIN orig o ON o.c = k.c AND o.i > k.h LEFT JOIN sizes s ON s.c = k.b
+),
+member AS (
+  SELECT c, d, sha256(string_agg(g, ',') OVER (PARTITION BY c ORDER BY d)) AS key, len FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM ids
+),
+lasts AS (SELECT c, max(d) AS d FROM member GROUP BY c),
+node AS (SELECT d, key, min(c) AS c, count(*) AS n, max(len) AS len FROM member GROUP BY d, key),
+linked AS (
+  SELECT n.*, m.key AS above, p.c AS parent FROM node n
+  LEFT JOIN member m ON m.c = n.c AND m.d = n.d - 1 LEFT JOIN node p ON p.d = m.d AND p.key = m.key
+),
+kids AS (SELECT d - 1 AS d, above AS key, count(*) AS n FROM linked WHERE d > 0 GROUP BY 1, 2),
+below AS (
+  SELECT m.d, m.key, sum((u.n - 1) * u.len) AS saved, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS leaves
+  FROM node u JOIN member m ON m.c = u.c AND m.d <= u.d LEFT JOIN kids k ON k.d = u.d AND k.key = u.key
+  GROUP BY m.d, m.key
+),
+ends AS (
+  SELECT m.d, m.key, sha256(string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c)) AS hash
+  FROM member m JOIN lasts l ON l.c = m.c AND l.d = m.d GROUP BY m.d, m.key
+)
+SELECT l.c AS conv_id, CAST(l.d AS BIGINT) AS depth, l.parent AS parent_conv_id, l.n AS n_convs,
+       coalesce(k.n, 0) AS n_children, CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+       coalesce(e.hash, sha256('')) AS ends_sha256
+FROM linked l JOIN below b ON b.d = l.d AND b.key = l.key
+LEFT JOIN kids k ON k.d = l.d AND k.key = l.key LEFT JOIN ends e ON e.d = l.d AND e.key = l.key
+"""
+
+LLM_ORACLE: dict[str, str] = {"op1_exact_dedup": _OP1, "op11_prefix_trie": _OP11}
