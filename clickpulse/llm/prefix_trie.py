@@ -166,7 +166,8 @@ def prefix_trie(turns: DataFrame, ids: DataFrame, block_turns: int = BLOCK_TURNS
     )
     steps = opened.select(*block, "p1", "p2", "conv_id", "n", "above", "diverge", F.inline(step))
     together = ["j", "p1", "p2", "at", "so_far"]
-    least = steps.where("diverge").groupBy(*together).agg(F.min("conv_id").alias("least"))
+    # Stored, so that the join reads plain shuffles and can split the partition of a hot opening.
+    least = stored(steps.where("diverge").groupBy(*together).agg(F.min("conv_id").alias("least")), "trie-least")
     chain = steps.where("NOT diverge").withColumn("least", F.col("conv_id"))
     steps = chain.unionByName(steps.where("diverge").join(least, together).select(*chain.columns))
     back = Window.partitionBy(*block).orderBy("at")
