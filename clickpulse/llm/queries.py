@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from clickpulse.llm.common import bucket_of_id, read_documents, stored
 from clickpulse.llm.decontaminate import contaminated
 from clickpulse.llm.exact_dedup import mark_copies
+from clickpulse.llm.hard_negatives import mine, whole_vectors
 from clickpulse.llm.language_id import identify
 from clickpulse.llm.ngram_join import near_classes
+from clickpulse.llm.order_minhash import fingerprint_text, with_neighbours
 from clickpulse.llm.prefix_trie import digest_turns, prefix_trie, share_openings
 from clickpulse.llm.quality import score_quality
 from clickpulse.llm.secrets import find_secrets
@@ -131,6 +133,33 @@ def rebuilt_trie(conversations: DataFrame) -> DataFrame:
     return prefix_trie(share_openings(turns, ids), ids)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined_negatives(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+def mined_negatives(embeddings: DataFrame) -> DataFrame:
+    """Every 50th vector as an anchor, components times 256 rounded down, every 7th label moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return mine(whole_vectors(embeddings, "vec_id", label, "embedding", 256), F.col("vec_id") % 50 == 0)
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_digest(read_documents(spark, sf_dir))
+
+
+def neighbour_digest(docs: DataFrame) -> DataFrame:
+    near = with_neighbours(docs)
+    return near.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprint_text(F.col("signature")).alias("fingerprint"),
+        fingerprint_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -143,6 +172,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_order_minhash": op13_order_minhash,
 }
 
 _OP1 = r"""
@@ -210,4 +241,26 @@ FROM linked l JOIN below b ON b.d = l.d AND b.key = l.key
 LEFT JOIN kids k ON k.d = l.d AND k.key = l.key LEFT JOIN ends e ON e.d = l.d AND e.key = l.key
 """
 
-LLM_ORACLE: dict[str, str] = {"op1_exact_dedup": _OP1, "op11_prefix_trie": _OP11}
+_OP12 = """
+WITH v AS (
+  SELECT CAST(vec_id AS BIGINT) AS id,
+         CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+score AS (
+  SELECT a.id AS a, x.id AS x, a.label = x.label AS same,
+         coalesce(list_sum(list_transform(list_zip(a.q, x.q), lambda z: z[1] * z[2])), 0) AS s
+  FROM v a JOIN v x ON x.id <> a.id AND len(x.q) = len(a.q) WHERE a.id % 50 = 0
+),
+positive AS (SELECT a, x, s FROM score WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, x) <= 5)
+SELECT p.a AS anchor_id, p.x AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.x ORDER BY n.s DESC, n.x) AS INTEGER) AS rank,
+       n.x AS negative_id, CAST(p.s AS BIGINT) AS positive_score, CAST(n.s AS BIGINT) AS negative_score
+FROM positive p JOIN score n ON n.a = p.a AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+QUALIFY rank <= 3
+"""
+
+LLM_ORACLE: dict[str, str] = {"op1_exact_dedup": _OP1, "op11_prefix_trie": _OP11, "op12_hard_negatives": _OP12}
