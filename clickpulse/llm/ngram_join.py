@@ -28,8 +28,8 @@ No list is ever gathered whole. The work of step 5 on a long list can grow with
 product of its components' sizes.
 
 Null and empty texts have an empty set: no link, ``n_shingles`` 0, component of
-their own id. Rows with one id count as one document. Rows without an id get
-null as their component. Sets are compared by 64-bit shingle hashes; classes by
+their own id. Rows with one id count as one document: what links with one of its texts links
+with all of them. Rows without an id take no part and get null as their component. Sets are compared by 64-bit shingle hashes; classes by
 a 128-bit digest of the whole set. Other columns are never read.
 """
 
@@ -259,17 +259,48 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, n_shingles, class_id, component_id`` for every row of ``docs``."""
     with_workers(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    keys = stored(texts.mapInArrow(_set_keys, "doc_id long, n_shingles long, set_key binary"), "join-keys")
+    known = keys.where("doc_id IS NOT NULL AND n_shingles > 0")
+    several = known.groupBy("doc_id").agg((F.min("set_key") < F.max("set_key")).alias("several")).where("several")
+    several = stored(several.select("doc_id"), "join-several")
+    if several.isEmpty():
+        return _near_sets(texts, keys, percent)
+
+    # Some id has several texts: every row is joined under a number of its own, and the rows of an id
+    # are put together as components.
+    rows = stored(texts.withColumn("row", F.monotonically_increasing_id()), "join-rows")
+    numbered = rows.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text")
+    keys = stored(numbered.mapInArrow(_set_keys, "doc_id long, n_shingles long, set_key binary"), "join-row-keys")
+    near = _near_sets(numbered, keys, percent).withColumnRenamed("doc_id", "row")
+    near = stored(near.where("row IS NOT NULL").join(rows.select("row", "doc_id"), "row"), "join-near-rows")
+    linked = near.where("n_shingles > 0")
+    least = linked.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    same = linked.join(least, "doc_id").select("a", F.col("component_id").alias("b"))
+    met = connected_components(same, "join-ids").withColumnRenamed("node", "component_id")
+    near = near.join(met, "component_id", "left").withColumn("of", F.coalesce("component", "component_id"))
+    near = stored(near.select("doc_id", "n_shingles", "class_id", "of"), "join-of")
+    # Numbers back to ids: the least of each class and component.
+    classes = near.groupBy("class_id").agg(F.min("doc_id").alias("class"))
+    components = near.groupBy("of").agg(F.min("doc_id").alias("component"))
+    named = near.join(classes, "class_id").join(components, "of").select(
+        "doc_id", "n_shingles", F.col("class").alias("class_id"), F.col("component").alias("component_id")
+    )
+    none = F.lit(None).cast("bigint")
+    unknown = keys.where("doc_id IS NULL").select("doc_id", "n_shingles", none.alias("class_id"), none.alias("component_id"))
+    return named.unionByName(unknown)
 
+
+def _near_sets(texts: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """The join for rows of which an id (null for rows that take no part) has one set."""
     # 1. classes of equal sets
-    keys = stored(texts.mapInArrow(_set_keys, "doc_id long, n_shingles long, set_key binary"), "join-keys")
     # Stored, so that the join reads plain shuffles and can split the partition of a large class.
-    classes = stored(keys.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("class")), "join-classes")
+    known = keys.where("doc_id IS NOT NULL AND n_shingles > 0")
+    classes = stored(known.groupBy("set_key").agg(F.min("doc_id").alias("class")), "join-classes")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     members = stored(
-        keys.join(classes, "set_key", "left").select(
-            "doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("class")
-        ),
-        "join-members",
+        keys.join(classes, "set_key", "left").select("doc_id", "n_shingles", own.alias("class")), "join-members"
     )
+    texts = texts.where("doc_id IS NOT NULL")  # the other rows have no part in anything below
     sized = members.where("class IS NOT NULL AND n_shingles > 0").groupBy("class").agg(F.max("n_shingles").alias("n"))
 
     # 2. multi-match prefixes in hash order

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from itertools import permutations
 
 import numpy as np
 import pytest
@@ -69,6 +70,36 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in kept.collect()} == firsts | {None}
 
 
+A = " ".join(f"a{k}" for k in range(30))
+B = " ".join(f"b{k}" for k in range(30))
+
+
+@pytest.mark.parametrize(
+    "rows",
+    list(permutations([(None, A), (1, A), (2, A + " extra tail")])) + [[(None, A), (None, A + " extra tail"), (2, A), (3, A)]],
+)
+def test_rows_without_an_id_hide_nothing(spark, rows):
+    out = N.near_classes(table(spark, rows).coalesce(1)).collect()
+    assert {(r.doc_id, r.component_id) for r in out if r.doc_id is not None} == {(d, c) for d, _, c in want(rows)}
+    assert all(r.component_id is None and r.class_id is None for r in out if r.doc_id is None) and len(out) == len(rows)
+
+
+def test_ids_with_several_texts(spark):
+    """Both texts of 1 keep their links, and 1 puts 2 and 3 into one component."""
+    rows = [(1, A), (1, B), (2, A + " tail"), (3, B + " tail"), (9, "x"), (9, None), (9, "x"), (None, B), (8, "X")]
+    rows += [(20 + k, " ".join(f"c{k}x{j}" for j in range(30))) for k in range(5)]
+    for order in (rows, rows[::-1]):
+        out = N.near_classes(table(spark, order).coalesce(1)).collect()
+        assert len(out) == len(rows)
+        found = {(r.doc_id, r.n_shingles, r.component_id) for r in out if r.doc_id is not None}
+        assert found == {(1, 26, 1), (2, 27, 1), (3, 27, 1), (9, 1, 8), (9, 0, 9), (8, 1, 8)} | {
+            (20 + k, 26, 20 + k) for k in range(5)
+        }
+    docs = table(spark, rows)
+    kept = {r.doc_id for r in N.keep_one_of_each(docs).collect()}
+    assert kept == {1, 8, None} | {20 + k for k in range(5)}
+
+
 def test_empty_table(spark):
     assert N.near_classes(table(spark, [])).collect() == []
     assert got(N.near_classes(table(spark, [(1, ""), (2, None)]))) == {(1, 0, 1), (2, 0, 2)}
