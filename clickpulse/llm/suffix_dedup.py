@@ -54,6 +54,8 @@ SHARD_BYTES = 1 << 20
 SCAN_BYTES = 1 << 17
 #: Bits of the filter for anchors seen twice (4 MB, fixed); a full one only passes on more rows.
 FILTER_BITS = 1 << 25
+#: Places are told apart by so many bits while anchors are chosen; longer texts are gone through in parts.
+PLACE_BITS = 24
 _SEPARATOR = 0xFE  # never a byte of UTF-8
 
 _U = np.uint64
@@ -94,6 +96,29 @@ class Prefixes:
         return h ^ (h >> _U(32))
 
 
+def _least_grams(grams: np.ndarray) -> np.ndarray:
+    """The place of the least gram (the last of equals) of each run of as many grams as a string has.
+
+    Grams are compared by their highest 64 - ``PLACE_BITS`` bits, whatever the size of the text, so that
+    equal strings choose alike wherever they stand.
+    """
+    wanted, mask = WIDTH - GRAM + 1, (1 << PLACE_BITS) - 1
+    step = mask - wanted
+    out = []
+    for lo in range(0, len(grams) - wanted + 1, step):
+        part = grams[lo : lo + step + wanted - 1]
+        # Least hash, then last place, as one number: the place's bits replace the hash's lowest.
+        key = (part & _U(~mask & (2**64 - 1))) | (_U(mask) - np.arange(len(part), dtype=np.uint64))
+        size = 1
+        while size * 2 <= wanted:
+            key = np.minimum(key[:-size], key[size:])
+            size *= 2
+        if wanted > size:
+            key = np.minimum(key[: len(key) - (wanted - size)], key[wanted - size :])
+        out.append((_U(mask) - (key & _U(mask))).astype(np.int64) + lo)
+    return out[0] if len(out) == 1 else np.concatenate(out)
+
+
 def fragments(raw: np.ndarray, offsets: np.ndarray, first: Prefixes) -> tuple[np.ndarray, ...]:
     """``(row, anchor hash, first string's start, last string's start, anchor's place)`` of each run, in the chunk's bytes."""
     none = np.zeros(0, np.int64)
@@ -101,17 +126,7 @@ def fragments(raw: np.ndarray, offsets: np.ndarray, first: Prefixes) -> tuple[np
     if n < WIDTH:
         return none, none, none, none, none
     grams = first.grams(GRAM)
-    # Least hash, then last place, as one number: the place's bits replace the hash's lowest.
-    bits = int(len(grams) - 1).bit_length()
-    mask = (1 << bits) - 1
-    key = (grams & _U(~mask & (2**64 - 1))) | (_U(mask) - np.arange(len(grams), dtype=np.uint64))
-    size, wanted = 1, WIDTH - GRAM + 1
-    while size * 2 <= wanted:
-        key = np.minimum(key[:-size], key[size:])
-        size *= 2
-    if wanted > size:
-        key = np.minimum(key[: len(key) - (wanted - size)], key[wanted - size :])
-    place = (_U(mask) - (key & _U(mask))).astype(np.int64)  # anchor of the string at each start
+    place = _least_grams(grams)  # anchor of the string at each start
     counts = np.maximum(np.diff(offsets) - WIDTH + 1, 0)
     start = gather(offsets[:-1], counts)  # strings that lie inside one row
     row = np.repeat(np.arange(len(counts)), counts)
@@ -121,6 +136,14 @@ def fragments(raw: np.ndarray, offsets: np.ndarray, first: Prefixes) -> tuple[np
     return row[head], grams[at[head]].view(np.int64), start[head], start[tail], at[head]
 
 
+#: A text: its id, and two 64-bit hashes of it, as ids may be null or repeat.
+IDENTITY = ["doc_id", "tag", "tag2"]
+
+
+def _identity(batch: pa.RecordBatch, rows: pa.Array) -> list[pa.Array]:
+    return [batch[c].take(rows) for c in IDENTITY]
+
+
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return bits_set(bits, h & (FILTER_BITS - 1))
 
@@ -144,10 +167,10 @@ def _occurrences(bits: np.ndarray):
                 rows = pa.array(row + lo)
                 yield pa.record_batch(
                     [
-                        batch["doc_id"].take(rows), batch["tag"].take(rows), pa.array(anchor), pa.array(k1), pa.array(k2),
+                        *_identity(batch, rows), pa.array(anchor), pa.array(k1), pa.array(k2),
                         pa.array(a - offsets[row]), pa.array(b - offsets[row]),
                     ],
-                    names=["doc_id", "tag", "anchor", "k1", "k2", "a", "b"],
+                    names=[*IDENTITY, "anchor", "k1", "k2", "a", "b"],
                 )
 
     return run
@@ -186,10 +209,10 @@ def _contents(bits: np.ndarray):
                 rows = pa.array(row + lo)
                 yield pa.record_batch(
                     [
-                        batch["doc_id"].take(rows), batch["tag"].take(rows), pa.array(anchor), pa.array(k1), pa.array(k2),
+                        *_identity(batch, rows), pa.array(anchor), pa.array(k1), pa.array(k2),
                         pa.array(a - offsets[row]), data,
                     ],
-                    names=["doc_id", "tag", "anchor", "k1", "k2", "a", "data"],
+                    names=[*IDENTITY, "anchor", "k1", "k2", "a", "data"],
                 )
 
     return run
@@ -224,9 +247,9 @@ def _search_shard(group: pd.DataFrame) -> pd.DataFrame:
     group = group.drop_duplicates(["anchor", "k1", "k2"])
     out = []
     found = repeated_starts([bytes(d) for d in group["data"]])
-    for ident, tag, a, starts in zip(group["doc_id"], group["tag"], group["a"], found, strict=True):
-        out += [(ident, tag, a + lo, a + hi) for lo, hi in _ranges(starts)]
-    out = pd.DataFrame(out, columns=["doc_id", "tag", "lo", "hi"])
+    for *ident, a, starts in zip(*(group[c] for c in IDENTITY), group["a"], found, strict=True):
+        out += [(*ident, a + lo, a + hi) for lo, hi in _ranges(starts)]
+    out = pd.DataFrame(out, columns=[*IDENTITY, "lo", "hi"])
     out["doc_id"] = out["doc_id"].astype("Int64")
     return out
 
@@ -243,10 +266,10 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = np.asarray(batch["a"])[row + lo] + start - offsets[row]
             yield pa.record_batch(
                 [
-                    batch["doc_id"].take(rows), batch["tag"].take(rows), pa.array(a),
+                    *_identity(batch, rows), pa.array(a),
                     pa.array(one.spans(start, start + WIDTH).view(np.int64)), pa.array(two.spans(start, start + WIDTH).view(np.int64)),
                 ],
-                names=["doc_id", "tag", "lo", "w1", "w2"],
+                names=[*IDENTITY, "lo", "w1", "w2"],
             )
 
 
@@ -283,7 +306,7 @@ def _has_range(batch: pa.RecordBatch, bits: np.ndarray) -> np.ndarray:
 def _touched(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_has_range(batch, bits))).select(["doc_id", "tag", "text"])
+            yield batch.filter(pa.array(_has_range(batch, bits))).select([*IDENTITY, "text"])
 
     return run
 
@@ -310,19 +333,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc_id, n_bytes, n_removed, spans, kept`` for every row: removed byte ranges and the bytes that stay."""
     with_workers(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.crc32(text.cast("binary")).alias("tag"), text.alias("text"))
+    texts = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.xxhash64(text).alias("tag"),
+        F.xxhash64(F.lit("second"), text).alias("tag2"),
+        text.alias("text"),
+    )
 
     # 1., 2. anchors and contents that occur again
     common = texts.select("text").mapInArrow(_anchors, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
     seen = bit_table(F.expr(f"anchor & {FILTER_BITS - 1}L"), common.where("c > 1"), FILTER_BITS)
-    where = "doc_id long, tag long, anchor long, k1 long, k2 long"
+    ident = "doc_id long, tag long, tag2 long"
+    where = f"{ident}, anchor long, k1 long, k2 long"
     places = stored(texts.mapInArrow(_occurrences(seen), f"{where}, a long, b long"), "suffix-places")
     contents = places.groupBy("anchor", "k1", "k2").agg(
         F.count(F.lit(1)).alias("c"), F.max(F.col("b") - F.col("a") + WIDTH).alias("size"), F.min(F.expr(PLACE)).alias("place")
     )
     contents = stored(contents, "suffix-contents")
     whole = places.join(contents.where("c > 1").select("k1", "k2", "anchor"), ["k1", "k2", "anchor"], "left_semi")
-    ranges = whole.select("doc_id", "tag", F.col("a").alias("lo"), (F.col("b") + WIDTH).alias("hi"))
+    ranges = whole.select(*IDENTITY, F.col("a").alias("lo"), (F.col("b") + WIDTH).alias("hi"))
 
     # 3. anchors with several contents, not all of which occur again
     mixed = contents.groupBy("anchor").agg(
@@ -338,28 +367,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crowded = stored(mixed.where(F.col("kinds") > CROWD).select("anchor"), "suffix-crowded")
     sharded = pieces.join(crowded, "anchor", "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     ranges = ranges.unionByName(
-        sharded.groupBy("shard").applyInPandas(_search_shard, "doc_id long, tag long, lo long, hi long")
+        sharded.groupBy("shard").applyInPandas(_search_shard, f"{ident}, lo long, hi long")
     )
 
     # 4. crowded anchors
     if not crowded.isEmpty():
         many = pieces.join(crowded, "anchor", "left_semi").dropDuplicates(["anchor", "k1", "k2"])
         strings = stored(
-            many.select("doc_id", "tag", "a", "data").mapInArrow(_strings, "doc_id long, tag long, lo long, w1 long, w2 long"),
+            many.select(*IDENTITY, "a", "data").mapInArrow(_strings, f"{ident}, lo long, w1 long, w2 long"),
             "suffix-strings",
         )
         again = strings.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         strings = strings.join(again.select("w1", "w2"), ["w1", "w2"], "left_semi")
-        ranges = ranges.unionByName(strings.select("doc_id", "tag", "lo", (F.col("lo") + WIDTH).alias("hi")))
+        ranges = ranges.unionByName(strings.select(*IDENTITY, "lo", (F.col("lo") + WIDTH).alias("hi")))
 
-    # One list per text, not longer than the text. Texts without any are not moved.
-    ranges = ranges.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    ranges = stored(ranges.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "ranges"), "suffix-ranges")
+    # One list per text, not longer than the text, whatever the number of its rows. Texts without any are not moved.
+    named = {c: f"_{c}" for c in IDENTITY}
+    ranges = ranges.groupBy(*IDENTITY).agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    ranges = stored(ranges.withColumnsRenamed(named), "suffix-ranges")
     spot = lambda *key: F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
-    touched = bit_table(spot("_id", "_tag"), ranges, FILTER_BITS)
-    spotted = texts.select("doc_id", "tag", "text", spot("doc_id", "tag").alias("s"))
+    touched = bit_table(spot(*named.values()), ranges, FILTER_BITS)
+    spotted = texts.select(*IDENTITY, "text", spot(*IDENTITY).alias("s"))
     result = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
     whole = spotted.mapInArrow(_untouched(touched), result)
-    some = spotted.mapInArrow(_touched(touched), "doc_id long, tag long, text string")
-    joined = some.join(ranges, some["doc_id"].eqNullSafe(ranges["_id"]) & (some["tag"] == ranges["_tag"]), "left")
+    some = spotted.mapInArrow(_touched(touched), f"{ident}, text string")
+    same = some["doc_id"].eqNullSafe(ranges["_doc_id"]) & (some["tag"] == ranges["_tag"]) & (some["tag2"] == ranges["_tag2"])
+    joined = some.join(ranges, same, "left")
     return whole.unionByName(joined.select("doc_id", "text", "ranges").mapInArrow(_cut, result))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -84,3 +85,74 @@ def test_odd_rows_and_empty_table(spark):
         (str(d), a, b) for (d, *_), (a, b, *_) in zip(rows, want, strict=True)
     )
     assert S.remove_repeats(table(spark, [])).collect() == []
+
+
+def test_texts_are_told_apart_by_content(spark):
+    """Ids that are null or repeat, and texts of one length and one crc32: only what repeats goes."""
+    rng = random.Random(11)
+    passage = "".join(rng.choices("abcdefgh", k=400))
+    first = passage + "".join(rng.choices("abcdefgh", k=112))
+    other = forged(first, "".join(rng.choices("stuvwxyz", k=508)))
+    assert zlib.crc32(first.encode()) == zlib.crc32(other) and len(other) == 512
+    texts = [first, other.decode("ascii"), passage + "!"]
+    for ids in ([None, None, 1], [7, 7, 7]):
+        rows = list(zip(ids, texts, strict=True))
+        got = S.remove_repeats(table(spark, rows).coalesce(1)).collect()
+        want = brute(t for _, t in rows)
+        assert sorted((r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted(want)
+
+
+def forged(like: str, start: str) -> bytes:
+    """``start`` and seven-bit characters such that the crc32 is that of ``like``."""
+    want = zlib.crc32(like.encode())
+    rng = random.Random(1)
+    while True:
+        head = start[:-8] + "".join(rng.choices("stuvwxyz", k=8))
+        for _ in range(64):
+            body = head[:-4] + "".join(rng.choices("stuvwxyz", k=4))
+            tail = crc_tail(zlib.crc32(body.encode()), want)
+            if all(b < 128 and b >= 32 for b in tail):
+                return body.encode() + tail
+
+
+def crc_tail(now: int, want: int) -> bytes:
+    """The four bytes that take the crc32 from ``now`` to ``want``."""
+    steps = []
+    for i in range(256):
+        c = i
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        steps.append(c)
+    back = {c >> 24: i for i, c in enumerate(steps)}
+    state, goal = now ^ 0xFFFFFFFF, want ^ 0xFFFFFFFF
+    picks = []
+    for _ in range(4):
+        i = back[goal >> 24]
+        picks.append(i)
+        goal = ((goal ^ steps[i]) << 8) & 0xFFFFFFFF
+    out = bytearray()
+    for i in reversed(picks):
+        out.append((state ^ i) & 0xFF)
+        state = (state >> 8) ^ steps[i]
+    return bytes(out)
+
+
+@pytest.mark.parametrize("bits", [8, 10, 24])
+def test_anchors_do_not_depend_on_the_size_of_what_is_scanned(monkeypatch, bits):
+    monkeypatch.setattr(S, "PLACE_BITS", bits)
+    rng = np.random.default_rng(3)
+    one = rng.integers(97, 101, 700).astype(np.uint8)
+    around = [rng.integers(97, 101, n).astype(np.uint8) for n in (0, 300, 5_000, 100_000)]
+    seen = set()
+    for raw in around:
+        whole = np.concatenate([raw, one])
+        _, anchor, a, b, place = S.fragments(whole, np.array([0, len(raw), len(whole)]), S.Prefixes(whole, 0))
+        own = a >= len(raw)
+        seen.add(tuple(zip(anchor[own], a[own] - len(raw), b[own] - len(raw), place[own] - len(raw), strict=True)))
+    assert len(seen) == 1
+
+
+def test_rows_that_repeat_id_and_text(spark):
+    text = "".join(random.Random(5).choices("abcdefgh", k=500))
+    got = S.remove_repeats(table(spark, [(None, text)] * 300 + [(1, text[:150])])).collect()
+    assert [r.n_removed for r in got if r.doc_id is None] == [500] * 300 and [r.n_removed for r in got if r.doc_id == 1] == [0]
