@@ -5,12 +5,14 @@ occur. A document is contaminated by an item if some window of as many words as
 the item (the whole document, if it is shorter) has a weighted Jaccard similarity,
 sum of minima over sum of maxima of the weights, of at least ``percent`` / 100.
 
-Windows are fingerprinted by a 64-bit SimHash of their weighted shingles. The items'
+Windows are fingerprinted by a 64-bit SimHash of their shingles numbered by occurrence within the
+window: a shingle of weight w stands for w features of weight one, so no frequent shingle
+outweighs the others, and the same features say how similar two windows are. The items'
 fingerprints are indexed by eight blocks of eight bits, each item under every
 value within two bits of its block: two fingerprints that differ in at most 23 bits
 agree to two bits in some block, so no fingerprint within ``RADIUS`` is missed. The
 pairs found are verified by their exact similarity. A window at the threshold
-differs in 10 bits on average with a deviation of 3. Windows without any shingle
+differs in 10 bits on average with a deviation of 3, whatever its weights. Windows without any shingle
 of an item have similarity 0 and are not fingerprinted.
 
 The items travel to the tasks, never the documents: the benchmark is taken in
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import with_workers
-from clickpulse.llm.words import SHINGLE_WORDS, chunks, gram_hashes, shingle_hashes, word_hashes
+from clickpulse.llm.words import SHINGLE_WORDS, chunks, gram_hashes, mix, shingle_hashes, word_hashes
 
 PERCENT = 80
 RADIUS = 23
@@ -52,6 +54,37 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").copy().view("<u8").ravel()
 
 
+def _features(h: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
+    """Hash of the ``occurrence``-th copy of each shingle."""
+    return mix(h + occurrence.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _copies(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, the copies of its shingle among the ``size`` places that end there, and that begin there."""
+    n = len(h)
+    order = np.argsort(h, kind="stable")
+    group = np.cumsum(np.append(False, h[order][1:] != h[order][:-1])) if n else order
+    key = group * (2 * n + size) + order  # grouped by shingle, in text order, groups far apart
+    before, after = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    before[order] = np.arange(n) - np.searchsorted(key, key - (size - 1)) + 1
+    after[order] = np.searchsorted(key, key + size) - np.arange(n)
+    return before, after
+
+
+def window_sums(h: np.ndarray, size: int) -> np.ndarray:
+    """The bit sums of each window of ``size`` shingles, kept up from window to window."""
+    before, after = _copies(h, size)
+    # The first window: the copies so far. Then the first place goes with its last copy, and the next comes with its own.
+    sums = np.empty((len(h) - size + 1, 64), np.int32)
+    sums[0] = _bits(_features(h[:size], before[:size])).sum(axis=0)
+    if len(sums) > 1:
+        comes = _bits(_features(h[size:], before[size:]))
+        goes = _bits(_features(h[: len(h) - size], after[: len(h) - size]))
+        np.cumsum(comes - goes, axis=0, out=sums[1:])
+        sums[1:] += sums[0]
+    return sums
+
+
 _NEAR = [[v for v in range(256) if (v ^ x).bit_count() <= 2] for x in range(256)]
 
 
@@ -61,7 +94,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.ids = [i for i, _ in items]
         self.weights = [dict(zip(*(x.tolist() for x in np.unique(h, return_counts=True)), strict=True)) for _, h in items]
-        self.prints = _fingerprints(np.stack([_bits(h).sum(axis=0) for _, h in items]))
+        self.prints = _fingerprints(np.concatenate([window_sums(h, len(h)) for _, h in items]))
         octets = self.prints.view(np.uint8).reshape(-1, 8)
         self.lists: list[tuple[np.ndarray, np.ndarray]] = []
         for block in range(8):
@@ -127,13 +160,10 @@ class Benchmark:
                 yield from self._windows(h, index, part, size)
 
     def _windows(self, h, index: ItemIndex, starts: np.ndarray, size: int):
-        # Runs of neighbouring starts share one running sum.
+        # Neighbouring starts share one running sum.
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
             a, b = int(run[0]), int(run[-1]) + size
-            sums = np.zeros((b - a + 1, 64), np.int32)
-            np.cumsum(_bits(h[a:b]), axis=0, out=sums[1:])
-            prints = _fingerprints(sums[size:] - sums[: len(sums) - size])
-            which, item = index.candidates(prints)
+            which, item = index.candidates(_fingerprints(window_sums(h[a:b], size)))
             for w, i in zip(which.tolist(), item.tolist(), strict=True):
                 s = a + w
                 score = self._similarity(h[s : s + size], index.weights[i])

@@ -53,6 +53,57 @@ def test_edited_short_long_and_repeated_items(spark):
     assert kept == set(docs) - {d for d, _ in want}
 
 
+def test_sums_of_windows_with_many_copies():
+    rng = np.random.default_rng(5)
+    for n, size, kinds in ((40, 7, 3), (40, 40, 2), (9, 1, 2), (300, 25, 1), (120, 30, 100)):
+        h = rng.integers(1, 2**63, kinds, dtype=np.uint64)[rng.integers(0, kinds, n)]
+        got = D.window_sums(h, size)
+        assert len(got) == n - size + 1
+        for k in range(n - size + 1):
+            seen, features = {}, []
+            for x in h[k : k + size].tolist():
+                seen[x] = seen.get(x, 0) + 1
+                features.append((x, seen[x]))
+            x, c = (np.array(v, np.uint64) for v in zip(*features, strict=True))
+            assert (got[k] == D._bits(D._features(x, c)).sum(axis=0)).all()
+
+
+def test_items_of_few_heavy_shingles_at_the_threshold(spark):
+    """Two alternating words and one other: windows of similarity 0.8 exactly, and just above and below."""
+    rng = random.Random(12)
+    docs, items = {}, {}
+    for k in range(400):
+        a, b, c, d = (f"{x}{k}" for x in "abcd")
+        words = [a, b] * 6 + [a]
+        items[k] = " ".join(words if k % 2 else [*words[:12], c])
+        near = items[k].split()
+        if k % 4 < 2:
+            near[-1] = d  # one shingle of nine differs
+        else:
+            near[rng.randrange(13)] = d
+        docs[k] = " ".join([*(f"x{k}y{j}" for j in range(rng.randrange(6))), *near, "tail", "of", "it"])
+    want = leaks(docs, items)
+    bench = spark.createDataFrame([(i, t, 7) for i, t in items.items()], ITEMS)
+    assert found(D.contaminated(table(spark, docs.items()), bench)) == want
+    assert sum(v[0] == 0.8 for v in want.values()) > 150
+
+
+def test_recall_at_the_threshold_by_length():
+    """Windows with a ninth of their features replaced: how many lie within the radius."""
+    rng = np.random.default_rng(9)
+    for m in (9, 18, 45, 90, 198):
+        for heavy in (m, 3):
+            base = rng.integers(1, 2**63, (2000, heavy), dtype=np.uint64)
+            h = np.concatenate([base] * -(-m // heavy), axis=1)[:, :m]
+            changed = h.copy()
+            changed[:, m - m // 9 :] = rng.integers(1, 2**63, (2000, 1), dtype=np.uint64)
+            far = 0
+            for x, y in zip(h, changed, strict=True):
+                p, q = (D._fingerprints(D.window_sums(v, m)) for v in (x, y))
+                far += int(np.bitwise_count(p ^ q)[0]) > D.RADIUS
+            assert far <= 1, (m, heavy, far)
+
+
 def test_no_fingerprint_within_the_radius_is_missed():
     rng = np.random.default_rng(2)
     index = D.ItemIndex([(k, rng.integers(1, 2**63, 8, dtype=np.uint64)) for k in range(50)])
