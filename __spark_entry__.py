@@ -121,6 +121,17 @@ _REASON = (
 )
 
 
+# Why each job rejects a message, in event time.
+_JOB_REASON = {
+    "member_total": "CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no action' WHEN 2 THEN 'bad action' WHEN 5 THEN 'no time' END",
+    "item_total": "CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 5 THEN 'no time' END",
+    "cat_window": "CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no action' WHEN 2 THEN 'bad action' WHEN 5 THEN 'no time'"
+    " WHEN 4 THEN CASE WHEN action = '0' THEN 'no category' END END",
+    "province_window": "CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no action' WHEN 2 THEN 'bad action'"
+    " WHEN 3 THEN 'no province' WHEN 5 THEN 'no time' END",
+}
+
+
 def _balance(rejected: str, counted: str) -> str:
     """All messages of a job: those it accepts, those it rejects, and the sum of its counters."""
     return _with(
@@ -186,6 +197,13 @@ _ORACLE: dict[str, str] = {
     "reject_events": _with(
         f"SELECT event_id, reason AS reject_reason FROM (SELECT event_id, {_REASON} AS reason FROM ub) r WHERE reason IS NOT NULL"
     ),
+    "job_reject_feed": _with(
+        " UNION ALL ".join(
+            f"SELECT event_id, '{job}' AS job, reason AS reject_reason FROM (SELECT event_id, {reason} AS reason FROM ub) r"
+            " WHERE reason IS NOT NULL"
+            for job, reason in _JOB_REASON.items()
+        )
+    ),
     "member_job_balance": _balance("m IN (0, 1, 2, 5)", "SUM(CASE WHEN code IN (0, 1, 2, 3) THEN 1 ELSE 0 END)"),
     "item_job_balance": _balance(
         "m IN (0, 5)", "SUM(CASE WHEN m NOT IN (1, 2) AND code IN (0, 2, 3) THEN 1 ELSE 0 END)"
@@ -223,8 +241,42 @@ GROUP BY item_id, action, {_bucket(3)}"""
         f" {_cnt(2)} AS item_sale_count, {_cnt(3)} AS item_focus_count FROM ub GROUP BY item_id"
     ),
 }
+_ORACLE["stream_csv_feed"] = _ORACLE["csv_feed"]
+
+
+def _gate(job: str, size: int, slide: int, counted: str) -> str:
+    """A job's messages in three batches by event id, ten days late at most behind the batches before."""
+    return f"""
+SELECT '{job}' AS job, COUNT(*) AS messages, CAST(SUM(CASE WHEN NOT bad AND NOT late THEN 1 ELSE 0 END) AS BIGINT) AS accepted,
+       CAST(SUM(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS rejected,
+       CAST(SUM(CASE WHEN NOT bad AND late THEN 1 ELSE 0 END) AS BIGINT) AS late,
+       CAST(SUM(CASE WHEN NOT bad AND NOT late AND {counted} THEN 1 ELSE 0 END) AS BIGINT) AS counted
+FROM (SELECT b.m, b.code, {_JOB_REASON[job].replace('event_id % 97', 'm')} IS NOT NULL AS bad,
+             coalesce(b.us - b.us % {slide * 3_600_000_000} + {size * 3_600_000_000} <= w.latest - 864000000000, FALSE) AS late
+      FROM batched b JOIN marks w ON w.part = b.part) j"""
+
+
+_ORACLE["gate_balance"] = _with("SELECT 1").replace(
+    "SELECT 1",
+    f""", batched AS (
+  SELECT event_id % 97 AS m, event_id % 3 AS part, action, {_ACODE} AS code, event_ms * 1000 AS us FROM ub
+), marks AS (
+  SELECT p.part, (SELECT MAX(us) FROM batched q WHERE q.part < p.part AND q.m NOT IN (0, 5)) AS latest
+  FROM (SELECT DISTINCT part FROM batched) p
+)"""
+    + " UNION ALL ".join(
+        (
+            _gate("member_total", 3, 3, "code IN (0, 1, 2, 3)"),
+            _gate("item_total", 3, 3, "m NOT IN (1, 2) AND code IN (0, 2, 3)"),
+            _gate("cat_window", 60, 10, "code = 0"),
+            _gate("province_window", 10, 10, "code IN (0, 2, 3)"),
+        )
+    ),
+)
 # Streaming twins (file replay, same metric functions) answer the same SQL.
-for _name in ("member_total", "item_total", "cat_window", "province_window", "member_grand_total", "item_grand_total"):
+for _name in (
+    "member_total", "item_total", "cat_window", "province_window", "member_running_total", "member_grand_total", "item_grand_total",
+):
     _ORACLE[f"stream_{_name}"] = _ORACLE[_name]
 
 

@@ -11,6 +11,7 @@ shared root) and waits; ``--once`` processes what is there, writes every window
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 from dataclasses import fields
 
@@ -21,6 +22,9 @@ from clickpulse.session import get_session
 from clickpulse.sources import kafka, sinks
 
 
+PASSWORD_VARIABLE = "CLICKPULSE_JDBC_PASSWORD"
+
+
 def _messages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if a.source == "kafka":
         return kafka.read_messages(spark, a.brokers, a.topic)
@@ -28,6 +32,14 @@ def _messages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return spark.readStream.schema("value string").text(a.path)
 
 
+def _password(a: argparse.Namespace) -> str | None:
+    """Never from the command line, which every process of the machine can read."""
+    if a.password_file:
+        with open(a.password_file, encoding="utf-8") as f:
+            return f.read().rstrip("\n")
+    return os.environ.get(PASSWORD_VARIABLE)
+
+
 def _writer(a: argparse.Namespace):
     def for_table(table: str):
         if a.sink == "console":
@@ -35,7 +47,7 @@ def _writer(a: argparse.Namespace):
         if a.sink == "parquet":
             return sinks.parquet(f"{a.out.rstrip('/')}/{table}")
         # The job starters hand over a persisted batch (fan_out), as the JDBC sink wants.
-        return sinks.JdbcTable(a.jdbc_url, table, a.user, a.password, a.driver, num_partitions=a.jdbc_partitions)
+        return sinks.JdbcTable(a.jdbc_url, table, a.user, _password(a), a.driver, num_partitions=a.jdbc_partitions)
 
     return for_table
 
@@ -80,7 +92,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--out", help="output folder (sink parquet)")
     r.add_argument("--jdbc-url")
     r.add_argument("--user")
-    r.add_argument("--password")
+    r.add_argument("--password-file", help=f"file with the database password (default: the variable {PASSWORD_VARIABLE})")
     r.add_argument("--driver")
     r.add_argument("--jdbc-partitions", type=int, default=8)
     r.add_argument("--jobs", type=lambda s: s.split(","), help="subset, e.g. member_total,cat_window")

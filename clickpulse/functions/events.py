@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,6 +154,55 @@ def reject_events(
     return bad.select(*keep, value, _reason(F.col("_r"), needs).alias("reject_reason"))
 
 
+def reasons_by_reader(
+    messages: DataFrame, readers: dict[str, Sequence[str]], *keep: str, value: str = "value"
+) -> DataFrame:
+    """P10 for several readers at once: every message with its event columns and, per reader, why it cannot use it.
+
+    ``reasons`` is an array of ``(job, reason)`` in the order of ``readers``; a null reason means that the
+    reader can use the message. The JSON is parsed once for all of them, inside a generator of one row.
+    """
+    parsed = messages.select(*keep, F.col(value), F.explode(F.array(_parsed(value, EVENT_COLUMNS))).alias("_r"))
+    reasons = [
+        F.struct(F.lit(name).alias("job"), _reason(F.col("_r"), needs).alias("reason")) for name, needs in readers.items()
+    ]
+    return parsed.select(
+        *keep,
+        F.col(value),
+        *map(_field, EVENT_COLUMNS),
+        action_code(F.col("_r.action")).alias("action_code"),
+        F.array(*reasons).alias("reasons"),
+    )
+
+
+def observed_events(
+    messages: DataFrame,
+    observation: Observation | str,
+    *keep: str,
+    needs: Sequence[str] = (ACTION,),
+    fields: Sequence[str] | None = None,
+    value: str = "value",
+) -> DataFrame:
+    """``parse_events``, counting on the way: ``messages, accepted, rejected`` of whatever action reads the result.
+
+    ``observation`` receives the counts of a batch; a stream reports them by that name in its progress. No pass of
+    its own is made over the input.
+    """
+    read = _read_fields(fields, needs)
+    parsed = messages.select(*keep, F.explode(F.array(_parsed(value, read))).alias("_r"))
+    parsed = parsed.select(*keep, "_r", _reason(F.col("_r"), needs).alias("_why"))
+    bad = F.col("_why").isNotNull()
+    counted = parsed.observe(
+        observation,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(~bad).alias("accepted"),
+        F.count_if(bad).alias("rejected"),
+    )
+    shown = EVENT_COLUMNS if fields is None else [c for c in EVENT_COLUMNS if c in fields]
+    code = [action_code(F.col("_r.action")).alias("action_code")] if "action" in read else []
+    return counted.where(~bad).select(*keep, *map(_field, shown), *code)
+
+
 def with_action_code(df: DataFrame) -> DataFrame:
     return df if "action_code" in df.columns else df.withColumn("action_code", action_code("action"))
 

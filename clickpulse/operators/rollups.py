@@ -51,9 +51,12 @@ def running_sum(df: DataFrame, order_by: str, values: Sequence[str], bucket: Col
 def member_running_total(events: DataFrame, time_col: str = "event_time", width="3 seconds") -> DataFrame:
     """A6, running: after each A1 window, the site totals since the first event (batch)."""
     windows = member_total(events, time_col, width)
-    span = duration_us(width) * BUCKET_ROWS
-    bucket = F.floor(ntz_micros(F.col("window_start")) / span)
-    return running_sum(windows, "window_start", MEMBER_COUNTS, bucket)
+    return running_sum(windows, "window_start", MEMBER_COUNTS, window_bucket(width))
+
+
+def window_bucket(width, column: str = "window_start") -> Column:
+    """Bucket of a window: ``BUCKET_ROWS`` neighbouring ones share one."""
+    return F.floor(ntz_micros(F.col(column)) / (duration_us(width) * BUCKET_ROWS))
 
 
 def member_grand_total(events: DataFrame) -> DataFrame:

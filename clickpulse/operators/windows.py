@@ -148,18 +148,25 @@ def cat_window(
     window has no row for it. Clicks without a category are a group of their own; the
     jobs reject them before.
 
-    Batch plan (``panes``, default when ``size`` is a multiple of ``slide``): ``cat_panes``, then
-    ``cat_rows``. The heavy, per-event stage does one hash update per event instead of one per
-    window, and what it shuffles is pane counts. A stream that emits each window once uses
-    Spark's sliding ``window`` directly, one stateful aggregation.
+    Plan, when ``size`` is a multiple of ``slide`` (``panes``): clicks are counted per category and
+    slide-wide pane, and each pane is then added into its windows. The heavy, per-event step
+    does one hash update per event instead of one per window, and what it shuffles, or keeps as
+    state, is one row per category and pane. A batch uses ``cat_panes`` and ``cat_rows``; a stream chains two
+    windowed aggregations, the second over the panes that the first has closed, so it emits each window once
+    (append mode, with a watermark). Any other slide takes Spark's sliding ``window`` over the events.
     """
     if panes is None:
-        panes = not events.isStreaming and duration_us(size) % duration_us(slide) == 0
-    if panes:
+        panes = duration_us(size) % duration_us(slide) == 0
+    if panes and not events.isStreaming:
         return cat_rows(cat_panes(events, time_col, slide), size, slide)
     c = _category_clicks(events)
-    w = F.window(time_col, interval_text(size), interval_text(slide)).alias("w")
-    g = _grouped(c, ["cat_id", w], {"cat_click_count": F.lit(1)})
+    if panes:
+        closed = _grouped(c, ["cat_id", F.window(time_col, interval_text(slide)).alias("pane")], {"n": F.lit(1)})
+        w = F.window(F.window_time("pane"), interval_text(size), interval_text(slide)).alias("w")
+        g = closed.groupBy("cat_id", w).agg(F.sum("n").alias("cat_click_count"))
+    else:
+        w = F.window(time_col, interval_text(size), interval_text(slide)).alias("w")
+        g = _grouped(c, ["cat_id", w], {"cat_click_count": F.lit(1)})
     return g.select("cat_id", "cat_click_count", *_bounds(c, time_col))
 
 

@@ -47,33 +47,27 @@ def q_reject_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_events(raw_messages(spark, sf_dir), "event_id", needs=ALL_NEEDS).select("event_id", "reject_reason")
 
 
+def event_settings(**more):
+    """The jobs in event time with the windows of these queries."""
+    from clickpulse.plans.jobs import JobSettings
+
+    widths = dict(member_width=MEMBER_WIDTH, item_width=ITEM_WIDTH, cat_size=CAT_SIZE, cat_slide=CAT_SLIDE, province_width=PROVINCE_WIDTH)
+    return JobSettings(time="event", **widths, **more)
+
+
+def q_job_reject_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects of the four jobs from one parse."""
+    from clickpulse.streaming.gate import reject_feed
+
+    return reject_feed(raw_messages(spark, sf_dir), event_settings(), None, "event_id").drop("value")
+
+
 def _job_balance(job: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         """A job's messages are either counted in its metric or rejected, in event time."""
         from clickpulse.plans import jobs
 
-        s = jobs.JobSettings(
-            time="event",
-            member_width=MEMBER_WIDTH,
-            item_width=ITEM_WIDTH,
-            cat_size=CAT_SLIDE,
-            cat_slide=CAT_SLIDE,
-            province_width=PROVINCE_WIDTH,
-        )
-        messages = raw_messages(spark, sf_dir)
-        metric = jobs.JOBS[job].build(messages, s)
-        counters = [F.col(c) for c in metric.columns if c.endswith("_count")]
-        parts = {
-            "messages": messages.agg(F.count(F.lit(1)).alias("n")),
-            "accepted": jobs.job_events(messages, job, s).agg(F.count(F.lit(1)).alias("n")),
-            "rejected": jobs.job_rejects(messages, job, s).agg(F.count(F.lit(1)).alias("n")),
-            "counted": metric.agg(F.coalesce(F.sum(sum(counters[1:], counters[0])), F.lit(0)).alias("n")),
-        }
-        rows = None
-        for name, part in parts.items():
-            row = part.select(F.lit(name).alias("name"), "n")
-            rows = row if rows is None else rows.unionByName(row)
-        return rows.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in parts])
+        return jobs.job_balance(raw_messages(spark, sf_dir), job, event_settings())
 
     return q
 
@@ -92,12 +86,16 @@ def q_csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.plans.jobs import feed_job
 
     path = scratch_path(spark, "tables", "user_log")
-    # Every 89th event has no province and every 83rd no category: empty fields stay empty texts.
+    user_log_lines(spark, sf_dir).write.text(path)
+    return parse_events(feed_job(spark, path)).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
+
+
+def user_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view as log lines. Every 89th event has no province and every 83rd no category: empty fields stay empty texts."""
     ub = user_behavior(spark, sf_dir)
     for column, modulus in (("province", 89), ("cat_id", 83)):
         ub = ub.withColumn(column, F.when(F.col("event_id") % modulus == 0, F.lit("")).otherwise(F.col(column)))
-    to_user_log_lines(ub).write.text(path)
-    return parse_events(feed_job(spark, path)).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
+    return to_user_log_lines(ub)
 
 
 def q_click_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +175,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "click_filter": q_click_filter,
     "action_flags": q_action_flags,
     "reject_events": q_reject_events,
+    "job_reject_feed": q_job_reject_feed,
     "member_job_balance": _job_balance("member_total"),
     "item_job_balance": _job_balance("item_total"),
     "cat_job_balance": _job_balance("cat_window"),

@@ -21,11 +21,21 @@ import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.functions.events import ACTION, CATEGORY, PROVINCE, TIME, parse_events, reject_events, to_messages
+from clickpulse.functions.events import (
+    ACTION,
+    CATEGORY,
+    PROVINCE,
+    TIME,
+    observed_events,
+    parse_events,
+    reject_events,
+    to_messages,
+)
+from clickpulse.functions.timeutil import duration_us
 from clickpulse.operators.windows import (
     cat_panes,
     cat_rows,
@@ -75,9 +85,13 @@ def job_needs(job: str, s: JobSettings = JobSettings()) -> tuple[str, ...]:
     return JOB_NEEDS[job] + ((TIME,) if s.time == "event" else ())
 
 
-def job_events(messages: DataFrame, job: str, s: JobSettings = JobSettings()) -> DataFrame:
-    """The job's parsed events."""
+def job_events(
+    messages: DataFrame, job: str, s: JobSettings = JobSettings(), observation: Observation | str | None = None
+) -> DataFrame:
+    """The job's parsed events (P1, P2, P10); ``observation`` gets the numbers of messages accepted and rejected."""
     fields = JOB_FIELDS[job] + (["event_ms"] if s.time == "event" else [])
+    if observation is not None and not s.strict:
+        return observed_events(messages, observation, needs=job_needs(job, s), fields=fields)
     return parse_events(messages, strict=s.strict, needs=job_needs(job, s), fields=fields)
 
 
@@ -86,9 +100,15 @@ def job_rejects(messages: DataFrame, job: str, s: JobSettings = JobSettings(), *
     return reject_events(messages, *keep, needs=job_needs(job, s))
 
 
-def timed_events(messages: DataFrame, job: str, s: JobSettings = JobSettings(), bounded: bool = False) -> DataFrame:
+def timed_events(
+    messages: DataFrame,
+    job: str,
+    s: JobSettings = JobSettings(),
+    bounded: bool = False,
+    observation: Observation | str | None = None,
+) -> DataFrame:
     """The job's events with ``event_time`` and, unless ``bounded``, a watermark on it."""
-    events = job_events(messages, job, s)
+    events = job_events(messages, job, s, observation)
     if s.time not in TIMES:
         raise ValueError(f"time must be one of {', '.join(TIMES)}, not {s.time!r}")
     if s.time == "clock" and events.isStreaming and not bounded:
@@ -106,9 +126,21 @@ def timed_events(messages: DataFrame, job: str, s: JobSettings = JobSettings(),
     return events if bounded else events.withWatermark("event_time", "0 seconds")
 
 
+def job_metric(events: DataFrame, job: str, s: JobSettings = JobSettings()) -> DataFrame:
+    """The metric of a job over its events."""
+    if job == "member_total":
+        return member_total(events, width=s.member_width)
+    if job == "item_total":
+        counts = item_counts(events, width=s.item_width)
+        return counts if counts.isStreaming else item_rows(counts)
+    if job == "cat_window":
+        return cat_window(events, size=s.cat_size, slide=s.cat_slide)
+    return province_window(events, width=s.province_width)
+
+
 def member_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     """Site-wide action counts per tumbling window."""
-    return member_total(timed_events(messages, "member_total", s), width=s.member_width)
+    return job_metric(timed_events(messages, "member_total", s), "member_total", s)
 
 
 def item_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
@@ -117,18 +149,34 @@ def item_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     A stream emits the counts of all id combinations of a window at once; each emitted batch is
     folded by ``item_rows`` before it is written.
     """
-    counts = item_counts(timed_events(messages, "item_total", s), width=s.item_width)
-    return counts if counts.isStreaming else item_rows(counts)
+    return job_metric(timed_events(messages, "item_total", s), "item_total", s)
 
 
 def cat_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     """Clicks per category, sliding window."""
-    return cat_window(timed_events(messages, "cat_window", s), size=s.cat_size, slide=s.cat_slide)
+    return job_metric(timed_events(messages, "cat_window", s), "cat_window", s)
 
 
 def province_job(messages: DataFrame, s: JobSettings = JobSettings()) -> DataFrame:
     """Per-province counts per tumbling window, with region codes."""
-    return province_window(timed_events(messages, "province_window", s), width=s.province_width)
+    return job_metric(timed_events(messages, "province_window", s), "province_window", s)
+
+
+def job_balance(messages: DataFrame, job: str, s: JobSettings = JobSettings()) -> DataFrame:
+    """One row: the messages of a job, those accepted and rejected, and what its counters add up to.
+
+    One pass over the messages: the first three are counted on the way to the metric. An event counts once in
+    every window that holds it, so the counters of sliding windows are divided by their number. Runs at once.
+    """
+    seen = Observation(f"{job}_balance")
+    metric = job_metric(timed_events(messages, job, s, observation=seen), job, s)
+    counters = [F.col(c) for c in metric.columns if c.endswith("_count")]
+    windows = duration_us(s.cat_size) // duration_us(s.cat_slide) if job == "cat_window" else 1
+    counted = metric.agg(F.coalesce(F.sum(sum(counters[1:], counters[0])), F.lit(0)).alias("n")).first()["n"]
+    found = seen.get
+    row = (found["messages"], found["accepted"], found["rejected"], counted // windows)
+    names = "messages bigint, accepted bigint, rejected bigint, counted bigint"
+    return messages.sparkSession.createDataFrame([row], names)
 
 
 def _as_is(batch: DataFrame) -> DataFrame:
@@ -235,15 +283,28 @@ def start_dashboards(
     only: Sequence[str] | None = None,
     attempts: int = 3,
     delay_s: float = 5.0,
+    gate: str | None = None,
 ) -> Running:
     """Start J1-J4 (or ``only`` some) in one session, and optionally each job's reject feed.
 
+    With a folder ``gate`` (event time), one more query parses the topic for all of them and feeds that
+    folder (``streaming.gate``): the jobs read their events there, and rejects and late events of all jobs lie there too.
+
     ``writers(table)`` gives the batch writer for a result table, e.g.
     ``lambda t: sinks.fan_out(sinks.console(), sinks.JdbcTable(url, t))``; it
     receives rows already shaped for the table, from a persisted batch. ``rejects(job)``
     does so for the messages that the job cannot use.
     """
     starters: dict[str, Callable[[], StreamingQuery]] = {}
+    if gate is not None:
+        from clickpulse.streaming import gate as gates
+
+        spark = messages.sparkSession
+        if rejects is not None:
+            raise ValueError("the gate writes the rejects of all jobs to its own folder")
+        names = [name for name in JOBS if not only or name in only]
+        checkpoint = job_checkpoint(spark, "gate", checkpoint_root)
+        starters["gate"] = lambda: gates.start_gate(messages, gate, settings, checkpoint, names)
 
     def starter(df: DataFrame, name: str, writer: sinks.BatchWriter) -> Callable[[], StreamingQuery]:
         return lambda: start_job(df, name, writer, settings, job_checkpoint(df.sparkSession, name, checkpoint_root))
@@ -253,16 +314,37 @@ def start_dashboards(
             continue
         writer = sinks.fan_out(writers(job.table), shape=_shaper(name))
         query = f"{name}_clock" if settings.time == "clock" else name
-        starters[query] = starter(job.build(messages, settings), query, writer)
+        if gate is not None:
+            metric = job_metric(gates.gated_events(spark, gate, name, settings), name, settings)
+        else:
+            metric = job.build(messages, settings)
+        starters[query] = starter(metric, query, writer)
         if rejects is not None:
             bad = job_rejects(messages, name, settings)
             starters[f"{query}_rejects"] = starter(bad, f"{query}_rejects", rejects(name))
     return Running(starters, attempts, delay_s)
 
 
-def _bounded(messages: DataFrame, name: str, s: JobSettings):
+def start_running_totals(
+    messages: DataFrame,
+    writer: sinks.BatchWriter,
+    settings: JobSettings = JobSettings(),
+    table: str | None = None,
+    checkpoint: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """A6 live: J1's closed windows as totals since the start, kept under ``table`` and written as they close."""
+    from clickpulse.streaming.running import RunningTotals
+
+    spark, name = messages.sparkSession, "member_running_total"
+    windows = member_job(messages, settings)
+    table = table or job_checkpoint(spark, f"{name}_rows")
+    totals = RunningTotals(spark, table, windows.schema, settings.member_width, writer=writer)
+    return start_job(windows, name, totals, settings, checkpoint, available_now=available_now)
+
+
+def bounded_metric(events: DataFrame, name: str, s: JobSettings):
     """``(stream of sums, its keys, the fold of the finished table)`` of a job over bounded input."""
-    events = timed_events(messages, name, s, bounded=True)
     if name == "member_total":
         return member_total(events, width=s.member_width), ["window_start"], _as_is
     if name == "item_total":
@@ -294,10 +376,10 @@ def run_once(
     for name, job in JOBS.items():
         if only and name not in only:
             continue
-        sums, keys, fold = _bounded(messages, name, settings)
+        sums, keys, fold = bounded_metric(timed_events(messages, name, settings, bounded=True), name, settings)
         checkpoint = job_checkpoint(spark, f"{name}_once", checkpoint_root)
         out = job_checkpoint(spark, f"{name}_once_rows", checkpoint_root)
-        q = run_with_restarts(lambda: start_update_log(sums, name, out, checkpoint), attempts, delay_s)  # noqa: B023
+        q = run_with_restarts(lambda: start_update_log(sums, name, out, checkpoint, keys), attempts, delay_s)  # noqa: B023
         rows = sinks.sink_rows(fold(read_update_log(spark, out, sums, keys)), job.table)
         with sinks.writing_as(str(q.id)):
             sinks.fan_out(writers(job.table))(rows, 0)
@@ -327,9 +409,32 @@ def run_with_restarts(
     raise AssertionError("unreachable")
 
 
-def feed_job(spark: SparkSession, csv_path: str, header: bool = False) -> DataFrame:
+def feed_job(spark: SparkSession, csv_path: str, header: bool = False, streaming: bool = False) -> DataFrame:
     """The CSV user log as JSON messages (``value``) ready for a topic.
 
-    Write it with ``sources.kafka.write_messages`` or any text sink.
+    Write it with ``sources.kafka.write_messages`` or any text sink. ``streaming`` takes in the log's files as
+    they come.
+    """
+    return to_messages(read_user_log(spark, csv_path, header=header, streaming=streaming))
+
+
+def start_feed(
+    spark: SparkSession,
+    csv_path: str,
+    out: str,
+    checkpoint: str,
+    header: bool = False,
+    settings: JobSettings = JobSettings(),
+    available_now: bool = False,
+) -> StreamingQuery:
+    """J5 as a stream: every line of the log's files as one message line under ``out``, exactly once.
+
+    Spark's file sink: a batch's files count once they are in its commit log, which Spark's readers
+    honour, so a feed that is stopped anywhere and started again repeats and loses nothing. Writing to a
+    topic (``sources.kafka.write_messages``) is at least once.
     """
-    return to_messages(read_user_log(spark, csv_path, header=header))
+    messages = feed_job(spark, csv_path, header, streaming=True)
+    w = messages.writeStream.format("text").queryName("feed").outputMode("append")
+    w = w.option("path", out).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=settings.trigger)
+    return w.start()

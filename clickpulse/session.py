@@ -81,6 +81,37 @@ def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
     return f"{storage_root(spark)}/clickpulse/{kind}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, whatever its kind, and the path in it."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop's file systems have no other door in PySpark
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there  # noqa: SLF001
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, there = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(there)) if fs.exists(there) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of ours if it is there."""
+    fs, there = _file_system(spark, path)
+    fs.delete(there, True)
+
+
+def publish_folder(spark: SparkSession, draft: str, final: str) -> bool:
+    """Show a finished folder under its final name in one step; False, and no change, if that name is taken."""
+    fs, here = _file_system(spark, draft)
+    _, there = _file_system(spark, final)
+    if fs.exists(there):
+        fs.delete(here, True)
+        return False
+    if not fs.rename(here, there):
+        raise OSError(f"cannot rename {draft} to {final}")
+    return True
+
+
 _SHIPPED: set[str] = set()
 
 

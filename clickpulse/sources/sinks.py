@@ -27,6 +27,7 @@ SINK_TABLES: dict[str, tuple[list[str], dict[str, str]]] = {
     "realtime_province_window": (PROVINCE_WINDOW_COLUMNS, {}),
 }
 WINDOW_COLUMNS = ["window_start", "window_end"]
+BATCH_KEY = ["query_id", "batch_id"]
 
 
 def sink_rows(df: DataFrame, table: str, batch_id: int | None = None) -> DataFrame:
@@ -116,19 +117,22 @@ def parquet_stream(
 
 
 class JdbcTable:
-    """Append each micro-batch to a JDBC table, once per ``(query_id, batch_id)``.
-
-    The table needs columns ``query_id`` (text) and ``batch_id`` (bigint) and an index on the pair:
-    without it each batch scans the growing table. A batch first deletes its own rows
-    (one statement on the driver, over the JVM's JDBC driver), then appends with
-    Spark's JDBC writer, ``batchsize`` rows per statement batch. A replayed
-    batch therefore replaces, not repeats, its rows, and rows of another checkpoint stay.
-    Delete and insert are not one transaction: a reader may briefly see the batch missing.
-
-    At most ``num_partitions`` tasks write at once, so a batch coming out of a
-    shuffle with thousands of partitions still opens only that many database
-    connections. Use it behind ``fan_out``, which persists the batch, so the cap
-    narrows only the write, not the aggregation before it.
+    """Each micro-batch to a JDBC table, whole and once per ``(query_id, batch_id)``.
+
+    Rows go to a staging table first, in parallel: Spark's JDBC writer, ``batchsize`` rows per
+    statement batch, at most ``num_partitions`` connections. Then one transaction on the
+    driver removes the batch from the table, moves the staged rows over and enters the batch in the ledger. Readers of
+    the table see the batch as it was before or as it is now, never without it; a failure at any point
+    leaves the table as it was, and the batch runs again: it clears what an earlier attempt has staged and
+    replaces itself, never another query's rows.
+
+    The ledger has a row per batch: who wrote it, when, how many rows. ``create_statements`` gives the
+    three tables, with the index that finds a batch without a scan. All names may carry a schema.
+
+    At most ``num_partitions`` tasks write at once, so a batch coming out of a shuffle with
+    thousands of partitions still opens only that many connections. Use it behind
+    ``fan_out``, which persists the batch, so the cap narrows only the write, not the
+    aggregation before it.
     """
 
     def __init__(
@@ -142,15 +146,42 @@ class JdbcTable:
         num_partitions: int = 8,
     ) -> None:
         self.url, self.table = url, table
+        self.staging, self.ledger = f"{table}_staging", f"{table}_batches"
         self.props = {k: v for k, v in {"user": user, "password": password, "driver": driver}.items() if v}
         self.props["batchsize"] = str(batch_size)
         self.props["numPartitions"] = str(num_partitions)
 
-    def delete_statement(self) -> str:
-        return f"DELETE FROM {self.table} WHERE query_id = ? AND batch_id = ?"
-
-    def delete_batch(self, batch: DataFrame, query: str, batch_id: int) -> None:
-        jvm = batch.sparkSession.sparkContext._jvm  # noqa: SLF001 - the JVM's JDBC driver manager
+    def create_statements(self, rows: DataFrame) -> list[str]:
+        """DDL of the table for such rows, its staging table, its ledger, and the indexes on batches."""
+        kinds = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR(255)", "double": "DOUBLE PRECISION"}
+        columns = [f"{c} {kinds.get(t, 'TIMESTAMP')}" for c, t in rows.dtypes if c not in BATCH_KEY]
+        key = ["query_id VARCHAR(64) NOT NULL", "batch_id BIGINT NOT NULL"]
+        out = []
+        for table in (self.table, self.staging):
+            out.append(f"CREATE TABLE {table} ({', '.join([*columns, *key])})")
+            out.append(f"CREATE INDEX {table.replace('.', '_')}_batch ON {table} (query_id, batch_id)")
+        more = [*key, "row_count BIGINT NOT NULL", "committed TIMESTAMP NOT NULL", "PRIMARY KEY (query_id, batch_id)"]
+        return [*out, f"CREATE TABLE {self.ledger} ({', '.join(more)})"]
+
+    def clear_statements(self) -> list[str]:
+        """What removes rows that an earlier attempt of the batch has staged."""
+        return [f"DELETE FROM {self.staging} WHERE query_id = ? AND batch_id = ?"]
+
+    def swap_statements(self, columns: Sequence[str]) -> list[str]:
+        """The one transaction that puts the staged batch in place; each statement takes the query and the batch."""
+        batch, names = "WHERE query_id = ? AND batch_id = ?", ", ".join(columns)
+        counted = f"SELECT query_id, batch_id, COUNT(*), CURRENT_TIMESTAMP FROM {self.staging} {batch} GROUP BY query_id, batch_id"
+        return [
+            f"DELETE FROM {self.table} {batch}",
+            f"INSERT INTO {self.table} ({names}) SELECT {names} FROM {self.staging} {batch}",
+            f"DELETE FROM {self.ledger} {batch}",
+            f"INSERT INTO {self.ledger} (query_id, batch_id, row_count, committed) {counted}",
+            f"DELETE FROM {self.staging} {batch}",
+        ]
+
+    def transact(self, spark, statements: Sequence[str], query: str, batch_id: int) -> None:
+        """Run the statements for a batch in one transaction, on the driver, over the JVM's JDBC driver."""
+        jvm = spark.sparkContext._jvm  # noqa: SLF001 - the JVM's JDBC driver manager
         props = jvm.java.util.Properties()
         for k in ("user", "password"):
             if k in self.props:
@@ -159,20 +190,30 @@ class JdbcTable:
             jvm.java.lang.Class.forName(self.props["driver"])
         conn = jvm.java.sql.DriverManager.getConnection(self.url, props)
         try:
-            st = conn.prepareStatement(self.delete_statement())
-            st.setString(1, query)
-            st.setLong(2, batch_id)
-            st.executeUpdate()
+            conn.setAutoCommit(False)
+            try:
+                for statement in statements:
+                    st = conn.prepareStatement(statement)
+                    st.setString(1, query)
+                    st.setLong(2, batch_id)
+                    st.executeUpdate()
+                    st.close()
+                conn.commit()
+            except Exception:
+                conn.rollback()
+                raise
         finally:
             conn.close()
 
-    def append(self, rows: DataFrame) -> None:
-        rows.write.jdbc(self.url, self.table, mode="append", properties=self.props)
+    def stage(self, rows: DataFrame) -> None:
+        rows.write.jdbc(self.url, self.staging, mode="append", properties=self.props)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        query = query_id(batch)
-        self.delete_batch(batch, query, batch_id)
-        self.append(batch.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint")}))
+        query, spark = query_id(batch), batch.sparkSession
+        rows = batch.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint")})
+        self.transact(spark, self.clear_statements(), query, batch_id)
+        self.stage(rows)
+        self.transact(spark, self.swap_statements(rows.columns), query, batch_id)
 
 
 def fan_out(*writers: BatchWriter, shape: Callable[[DataFrame, int], DataFrame] | None = None) -> BatchWriter:

@@ -7,8 +7,8 @@ returns the final result as a batch DataFrame.
 A replay loses nothing, in whatever order its files come: the query runs in update
 mode without a watermark, so every window stays open. Its state is one row per group (use the
 RocksDB state store, which ``get_session`` sets, so that it need not fit in memory). Each
-micro-batch writes the groups it changed to ``<out>/batch_id=<n>`` (overwritten if the batch is
-re-run after a failure, so nothing doubles). The final table is the newest row
+micro-batch writes the groups it changed to an update log (``streaming.update_log``), which a batch
+that runs again cannot double and which is merged as it grows. The final table is the newest row
 per group, a partial-then-final aggregate. Nothing passes through the driver.
 
 Streams hold plain sums only. What has to be folded (``max`` over ids, panes into
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,10 +28,13 @@ from clickpulse.operators.windows import cat_panes, cat_rows, item_counts, item_
 from clickpulse.plans.catalog import CAT_SIZE, CAT_SLIDE, ITEM_WIDTH, MEMBER_WIDTH, PROVINCE_WIDTH
 from clickpulse.session import scratch_path
 from clickpulse.sources.testdata import TABLE_SCHEMAS, read_table, user_behavior
+from clickpulse.streaming.running import RunningTotals
+from clickpulse.streaming.update_log import UpdateLog, latest_per_key
 
-BATCH_ID = "batch_id"
 #: Micro-batches of the registered replays.
 REPLAY_BATCHES = 3
+#: How late an event may come at the registered gate.
+GATE_LATENESS = "10 days"
 
 
 def replay_events(
@@ -76,23 +78,19 @@ def shuffled_replay(spark: SparkSession, sf_dir: str, batches: int = REPLAY_BATC
     return replay_events(spark, path, "_file=*/*.parquet", max(1, -(-files // batches)))
 
 
-def latest_per_key(updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Newest version of each row in an update log (highest ``batch_id`` per key)."""
-    values = [c for c in columns if c not in keys]
-    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(BATCH_ID)).alias("_v"))
-    return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]).select(*columns)
+def start_update_log(df: DataFrame, name: str, out: str, checkpoint: str, keys: Sequence[str]) -> StreamingQuery:
+    """Start ``df`` in update mode over all input available now, writing changed rows to the log at ``out``."""
+    return start_updates(df, name, UpdateLog(df.sparkSession, out, df.schema, keys).write, checkpoint)
 
 
-def start_update_log(df: DataFrame, name: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Start ``df`` in update mode over all input available now, writing changed rows to ``out``."""
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{BATCH_ID}={batch_id}")
-
+def start_updates(
+    df: DataFrame, name: str, write: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
+    """Start ``df`` in update mode over all input available now; ``write`` gets the changed rows of each batch."""
     return (
         df.writeStream.queryName(f"{name}_{checkpoint.rsplit('-', 1)[-1].rsplit('/', 1)[-1]}")
         .outputMode("update")
-        .foreachBatch(write_batch)
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -113,23 +111,13 @@ def run_to_table(
     """
     spark = df.sparkSession
     out = out or scratch_path(spark, "tables", name)
-    start_update_log(df, name, out, checkpoint or scratch_path(spark, "streams", name)).awaitTermination()
+    start_update_log(df, name, out, checkpoint or scratch_path(spark, "streams", name), keys).awaitTermination()
     return read_update_log(spark, out, df, keys)
 
 
 def read_update_log(spark: SparkSession, out: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The newest rows of the log; empty if no batch has written one. Any other read error is raised."""
-    try:
-        updates = spark.read.schema(f"{_ddl(df)}, {BATCH_ID} bigint").parquet(out)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], df.schema)
-    return latest_per_key(updates, keys, df.columns)
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return UpdateLog(spark, out, df.schema, keys).read()
 
 
 def _replay(
@@ -173,7 +161,69 @@ def q_stream_item_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_grand_rows(_replay(spark, sf_dir, "item_grand_total", item_grand_counts, keys))
 
 
+def q_stream_member_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6, running, as a stream: totals since the start after each window, kept up batch by batch."""
+    view = stream_view(spark, sf_dir, shuffled_replay(spark, sf_dir))
+    windows = member_total(view, width=MEMBER_WIDTH)
+    totals = RunningTotals(spark, scratch_path(spark, "tables", "member_running"), windows.schema, MEMBER_WIDTH)
+    start_updates(windows, "member_running", totals, scratch_path(spark, "streams", "member_running")).awaitTermination()
+    return totals.read()
+
+
+def q_stream_csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3, J5 as a stream: the log arrives in files, the feed is stopped in the middle and started again."""
+    from clickpulse.functions.events import parse_events
+    from clickpulse.plans.catalog import user_log_lines
+    from clickpulse.plans.jobs import start_feed
+    from clickpulse.schema import EVENT_COLUMNS
+
+    log, out, checkpoint = (scratch_path(spark, "feed", k) for k in ("log", "messages", "checkpoint"))
+    lines = user_log_lines(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(2)))
+    for part in range(2):
+        lines.where(F.col("_part") == part).select("value").write.mode("append").text(log)
+        start_feed(spark, log, out, checkpoint, available_now=True).awaitTermination()
+    messages = spark.read.schema("value string").text(out)
+    return parse_events(messages).select(*[c for c in EVENT_COLUMNS if c != "event_ms"])
+
+
+def q_gate_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, out of order, that each job counts, rejects, or gets too late, with ten days' allowance.
+
+    Messages come in ``REPLAY_BATCHES`` files by event id, one micro-batch each; ``counted`` is what the job
+    itself adds up from what the gate passed on.
+    """
+    from clickpulse.plans import jobs
+    from clickpulse.plans.catalog import event_settings
+    from clickpulse.sources.testdata import raw_messages
+    from clickpulse.streaming import gate
+
+    src, root, checkpoints = (scratch_path(spark, "gate", k) for k in ("messages", "feeds", "checkpoints"))
+    settings = event_settings(watermark=GATE_LATENESS)
+    messages = raw_messages(spark, sf_dir).withColumn("_part", F.col("event_id") % REPLAY_BATCHES)
+    for part in range(REPLAY_BATCHES):
+        messages.where(F.col("_part") == part).select("value").write.mode("append").text(src)
+        stream = spark.readStream.schema("value string").text(src)
+        gate.start_gate(stream, root, settings, f"{checkpoints}/gate", available_now=True).awaitTermination()
+    counted = None
+    for job in jobs.JOBS:
+        events = gate.gated_events(spark, root, job, settings, bounded=True)
+        sums, keys, fold = jobs.bounded_metric(events, job, settings)
+        table = fold(run_to_table(sums, f"gate_{job}", keys))
+        counters = [F.col(c) for c in table.columns if c.endswith("_count")]
+        windows = 1
+        if job == "cat_window":
+            size, slide = gate.job_windows(job, settings)
+            windows = size // slide
+        total = F.coalesce(F.sum(sum(counters[1:], counters[0])), F.lit(0)) / windows
+        row = table.agg(total.cast("bigint").alias("counted")).select(F.lit(job).alias("job"), "counted")
+        counted = row if counted is None else counted.unionByName(row)
+    return gate.gate_balance(spark, root).join(counted, "job")
+
+
 STREAM_QUERIES = {
+    "stream_csv_feed": q_stream_csv_feed,
+    "gate_balance": q_gate_balance,
+    "stream_member_running_total": q_stream_member_running_total,
     "stream_member_total": q_stream_member_total,
     "stream_item_total": q_stream_item_total,
     "stream_cat_window": q_stream_cat_window,

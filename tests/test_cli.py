@@ -44,6 +44,19 @@ def test_parser_settings():
     assert a.cat_size == "2 minutes" and a.strict is True and a.member_width is None
 
 
+def test_password_comes_from_a_file_or_the_environment(tmp_path, monkeypatch):
+    from clickpulse import __main__ as cli
+
+    monkeypatch.setenv(cli.PASSWORD_VARIABLE, "from the environment")
+    run = ["run", "--sink", "jdbc", "--jdbc-url", "jdbc:none", "--user", "u"]
+    assert cli._writer(parser().parse_args(run))("t").props["password"] == "from the environment"
+    (tmp_path / "secret").write_text("from a file\n")
+    given = parser().parse_args([*run, "--password-file", str(tmp_path / "secret")])
+    assert cli._writer(given)("t").props["password"] == "from a file"
+    monkeypatch.delenv(cli.PASSWORD_VARIABLE)
+    assert "password" not in cli._writer(parser().parse_args(run))("t").props
+
+
 def test_event_time_needs_a_watermark(spark, scratch):
     src = scratch("cli_empty")
     raw_messages(spark, SF001).select("value").limit(1).write.text(src)

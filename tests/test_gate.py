@@ -1,0 +1,173 @@
+"""The gate: one parse for all jobs, late events in a feed of their own, offsets entered."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickpulse.plans import jobs
+from clickpulse.plans.catalog import event_settings
+from clickpulse.session import list_folder
+from clickpulse.sources import kafka, sinks
+from clickpulse.sources.testdata import raw_messages
+from clickpulse.streaming import gate
+from conftest import SF001
+from test_plans import plan_text
+
+LATE = event_settings(watermark="5 days")
+PARTS = 4
+
+
+@pytest.fixture(scope="module")
+def messages(spark):
+    """Messages with a place in a topic: the partition is the micro-batch, ids stand for offsets."""
+    m = raw_messages(spark, SF001)
+    return m.select("value", (F.col("event_id") % PARTS).cast("int").alias("partition"), F.col("event_id").alias("offset")).persist()
+
+
+def arrive(spark, messages, src, part):
+    messages.where(F.col("partition") == part).coalesce(1).write.mode("append").parquet(src)
+    return spark.readStream.schema("value string, partition int, offset bigint").parquet(src)
+
+
+@pytest.fixture(scope="module")
+def gated(spark, messages):
+    """All messages through the gate, in four micro-batches out of order, with a restart before each."""
+    from clickpulse.session import scratch_path
+
+    src, root, ckpt = (scratch_path(spark, "test", k) for k in ("gate_src", "gate_root", "gate_ckpt"))
+    for part in range(PARTS):
+        stream = arrive(spark, messages, src, part)
+        gate.start_gate(stream, root, LATE, ckpt, available_now=True).awaitTermination()
+    return root
+
+
+def lost(messages, job):
+    """Late messages of a job by definition: offset -> batch, over the watermarks of the batches before."""
+    size, slide = gate.job_windows(job, LATE)
+    rows = gate.routed(messages, LATE, None, "partition", "offset").select(
+        "partition", "offset", F.unix_micros("event_time").alias("us"),
+        F.filter("reasons", lambda r: r["job"] == job)[0]["reason"].alias("reason"),
+        F.exists("reasons", lambda r: r["reason"].isNull()).alias("usable"),
+    ).collect()
+    out, latest = set(), None
+    for part in range(PARTS):
+        own = [r for r in rows if r.partition == part]
+        if latest is not None:
+            mark = latest - 5 * 86_400_000_000
+            out |= {r.offset for r in own if r.reason is None and r.us - r.us % slide + size <= mark}
+        latest = max([r.us for r in own if r.usable] + ([latest] if latest is not None else []))
+    return out
+
+
+@pytest.mark.parametrize("job", list(jobs.JOBS))
+def test_counted_rejected_and_late_are_all_messages(spark, messages, gated, job, scratch):
+    late = {r.offset for r in spark.read.parquet(f"{gated}/late").where(F.col("job") == job).collect()}
+    assert late == lost(messages, job) and late
+    balance = {r.job: r for r in gate.gate_balance(spark, gated).collect()}[job]
+    assert balance.messages == messages.count() == balance.accepted + balance.rejected + balance.late
+    assert balance.late == len(late)
+    want = jobs.job_rejects(messages, job, LATE).groupBy("reject_reason").count().collect()
+    bad = spark.read.parquet(f"{gated}/rejects").where(F.col("job") == job)
+    assert sorted(map(tuple, bad.groupBy("reject_reason").count().collect())) == sorted(map(tuple, want))
+    # The job behind the gate drops nothing, and what it emits is the batch metric of the accepted events.
+    out = scratch("rows")
+    metric = jobs.job_metric(gate.gated_events(spark, gated, job, LATE), job, LATE)
+    fold = jobs.JOBS[job].fold
+    q = jobs.start_job(metric, f"gated_{job}", sinks.fan_out(sinks.parquet(out), shape=lambda b, i: fold(b)),
+                       checkpoint=scratch("ckpt"), available_now=True)
+    q.awaitTermination()
+    dropped = [op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators]
+    assert dropped and not any(dropped)
+    accepted = spark.read.schema(gate.ACCEPTED_DDL).parquet(f"{gated}/accepted").where(F.array_contains("jobs", job))
+    assert accepted.count() == balance.accepted
+    full = jobs.job_metric(accepted, job, LATE)
+    # Spark moves the click filter of the category job below its watermark.
+    seen = accepted.where("action_code = 0") if job == "cat_window" else accepted
+    last = seen.agg(F.max("event_time")).first()[0].replace(tzinfo=None)
+    closed = full.where(F.col("window_end") <= F.expr(f"TIMESTAMP_NTZ'{last}' - INTERVAL 5 DAYS"))
+    got = spark.read.parquet(out).select(*full.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, closed.collect())) and got.count() > 0
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, messages, gated):
+    def state():
+        feeds = {f: list_folder(spark, f"{gated}/{f}") for f in ("accepted", "rejects", "late", "balance", "offsets", "clock")}
+        rows = {f: sorted(map(str, spark.read.parquet(f"{gated}/{f}").collect())) for f in feeds}
+        return feeds, rows
+
+    before = state()
+    again = gate.routed(messages.where("partition = 2"), LATE, None, *kafka.PLACE)
+    run = gate.Gate(spark, gated, LATE)
+    run(again, 2)
+    assert state() == before
+    # An attempt that broke off leaves a draft that no reader sees, and the next attempt removes.
+    spark.range(1).write.parquet(f"{gated}/accepted/_batch_id=2")
+    run(again, 2)
+    assert state() == before
+
+
+def test_offsets_are_entered_and_become_a_start(spark, messages, gated):
+    ledger = kafka.OffsetLedger(spark, f"{gated}/offsets")
+    want = {r.partition: r.n for r in messages.groupBy("partition").agg((F.max("offset") + 1).alias("n")).collect()}
+    assert ledger.committed() == want and len(want) == PARTS
+
+
+def test_reject_feed_parses_once_and_equals_the_four(spark, messages):
+    got = gate.reject_feed(messages, LATE, None, "offset")
+    plan = plan_text(got)
+    assert plan.count("from_json(") == 1 and "hashpartitioning" not in plan
+    four = None
+    for job in jobs.JOBS:
+        one = jobs.job_rejects(messages, job, LATE, "offset").withColumn("job", F.lit(job))
+        four = one if four is None else four.unionByName(one)
+    assert sorted(map(str, got.select(*four.columns).collect())) == sorted(map(str, four.collect()))
+
+
+def test_dashboards_behind_the_gate(spark, messages, scratch):
+    src, root = scratch("dash_src"), scratch("dash_root")
+    stream = arrive(spark, messages, src, 0)
+    outs = {}
+
+    def writer(table):
+        outs[table] = scratch(table)
+        return sinks.parquet(outs[table])
+
+    s = event_settings(watermark="0 seconds")
+    (spark.createDataFrame([], gate.ACCEPTED_DDL).write.parquet(f"{root}/accepted/batch_id=-1"))
+    running = jobs.start_dashboards(stream, writer, s, checkpoint_root=scratch("dash_ckpt"), gate=root)
+    try:
+        assert sorted(running.queries) == ["cat_window", "gate", "item_total", "member_total", "province_window"]
+        running.queries["gate"].processAllAvailable()
+        arrive(spark, messages, src, 1)
+        running.queries["gate"].processAllAvailable()
+        for q in running.queries.values():
+            q.processAllAvailable()
+    finally:
+        running.stop()
+    assert not running.errors
+    for path in outs.values():
+        assert spark.read.parquet(path).count() > 0
+    with pytest.raises(ValueError, match="rejects"):
+        jobs.start_dashboards(stream, writer, s, rejects=writer, gate=root)
+
+
+def test_gate_needs_event_time_and_a_watermark(spark, messages, scratch):
+    for s in (jobs.JobSettings(), jobs.JobSettings(time="event")):
+        with pytest.raises(ValueError, match="watermark"):
+            gate.start_gate(messages, scratch("g"), s, scratch("c"))
+
+
+def test_message_without_any_usable_time_moves_no_clock(spark, scratch):
+    root = scratch("clock")
+    run = gate.Gate(spark, root, LATE)
+    bad = spark.createDataFrame([("no json",), (None,)], "value string")
+    run(gate.routed(bad, LATE), 0)
+    assert run.watermark(0) is None and run.watermark(1) is None
+    good = spark.createDataFrame([('{"action":"0","timestamp":1600000000000,"province":"a","catId":"1"}',)], "value string")
+    run(gate.routed(good, LATE), 1)
+    assert run.watermark(1) is None and run.watermark(2) == 1_600_000_000_000_000 - 5 * 86_400_000_000
+    run(gate.routed(bad, LATE), 2)
+    assert run.watermark(3) == run.watermark(2)
+    balance = gate.gate_balance(spark, root).collect()
+    assert {(r.messages, r.accepted, r.rejected, r.late) for r in balance} == {(5, 1, 4, 0)}

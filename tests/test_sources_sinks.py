@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -92,32 +93,125 @@ def test_sink_int_overflow_fails(spark):
         sinks.sink_rows(df, "realtime_province_window").collect()
 
 
-class RecordingJdbc(sinks.JdbcTable):
-    def __init__(self, path):
-        super().__init__("jdbc:none", "realtime_province_window", user="u", password="p")
-        self.path, self.calls = path, []
+class Crash(Exception):
+    pass
 
-    def delete_batch(self, batch, query, batch_id):
-        self.calls.append(("delete", query, batch_id))
 
-    def append(self, rows):
-        self.calls.append(("append", rows.count()))
-        rows.write.mode("append").parquet(self.path)
+class TablesInMemory(sinks.JdbcTable):
+    """The sink against tables that this test keeps: statements are applied to a copy, which replaces the tables on commit.
 
+    ``look`` is called before and after every step that a reader could fall between; ``fail`` names the step
+    that breaks off.
+    """
 
-def test_jdbc_sink_deletes_then_appends_per_batch(spark, scratch):
-    w = RecordingJdbc(scratch("jdbc"))
-    rows = sinks.sink_rows(metric_rows(spark), "realtime_province_window")
+    def __init__(self, look=None, fail=None):
+        super().__init__("jdbc:none", "realtime_province_window", user="u", password="p")
+        self.tables = {self.table: [], self.staging: [], self.ledger: []}
+        self.look, self.fail, self.steps = look or (lambda: None), fail, 0
+
+    def _step(self):
+        self.steps += 1
+        if self.steps == self.fail:
+            raise Crash
+        self.look()
+
+    def transact(self, spark, statements, query, batch_id):
+        self._step()
+        work = {name: list(rows) for name, rows in self.tables.items()}
+        own = {"query_id": query, "batch_id": batch_id}
+        mine = lambda r: all(r[k] == v for k, v in own.items())
+        for statement in statements:
+            self._step()
+            assert statement.count("?") == 2
+            if m := re.fullmatch(r"DELETE FROM (\S+) WHERE query_id = \? AND batch_id = \?", statement):
+                work[m[1]] = [r for r in work[m[1]] if not mine(r)]
+            elif m := re.fullmatch(r"INSERT INTO (\S+) \(([^)]*)\) SELECT ([^()]*) FROM (\S+) WHERE .*", statement):
+                assert m[2] == m[3]
+                work[m[1]] += [{c: r[c] for c in m[2].split(", ")} for r in work[m[4]] if mine(r)]
+            elif m := re.fullmatch(r"INSERT INTO (\S+) .* SELECT query_id, batch_id, COUNT\(\*\).* FROM (\S+) WHERE .*", statement):
+                count = sum(map(mine, work[m[2]]))
+                work[m[1]] += [own | {"row_count": count}] * bool(count)
+            else:
+                raise AssertionError(statement)
+        self._step()
+        self.tables = work  # commit
+        self._step()
+
+    def stage(self, rows):
+        self._step()
+        for row in rows.collect():  # a failure may leave a part of the rows
+            self.tables[self.staging].append(row.asDict())
+            self._step()
+
+    def rows(self, query, batch_id):
+        return sorted(
+            str(r["province"]) for r in self.tables[self.table] if (r["query_id"], r["batch_id"]) == (query, batch_id)
+        )
+
+
+def provinces(spark, *names):
+    one = metric_rows(spark).drop("province")
+    rows = spark.createDataFrame([(n,) for n in names], "province string").join(one)
+    return sinks.sink_rows(rows, "realtime_province_window")
+
+
+def test_jdbc_batches_replace_themselves(spark):
+    w = TablesInMemory()
     with sinks.writing_as("q1"):
-        w(rows, 3)
-        w(rows, 3)  # replayed batch
+        w(provinces(spark, "a", "b"), 3)
+        w(provinces(spark, "c"), 3)  # the batch runs again
+        w(provinces(spark, "d"), 4)
     with sinks.writing_as("q2"):
-        w(rows, 3)  # another checkpoint: its own rows
-    assert w.calls == [c for q in ("q1", "q1", "q2") for c in (("delete", q, 3), ("append", 1))]
-    assert w.delete_statement() == "DELETE FROM realtime_province_window WHERE query_id = ? AND batch_id = ?"
+        w(provinces(spark, "e"), 3)  # another checkpoint: its own rows
+    assert (w.rows("q1", 3), w.rows("q1", 4), w.rows("q2", 3)) == (["c"], ["d"], ["e"])
+    ledger = {(r["query_id"], r["batch_id"]): r["row_count"] for r in w.tables[w.ledger]}
+    assert ledger == {("q1", 3): 1, ("q1", 4): 1, ("q2", 3): 1} and not w.tables[w.staging]
     assert w.props["batchsize"] == "100" and w.props["numPartitions"] == "8"
-    stored = spark.read.parquet(w.path)
-    assert {(r.query_id, r.batch_id) for r in stored.collect()} == {("q1", 3), ("q2", 3)}
+
+
+def test_jdbc_readers_see_the_old_or_the_new_batch(spark):
+    seen = []
+    w = TablesInMemory(look=lambda: seen.append(w.rows("q", 1)))
+    with sinks.writing_as("q"):
+        w(provinces(spark, "a", "b"), 1)
+        assert seen[0] == [] and set(map(tuple, seen)) == {(), ("a", "b")}
+        seen.clear()
+        w(provinces(spark, "c", "d", "e"), 1)
+    assert set(map(tuple, seen)) == {("a", "b"), ("c", "d", "e")} and len(seen) > 12
+    assert seen == sorted(seen)  # from the old one to the new one, once
+
+
+def test_jdbc_failure_at_any_step_leaves_the_old_batch(spark):
+    old, new = (provinces(spark, *names).coalesce(1).persist() for names in ("a", ("b", "c")))
+    steps = 0
+    for fail in range(1, 30):
+        w = TablesInMemory()
+        with sinks.writing_as("q"):
+            w(old, 1)
+            w.steps, w.fail = 0, fail
+            try:
+                w(new, 1)
+            except Crash:
+                steps += 1
+                committed = w.rows("q", 1)
+                assert committed in (["a"], ["b", "c"])
+                assert {r["row_count"] for r in w.tables[w.ledger]} == {len(committed)}
+            w.fail = None
+            w(new, 1)  # the restart runs the batch again
+        assert w.rows("q", 1) == ["b", "c"] and not w.tables[w.staging]
+    assert steps > 12
+
+
+def test_jdbc_empty_batch_and_ddl(spark):
+    w = TablesInMemory()
+    with sinks.writing_as("q"):
+        w(provinces(spark, "a"), 1)
+        w(provinces(spark, "a").limit(0), 1)
+    assert w.rows("q", 1) == [] and w.tables[w.ledger] == []
+    ddl = w.create_statements(provinces(spark, "a"))
+    assert len(ddl) == 5 and "click_count INTEGER" in ddl[0] and "window_start TIMESTAMP" in ddl[0]
+    assert ddl[4].startswith("CREATE TABLE realtime_province_window_batches (query_id VARCHAR(64) NOT NULL")
+
 
 
 def test_parquet_sink_rewrites_replayed_batch(spark, scratch):

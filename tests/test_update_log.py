@@ -1,0 +1,189 @@
+"""The update log of a stream, its merges, and what a crash or a reader in between sees. A6 on top of it."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickpulse.operators.rollups import member_running_total
+from clickpulse.operators.windows import member_total
+from clickpulse.plans import jobs
+from clickpulse.plans.catalog import MEMBER_WIDTH
+from clickpulse.session import list_folder
+from clickpulse.sources.testdata import raw_messages, user_behavior
+from clickpulse.streaming import update_log as U
+from clickpulse.streaming.running import RunningTotals
+from conftest import SF001
+
+SCHEMA = "k long, v long, note string"
+
+
+def batch(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).coalesce(1)
+
+
+def log_at(spark, path, keys=("k",), fanout=4):
+    return U.UpdateLog(spark, path, spark.createDataFrame([], SCHEMA).schema, keys, fanout)
+
+
+def table(log, **more):
+    return {tuple(r[k] for k in log.keys): (r.v, r.note) for r in log.read(**more).collect()}
+
+
+def write(log, spark, model, batch_id, rng):
+    rows = {rng.randrange(30): (rng.randrange(10**6), f"b{batch_id}") for _ in range(6)}
+    log.write(batch(spark, [(k, *v) for k, v in rows.items()]), batch_id)
+    model.update({(k,): v for k, v in rows.items()})
+
+
+def test_fifty_runs_are_read_from_a_few_files(spark, scratch):
+    rng, model = random.Random(1), {}
+    log = log_at(spark, scratch("log"))
+    most = 0
+    for b in range(50):
+        write(log, spark, model, b, rng)
+        most = max(most, len(log.parts()))
+    assert table(log) == model
+    # 49 batches before the last: three of 16, and one; nothing else is opened, and little else is kept.
+    assert [(s.first, s.last, s.level) for s in log.parts()] == [(0, 15, 2), (16, 31, 2), (32, 47, 2), (48, 48, 0), (49, 49, 0)]
+    assert most <= 10 and len(log.read().inputFiles()) <= 5
+    assert len(list_folder(spark, f"{log.path}/{U.SEGMENTS}")) <= 8
+    assert len([n for n in list_folder(spark, log.path) if n.startswith("batch_id=")]) <= 10
+    assert len(list_folder(spark, f"{log.path}/{U.MANIFEST}")) <= 2
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, scratch):
+    log = log_at(spark, scratch("again"), fanout=2)
+    for b in range(6):
+        log.write(batch(spark, [(1, b, "first"), (b + 10, b, "first")]), b)
+    log.write(batch(spark, [(1, 50, "again")]), 5)
+    assert table(log) == {(1,): (50, "again")} | {(b + 10,): (b, "first") for b in range(5)}
+
+
+@pytest.mark.parametrize("step", ["_write_segment", "_write_manifest", "_sweep"])
+@pytest.mark.parametrize("before", [True, False], ids=["before", "after"])
+def test_a_crash_in_a_merge_loses_nothing(spark, scratch, monkeypatch, step, before):
+    rng, model = random.Random(2), {}
+    log = log_at(spark, scratch("crash"), fanout=2)
+    for b in range(4):
+        write(log, spark, model, b, rng)
+    real = getattr(U.UpdateLog, step)
+
+    def crash(self, *a):
+        if not before:
+            real(self, *a)
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(U.UpdateLog, step, crash)
+    with pytest.raises(RuntimeError, match="crash"):
+        write(log, spark, model, 4, random.Random(9))
+    rows = {random.Random(9).randrange(30): None}
+    assert rows  # the same draws again below
+    monkeypatch.setattr(U.UpdateLog, step, real)
+    model.update(table(log_at(spark, log.path, fanout=2)))
+    # The batch runs again, as after a restart, and the log goes on.
+    write(log, spark, model, 4, random.Random(9))
+    assert table(log) == model
+    for b in range(5, 12):
+        write(log, spark, model, b, rng)
+        assert table(log) == model
+    named = {s.name for s in log.manifest()[1]}
+    kept = set(list_folder(spark, f"{log.path}/{U.SEGMENTS}"))
+    assert named <= kept and len(kept - named) <= 2 * len(named) + 2
+
+
+def test_readers_between_any_two_steps_see_each_batch_once(spark, scratch, monkeypatch):
+    rng, model = random.Random(3), {}
+    log = log_at(spark, scratch("readers"), fanout=2)
+    seen = []
+    for step in ("_write_segment", "_write_manifest", "_sweep"):
+        real = getattr(U.UpdateLog, step)
+
+        def looked(self, *a, real=real):
+            seen.append(table(log))
+            real(self, *a)
+            seen.append(table(log))
+
+        monkeypatch.setattr(U.UpdateLog, step, looked)
+    for b in range(8):
+        after = dict(model)
+        write(log, spark, after, b, rng)
+        assert seen == [after] * len(seen)
+        seen.clear()
+        model = after
+
+
+def test_log_of_one_row_and_of_none(spark, scratch):
+    log = log_at(spark, scratch("one"), keys=(), fanout=2)
+    assert log.read().collect() == []
+    for b in range(7):
+        log.write(batch(spark, [(7, b, "x")] if b != 6 else []), b)
+    assert [tuple(r) for r in log.read().collect()] == [(7, 5, "x")]
+    assert [tuple(r) for r in log.read(upto=4).collect()] in ([(7, 4, "x")], [(7, 5, "x")])
+
+
+# -- running totals
+
+
+def as_set(df):
+    return sorted(tuple(map(str, r)) for r in df.collect())
+
+
+def test_running_totals_batch_by_batch(spark, scratch, monkeypatch):
+    """After each batch the table is the batch operator's over all events so far, in many buckets."""
+    from clickpulse.operators import rollups
+
+    monkeypatch.setattr(rollups, "BUCKET_ROWS", 8)
+    events = user_behavior(spark, SF001).withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(3))).persist()
+    windows = member_total(events, width=MEMBER_WIDTH)
+    written = {}
+    totals = RunningTotals(
+        spark, scratch("running"), windows.schema, MEMBER_WIDTH,
+        writer=lambda rows, b: written.update({r.window_start: tuple(r) for r in rows.collect()}),
+    )
+    for b in range(3):
+        so_far = member_total(events.where(F.col("part") <= b), width=MEMBER_WIDTH)
+        # Update mode: the windows that the batch touched, with their counts so far.
+        new = member_total(events.where(F.col("part") == b), width=MEMBER_WIDTH).select("window_start")
+        changed = so_far.join(new, "window_start", "left_semi")
+        totals(changed, b)
+        if b == 1:
+            totals(changed, b)  # runs again
+        want = member_running_total(events.where(F.col("part") <= b), width=MEMBER_WIDTH)
+        assert as_set(totals.read()) == as_set(want)
+    rows = want.collect()
+    assert len(rows) > 100
+    now = totals.now().first()
+    assert tuple(now) == tuple(max(r[c] for r in rows) for c in rollups.MEMBER_COUNTS)
+    # Later buckets alone need the offsets of the earlier ones.
+    middle = totals.totals.read().agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY bucket)")).first()[0]
+    late = as_set(totals.read(since=middle))
+    assert 0 < len(late) < len(rows) and set(late) <= set(as_set(want))
+    last = {r.window_start: tuple(r) for r in rows}
+    assert all(written[r.window_start] == last[r.window_start] for r in new.collect())
+    events.unpersist()
+
+
+def test_running_totals_of_closed_windows_as_a_job(spark, scratch):
+    """J1 in append mode, restarted in the middle: each closed window is written once, with its final running total."""
+    src, out, ckpt = scratch("src"), scratch("out"), scratch("ckpt")
+    settings = jobs.JobSettings(time="event", watermark="0 seconds", member_width="3 hours")
+    messages = raw_messages(spark, SF001)
+    cut = user_behavior(spark, SF001).agg(F.expr("percentile(event_ms, 0.6)")).first()[0]
+    timed = messages.withColumn("late", F.get_json_object("value", "$.timestamp").try_cast("bigint") > cut)
+    found = []
+    for late in (False, True):
+        part = timed.where("late" if late else "late IS NULL OR NOT late")
+        part.select("value").coalesce(1).write.mode("append").text(src)
+        q = jobs.start_running_totals(
+            spark.readStream.schema("value string").text(src), lambda rows, b: found.extend(rows.collect()),
+            settings, out, ckpt, available_now=True,
+        )
+        q.awaitTermination()
+    events = jobs.timed_events(messages, "member_total", settings)
+    last = events.agg(F.max("event_time")).first()[0].replace(tzinfo=None)
+    want = member_running_total(events, width="3 hours").where(F.col("window_end") <= F.lit(last))
+    columns = want.columns
+    assert sorted(tuple(str(r[c]) for c in columns) for r in found) == as_set(want) and len(found) > 100
