@@ -383,7 +383,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # One list per text, not longer than the text, whatever the number of its rows. Texts without any are not moved.
     named = {c: f"_{c}" for c in IDENTITY}
-    ranges = ranges.groupBy(*IDENTITY).agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    ranges = ranges.distinct().groupBy(*IDENTITY).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     ranges = stored(ranges.withColumnsRenamed(named), "suffix-ranges")
     spot = lambda *key: F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
     touched = bit_table(spot(*named.values()), ranges, FILTER_BITS)
