@@ -102,7 +102,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_digest(found: DataFrame) -> DataFrame:
-    """Counts of base spans by kind, their digest, and all spans as text."""
+    """Counts of base spans by kind, their digest, all spans as text, and the best score among them (null without any)."""
     base = F.filter("spans", lambda s: s["kind"] != "format")
 
     def joined(spans):
@@ -118,6 +118,7 @@ def secret_digest(found: DataFrame) -> DataFrame:
         count("hex"),
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.array_max(F.transform("spans", lambda s: s["score"])).alias("top_score"),
     )
 
 

@@ -7,8 +7,7 @@ kind a prefix tree is built whose statistically compatible states are merged
 automaton is learned from ordinary long words. Then every other candidate, a maximal
 run of 12 or more of ``[A-Za-z0-9+/_.=-]`` that touches no base span, is scored by all
 automata. It is added as kind ``format`` if a format likes it about as well as its
-own examples (``Automaton.typical``) and prefers it to the words' automaton by
-``MARGIN`` in log probability per character.
+own examples (``Automaton.typical``) and its score reaches ``MARGIN``.
 
 Automata are learned from a bounded sample: per kind the ``EXAMPLES`` distinct
 strings with the least hashes, over all documents. All documents and candidates are scanned.
@@ -193,7 +192,11 @@ def _spans(formats: dict[str, Automaton], margin: float):
             out: list[list[dict]] = []
             for lo, hi, raw, offsets in chunks(batch["text"]):
                 part = Chunk(raw, offsets)
-                found = [(row, a, b, kind, 0.0) for row, a, b, kind in part.base]
+                likeness = np.zeros(len(part.base))
+                if kinds and word is not None and part.base:
+                    values = [v for _, v in part.values]
+                    likeness = np.max([f.score(values) for f in kinds], axis=0) - word.score(values)
+                found = [(*span, float(x)) for span, x in zip(part.base, likeness, strict=True)]
                 if kinds and word is not None and len(part.start):
                     a, size = part.start, part.end - part.start
                     scores = [f.score_spans(raw, a, size) for f in kinds]
@@ -222,7 +225,7 @@ def _spans(formats: dict[str, Automaton], margin: float):
 def find_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", examples: int = EXAMPLES, margin: float = MARGIN
 ) -> DataFrame:
-    """``doc_id, spans`` of every row: base spans (score 0) and added ones, by start, then kind."""
+    """``doc_id, spans`` of every row: base spans and added ones, by start, then kind, with scores (0 if nothing is learned)."""
     formats = learn_formats(docs, text_col, examples)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_spans(formats, margin), f"doc_id long, spans {SPANS}")

@@ -65,6 +65,47 @@ def test_learned_format_finds_what_the_patterns_miss(spark):
     assert (one.n_hex, one.spans, one.base_sha256) == (0, "format:6:21", hashlib.sha256(b"").hexdigest())
 
 
+def test_recall_and_false_positives_of_planted_formats(spark):
+    """Credentials of the labelled formats where no pattern sees them: a digit too short, or under a word that is no keyword."""
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    keys = lambda n: "".join(rng.choices(letters, k=n))
+    access = lambda n: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=n))
+    word = lambda: "".join(rng.choices("aeioulnrstdm", k=rng.randrange(12, 20)))
+    prose = lambda: " ".join(word() if rng.random() < 0.2 else "and then" for _ in range(60))
+    rows, planted = [], {}
+    for k in range(300):
+        secret = [f"digest {hexes(40)}", f"token = {keys(32)}", f"key {access(16)}"][k % 3]
+        rows.append((k, f"{prose()} {secret} {prose()}"))
+    for k in range(1000, 1150):
+        value = [hexes(15), keys(32), access(13)][k % 3]
+        before = prose()
+        planted[k] = (len(before) + 5, len(before) + 5 + len(value))
+        rows.append((k, f"{before} see {value} {prose()}"))
+    rows += [(k, prose()) for k in range(2000, 2300)]
+    found = {r.doc_id: r.spans for r in X.find_secrets(table(spark, rows)).collect()}
+    added = {d: [(s["start"], s["end"]) for s in spans if s["kind"] == "format"] for d, spans in found.items()}
+    assert all(digest(t)[3] == hashlib.sha256(",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in found[d] if s["kind"] != "format").encode()).hexdigest() for d, t in rows)
+    hit = sum(planted[d] in added[d] for d in planted)
+    false = sum(span != planted.get(d) for d, spans in added.items() for span in spans)
+    assert hit >= 0.9 * len(planted) and false == 0, (hit, false)
+    # Base spans are scored as well: real credentials well above the margin.
+    scores = [s["score"] for d in range(300) for s in found[d] if s["kind"] != "format"]
+    assert len(scores) >= 300 and np.quantile(scores, 0.05) > X.MARGIN
+
+
+def test_base_spans_that_look_like_words_score_low(spark):
+    rng = random.Random(3)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    prose = " ".join("".join(rng.choices("aeioulnrst", k=14)) for _ in range(300))
+    rows = [(k, f"token = {hexes(40)} {prose}") for k in range(120)] + [(900, "password: " + "".join(rng.choices("aeioulnrst", k=14)))]
+    found = {r.doc_id: r.spans for r in X.find_secrets(table(spark, rows)).collect()}
+    assert found[900][0]["kind"] == "assign" and found[900][0]["score"] < 0 < min(s["score"] for s in found[0])
+    one = secret_digest(X.find_secrets(table(spark, rows))).where("doc_id IN (0, 900)").orderBy("doc_id").collect()
+    assert one[0].top_score > 0 > one[1].top_score
+
+
 def test_automaton_tells_formats_apart():
     rng = random.Random(2)
     strings = ["ab" + "".join(rng.choices("01", k=10)) + "-" + "".join(rng.choices("xyz", k=4)) for _ in range(300)]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pyarrow as pa
@@ -61,6 +62,17 @@ def test_query_round_trips_every_document(spark):
     assert codec_digest(table(spark, [(1, "▁ x")])).first().round_trip
 
 
+def test_query_equals_the_library(spark):
+    """All columns of the query over whole tables, ids by the public library."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for r in docs:
+        ids = reference.encode(r.text or "")
+        want[r.doc_id] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), True)
+    got = {r.doc_id: tuple(r)[1:] for r in LLM_QUERIES["op2_sentencepiece"](spark, SF001).collect()}
+    assert got == want
+
+
 def test_other_models_are_refused():
     with pytest.raises(RuntimeError):
         piece_model("/nonexistent.model")

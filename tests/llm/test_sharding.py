@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from conftest import SF01
 from llm_data import odd_rows, table
 
@@ -29,6 +30,42 @@ def test_query(spark):
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 8, zlib.crc32(data), "rows", None)
 
 
+def xx(data, seed=42):
+    return xxhash.xxh64(data, seed=seed).intdigest()
+
+
+def mod(h, n):
+    return (h - 2**64 if h >= 2**63 else h) % n
+
+
+def placed(rows, n):
+    """The placement by sorting whole sources, and then all rows: ``(doc_id, text crc) -> (shard, slot)``."""
+    by_source = defaultdict(list)
+    for doc_id, text, source in rows:
+        data = (text or "").encode()
+        h = xx(doc_id.to_bytes(8, "little", signed=True))
+        h = xx((17).to_bytes(4, "little"), xx(zlib.crc32(data).to_bytes(8, "little"), h))
+        by_source[source].append((mod(h, 2**52), doc_id, len(data) + 8, zlib.crc32(data)))
+    order = []
+    for source, own in by_source.items():
+        seed = 42 if source is None else xx(source.encode())
+        shift = mod(xx((18).to_bytes(4, "little"), seed), 2**52) / float(2**52)
+        order += [((k + shift) / len(own), source or "", r) for k, r in enumerate(sorted(own))]
+    order.sort()
+    out = {}
+    for place, (_, _, r) in enumerate(order):
+        shard = place * n // len(order)
+        out[r[1], r[3]] = (shard, place - (shard * len(order) + n - 1) // n)
+    return out
+
+
+def test_query_equals_plain_sorting(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").collect()
+    want = placed([(r.doc_id, r.text, r.source) for r in docs], 24)
+    got = {(r.doc_id, r.text_crc32): (r.shard, r.slot) for r in LLM_QUERIES["op6_sharding"](spark, SF01).collect()}
+    assert got == want and len(got) == len(docs)
+
+
 @pytest.mark.parametrize("bucket_rows", [8_192, 7])
 def test_every_shard_has_the_mixture(spark, bucket_rows):
     docs = spark.createDataFrame([(k, f"t{k}", None, "hot" if k % 3 else f"s{k % 7}") for k in range(2_000)], "doc_id long, text string, x int, source string")
