@@ -1,7 +1,7 @@
 """Document fingerprints by order MinHash, with DataFrame functions only.
 
-The k-mers of a text are its runs of five words (see ``words``; a text of one to four words is one
-k-mer), numbered by occurrence. They are placed on a ring by hash, and the occurrences of a k-mer in
+The k-mers of a text are its runs of five words (a word is a run of characters other than
+``[\\x20\\x09-\\x0D]``; one to four words are one k-mer), numbered by occurrence. They are placed on a ring by hash, and the occurrences of a k-mer in
 text order. Entry m of the fingerprint looks at the ring from its own mark on: it takes the first
 ``TUPLE`` occurrence-numbered k-mers, puts them back into the order in which they stand in the
 text, and hashes that tuple. Turning one ring stands for many hash functions. Two texts agree in
@@ -43,9 +43,7 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """Words of the lower-cased (A-Z only) text."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
-    return F.array_remove(F.split(lower, " "), "")
+    return F.array_remove(F.split(text, "[ \\t-\\r]+"), "")
 
 
 def _kmers(words: Column, k: int = KMER_WORDS) -> Column:
@@ -60,46 +58,51 @@ def _kmers(words: Column, k: int = KMER_WORDS) -> Column:
 
 
 def _entry(kmers: Column, places: Column) -> Column:
-    """Hash of the k-mers at these places, in the order of the ring, with their occurrence numbers in text order."""
+    """Hash of the k-mers at these places (in text order), with their occurrence numbers.
+
+    Equal k-mers lie on the ring in text order and a tuple begins with the first of them, so what
+    comes before one in the tuple are all its earlier occurrences.
+    """
 
     def numbered(p: Column, t: Column) -> Column:
         kmer = F.get(kmers, p - 1)
         so_far = F.filter(F.slice(places, F.lit(1), t + 1), lambda q: F.get(kmers, q - 1) == kmer)
-        return F.struct(p.alias("place"), F.xxhash64(kmer, F.size(so_far)).alias("kmer"))
+        return F.xxhash64(kmer, F.size(so_far))
 
-    ordered = F.array_sort(F.transform(places, numbered))
-    whole = F.aggregate(ordered, F.lit(0).cast("bigint"), lambda h, x: F.xxhash64(h, x["kmer"]))
+    whole = F.aggregate(F.transform(places, numbered), F.lit(0).cast("bigint"), lambda h, x: F.xxhash64(h, x))
     # The low 32 bits, as a signed number.
     return (whole.bitwiseAND(F.lit(2**32 - 1).cast("bigint")) - 2**31).cast("int")
 
 
 def _signature(kmers: Column) -> Column:
     n = F.size(kmers)
-    # Low bits hold the place (from 1), the others the hash; marks have place 0.
-    bits = F.length(F.bin(n))
+    zero = F.lit(0).cast("bigint")
+    marks = F.array(*[F.lit(m).cast("bigint") for m in MARKS])
 
     def of(mask: Column) -> Column:
-        packed = F.transform(kmers, lambda v, i: v.bitwiseAND(mask).bitwiseOR((i + 1).cast("bigint")))
-        ring = F.array_sort(F.concat(packed, F.array(*[F.lit(m).cast("bigint") for m in MARKS])))
-        return _let(ring, lambda r: cut(r, F.bitwise_not(mask)))
-
-    def cut(ring: Column, low: Column) -> Column:
-        places = F.transform(ring, lambda e: e.bitwiseAND(low).cast("int"))
+        # ``coalesce`` says that there are no nulls: such arrays are sorted as plain numbers.
+        packed = F.transform(kmers, lambda v, i: F.coalesce(v.bitwiseAND(mask).bitwiseOR((i + 1).cast("bigint")), zero))
+        low = F.bitwise_not(mask)
+        ring = F.sort_array(F.concat(packed, marks))
+        places = F.transform(ring, lambda e: F.coalesce(e.bitwiseAND(low).cast("int"), F.lit(0)))
         return _let(places, read)
 
     def read(places: Column) -> Column:
-        at = F.filter(F.transform(places, lambda p, i: F.when(p == 0, i)), lambda i: i.isNotNull())
-        real = F.filter(places, lambda p: p > 0)
+        at = F.array_remove(F.transform(places, lambda p, i: F.when(p == 0, i).otherwise(F.lit(-1))), -1)
+        real = F.array_remove(places, 0)
         # Once around, and on to the first ones again.
         around = F.concat(real, F.slice(real, 1, TUPLE))
         take = F.least(n, F.lit(TUPLE))
         return _let(
             around,
             lambda a: F.transform(
-                at, lambda i, m: _let(F.slice(a, i - m + 1, take), lambda places: _entry(kmers, places))
+                at,
+                lambda i, m: _let(F.sort_array(F.slice(a, i - m + 1, take)), lambda places: _entry(kmers, places)),
             ),
         )
 
+    # Low bits hold the place (from 1), the others the hash; marks have place 0.
+    bits = F.length(F.bin(n))
     return _let(F.call_function("shiftleft", F.lit(-1).cast("bigint"), bits), of)
 
 

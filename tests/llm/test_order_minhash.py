@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 import xxhash
 from conftest import SF001, SF01
-from llm_data import odd_rows, table, words
+from llm_data import SPACE, odd_rows, table
 from pyspark.sql import functions as F
 
 from clickpulse.llm.order_minhash import fingerprint_text, fingerprints, likeness, signature, with_neighbours
@@ -28,7 +29,7 @@ def signed(h):
 
 
 def kmers(text):
-    hashes = [xx(w.encode()) for w in words(text.replace("\x85", "\x85"))]
+    hashes = [xx(w.encode()) for w in re.findall(f"[^{SPACE}]+", text)]
     out = []
     for i in range(max(len(hashes) - 4, min(len(hashes), 1))):
         h = 42
