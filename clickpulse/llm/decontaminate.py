@@ -12,8 +12,8 @@ fingerprints are indexed by eight blocks of eight bits, each item under every
 value within two bits of its block: two fingerprints that differ in at most 23 bits
 agree to two bits in some block, so no fingerprint within ``RADIUS`` is missed. The
 pairs found are verified by their exact similarity. A window at the threshold
-differs in 10 bits on average with a deviation of 3, whatever its weights. Windows without any shingle
-of an item have similarity 0 and are not fingerprinted.
+differs in 10 bits on average with a deviation of 3, whatever its weights. Windows without a shingle
+of any item of their length have similarity 0 and are not fingerprinted.
 
 The items travel to the tasks, never the documents: the benchmark is taken in
 blocks of about ``BLOCK_BYTES`` of text, one pass over the documents each.
@@ -55,8 +55,9 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
 
 
 def _features(h: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
-    """Hash of the ``occurrence``-th copy of each shingle."""
-    return mix(h + occurrence.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    """Hash of the ``occurrence``-th copy of each shingle; the first is the shingle's own."""
+    more = mix(h + occurrence.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.where(occurrence > 1, more, h)
 
 
 def _copies(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,9 +72,13 @@ def _copies(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return before, after
 
 
-def window_sums(h: np.ndarray, size: int) -> np.ndarray:
+def window_sums(h: np.ndarray, size: int, repeats: bool = True) -> np.ndarray:
     """The bit sums of each window of ``size`` shingles, kept up from window to window."""
-    before, after = _copies(h, size)
+    before, after = _copies(h, size) if repeats else (None, None)
+    if not repeats or before.max() == 1:  # every shingle is its own first copy in every window
+        total = np.zeros((len(h) + 1, 64), np.int32)
+        np.cumsum(_bits(h), axis=0, out=total[1:])
+        return total[size:] - total[: len(total) - size]
     # The first window: the copies so far. Then the first place goes with its last copy, and the next comes with its own.
     sums = np.empty((len(h) - size + 1, 64), np.int32)
     sums[0] = _bits(_features(h[:size], before[:size])).sum(axis=0)
@@ -88,12 +93,21 @@ def window_sums(h: np.ndarray, size: int) -> np.ndarray:
 _NEAR = [[v for v in range(256) if (v ^ x).bit_count() <= 2] for x in range(256)]
 
 
+def _among(known: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes occur in a sorted array."""
+    if not len(known):
+        return np.zeros(len(h), bool)
+    at = np.searchsorted(known, h)
+    return known[np.minimum(at, len(known) - 1)] == h
+
+
 class ItemIndex:
     """The items of one window length, by blocks of their fingerprints."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.ids = [i for i, _ in items]
         self.weights = [dict(zip(*(x.tolist() for x in np.unique(h, return_counts=True)), strict=True)) for _, h in items]
+        self.known = np.unique(np.concatenate([h for _, h in items]))
         self.prints = _fingerprints(np.concatenate([window_sums(h, len(h)) for _, h in items]))
         octets = self.prints.view(np.uint8).reshape(-1, 8)
         self.lists: list[tuple[np.ndarray, np.ndarray]] = []
@@ -138,32 +152,31 @@ class Benchmark:
         known = [h for v in by_shingles.values() for _, h in v]
         self.known = np.unique(np.concatenate(known)) if known else np.zeros(0, np.uint64)
 
-    def _has(self, h: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.known, h)
-        return self.known[np.minimum(at, len(self.known) - 1)] == h if len(self.known) else np.zeros(len(h), bool)
-
     def scan(self, h: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
         """``(item_id, similarity, first shingle, shingles)`` of each matching window of a document."""
-        hit = self._has(h)
-        if not hit.any():
+        at = np.flatnonzero(_among(self.known, h))
+        if not len(at):
             return
-        hits = np.zeros(len(h) + 1, np.int64)
-        np.cumsum(hit, out=hits[1:])
-        whole = set()
+        repeats = len(np.unique(h)) < len(h)
+        found = h[at]
         for m, index in self.index.items():
+            # Windows without a shingle of the items of their length have similarity 0.
+            own = at[_among(index.known, found)]
+            if not len(own):
+                continue
             size = min(m, len(h))
-            if size < m:
-                whole.add(m)
-            starts = np.flatnonzero(hits[size:] - hits[: len(h) + 1 - size] > 0)
+            near = np.zeros(len(h) + 1, np.int64)
+            near[own + 1] = 1
+            near = np.cumsum(near)
+            starts = np.flatnonzero(near[size:] > near[: len(h) + 1 - size])
             for k in range(0, len(starts), _SLICE):
-                part = starts[k : k + _SLICE]
-                yield from self._windows(h, index, part, size)
+                yield from self._windows(h, index, starts[k : k + _SLICE], size, repeats)
 
-    def _windows(self, h, index: ItemIndex, starts: np.ndarray, size: int):
+    def _windows(self, h, index: ItemIndex, starts: np.ndarray, size: int, repeats: bool):
         # Neighbouring starts share one running sum.
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
             a, b = int(run[0]), int(run[-1]) + size
-            which, item = index.candidates(_fingerprints(window_sums(h[a:b], size)))
+            which, item = index.candidates(_fingerprints(window_sums(h[a:b], size, repeats)))
             for w, i in zip(which.tolist(), item.tolist(), strict=True):
                 s = a + w
                 score = self._similarity(h[s : s + size], index.weights[i])
@@ -185,7 +198,7 @@ def _scan(bench: Benchmark):
             for lo, hi, raw, offsets in chunks(batch["text"]):
                 words, rows, _, _ = word_hashes(raw, offsets)
                 h, parts = shingle_hashes(words, rows)
-                touched = bench._has(h)
+                touched = _among(bench.known, h)
                 touched = np.add.reduceat(np.append(touched, False), parts[:-1]) * (np.diff(parts) > 0)
                 best: dict[tuple[int, int], list] = {}
                 for r in np.flatnonzero((touched > 0) & (np.diff(rows) >= SHINGLE_WORDS)):

@@ -94,6 +94,8 @@ def leaks(docs: dict, items: dict) -> dict:
                 windows = [(tuple(w[k : k + len(v)]),) for k in range(len(w) - len(v) + 1)]
             elif len(w) < 5:
                 continue
+            elif y.keys().isdisjoint(shingle_list(w)):
+                continue  # every window has similarity 0
             else:
                 windows = [shingle_list(w[k : k + size]) for k in range(len(w) - size + 1)]
             for k, window in enumerate(windows):

@@ -55,9 +55,12 @@ def test_edited_short_long_and_repeated_items(spark):
 
 def test_sums_of_windows_with_many_copies():
     rng = np.random.default_rng(5)
-    for n, size, kinds in ((40, 7, 3), (40, 40, 2), (9, 1, 2), (300, 25, 1), (120, 30, 100)):
+    for n, size, kinds in ((40, 7, 3), (40, 40, 2), (9, 1, 2), (300, 25, 1), (120, 30, 100), (50, 8, 90)):
         h = rng.integers(1, 2**63, kinds, dtype=np.uint64)[rng.integers(0, kinds, n)]
         got = D.window_sums(h, size)
+        if kinds >= n:
+            distinct = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            assert (D.window_sums(distinct, size) == D.window_sums(distinct, size, False)).all()
         assert len(got) == n - size + 1
         for k in range(n - size + 1):
             seen, features = {}, []
