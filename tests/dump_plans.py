@@ -24,6 +24,8 @@ broadcast), from `explain("formatted")`: the operator tree, then
 each scan's `ReadSchema` and `PushedFilters`. Generated from the code by
 `tests/dump_plans.py`; `Exchange` = shuffle, `BroadcastExchange` = the `part` lookup, by
 Spark's own size check.
+The `*_job_balance` queries run at once, as one aggregation over one parse of the
+messages (`jobs.job_balance`, `tests/test_state.py`), and return their one row.
 """
 
 
