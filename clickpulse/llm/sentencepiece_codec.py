@@ -39,8 +39,9 @@ from clickpulse.llm.words import chunks, code_points, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x2581
-#: Text bytes taken at once.
-BATCH_BYTES = 2 << 20
+#: Text bytes taken at once, which no result depends on. A worker keeps what its largest temporaries took,
+#: here about 100 bytes for each of these, on top of the model's 90 MB and the remembered spans.
+BATCH_BYTES = 1 << 19
 #: Ids decoded at once.
 BATCH_IDS = 1 << 20
 _NONE = np.int64(1 << 40)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -38,6 +39,19 @@ def test_spaces_pieces_and_unknown_characters():
     same([" " * k + "a" + " " * (40 - k) for k in range(41)])
 
 
+def test_memory_of_a_batch():
+    """A batch of 6 MB of new words needs its ids and the temporaries of a small part of it."""
+    rng = random.Random(11)
+    parts = ["ka", "lo", "mi", "ter", "un", "ves", "dra", "pol", "en", "st"]
+    column = pa.array([" ".join("".join(rng.choices(parts, k=3)) for _ in range(400)) for _ in range(2_000)])
+    tracemalloc.start()
+    try:
+        piece_model().encode(column)
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_decodes_lists_that_no_text_gives():
     mark = reference.piece_to_id("▁")
     lists = [[1, 2], [3 + 0xE6], [3 + 0xFF, mark], [mark, mark, 3 + 0xE6, 3 + 0x97], []]
